@@ -50,40 +50,42 @@ def decode_records(records: DataFrame, event_time: str = "record") -> DataFrame:
     """
     if event_time not in EVENT_TIMES:
         raise ValueError(f"event_time must be one of {EVENT_TIMES}")
-    wanted = ["payload"] + (["timestamp"] if event_time == "envelope" else [])
-    envelope = _pick(schemas.ENVELOPE, wanted)
+    envelope = _pick(
+        schemas.ENVELOPE, ["payload"] + (["timestamp"] if event_time == "envelope" else [])
+    )
     inner = _pick(
         schemas.ENRICHED,
         schemas.PAYLOAD.names + (["created_at"] if event_time == "created_at" else []),
     )
-
-    opened = records.select(
-        F.from_json(F.col("value").cast("string"), envelope).alias("env"),
-        *(["timestamp"] if "timestamp" in records.columns else []),
-    )
-    if event_time == "record":
-        clock = F.col("timestamp")
-    elif event_time == "envelope":
-        clock = F.timestamp_millis(F.col("env.timestamp"))
-    else:
-        clock = None
-    opened = opened.select(
-        F.from_json(F.col("env.payload"), inner).alias("e"),
-        *([clock.alias("event_ts")] if clock is not None else []),
+    raw = records.select(
+        F.col("value").cast("string").alias("raw"),
+        *([F.col("timestamp").alias("record_ts")] if event_time == "record" else []),
     )
-    if clock is None:
-        clock = F.try_to_timestamp(F.col("e.created_at"))
-    else:
-        clock = F.col("event_ts")
-    return opened.select(
-        F.col("e.event_type").alias("event_type"),
-        F.col("e.actor_login").alias("actor_login"),
-        F.col("e.repo_name").alias("repo_name"),
-        F.col("e.trend_weight").cast("long").alias("trend_weight"),
-        F.col("e.language").alias("language"),
-        clock.alias("event_ts"),
+    opened = _open_json(raw, "raw", envelope)
+    if event_time == "envelope":
+        opened = opened.select("payload", F.timestamp_millis("timestamp").alias("record_ts"))
+    event = _open_json(opened, "payload", inner)
+    if event_time == "created_at":
+        event = event.withColumn("record_ts", F.try_to_timestamp("created_at"))
+    return event.select(
+        "event_type",
+        "actor_login",
+        "repo_name",
+        F.col("trend_weight").cast("long").alias("trend_weight"),
+        "language",
+        F.col("record_ts").alias("event_ts"),
     )
 
 
+def _open_json(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
+    """Replace a JSON column by its fields; nulls where the text is not such an object.
+
+    ``inline`` makes this a generator, which filters do not move below. As a plain
+    expression the parse would be repeated in every later condition on one of its fields.
+    """
+    others = [c for c in df.columns if c != text]
+    return df.select(*others, F.inline(F.array(F.from_json(text, schema))))
+
+
 def _pick(schema, names):
     return T.StructType([f for f in schema.fields if f.name in names])

@@ -37,6 +37,9 @@ def _greatest_language() -> Column:
     return F.max(F.when(F.col("language") != "", F.col("language")))
 
 
+_COUNTS = ["star_count", "fork_count", "push_count", "push_weight", "activity_count"]
+
+
 def _repo_counts() -> list[Column]:
     return [
         _events_of("WatchEvent").alias("star_count"),
@@ -58,10 +61,10 @@ def repo_stats(events: DataFrame, exact: bool = False) -> DataFrame:
     """``repo_counters`` with the greatest non-blank language of the repository.
 
     The approximate form is one pass and the only one that can stream. Its text buffer
-    (the language) makes Spark aggregate by sort; with an exact distinct count on top that
-    would sort the rows twice, so the exact form, which is for batch only, finds the
-    languages in a narrow hash aggregation of their own. Both sides of that join are
-    already partitioned by repository.
+    (the language) makes Spark aggregate by sort; an exact distinct count on top would sort
+    the rows twice. The exact form, for batch only, therefore counts and finds the language
+    in hash steps, counts contributors in a narrow pass, and joins the two, which are
+    both partitioned by repository already.
     """
     if not exact:
         return events.groupBy("repo_name").agg(
@@ -69,36 +72,24 @@ def repo_stats(events: DataFrame, exact: bool = False) -> DataFrame:
             _distinct("actor_login", exact).alias("contributor_count"),
             _greatest_language().alias("event_language"),
         )
-    languages = (
-        events.where(F.col("language") != "")
-        .select("repo_name", "language")
-        .distinct()
-        .groupBy("repo_name")
-        .agg(F.max("language").alias("event_language"))
+    contributors = events.groupBy("repo_name").agg(
+        _distinct("actor_login", exact).alias("contributor_count")
     )
-    return repo_counters(events, exact).join(languages, "repo_name", "left")
+    columns = ["repo_name", *_COUNTS, "contributor_count", "event_language"]
+    return repo_activity(events).join(contributors, "repo_name").select(*columns)
 
 
-def repo_activity_with_language(events: DataFrame) -> DataFrame:
-    """The repository columns that language totals need, in two hash steps (batch only).
+def repo_activity(events: DataFrame) -> DataFrame:
+    """``repo_stats`` without contributors, in two hash steps (batch only).
 
     Counting by (repository, language) first leaves the text buffer of the greatest
-    language to a second, far smaller step.
+    language to a second step over far fewer rows.
     """
-    counts = ["star_count", "fork_count", "push_count", "activity_count"]
     return (
         events.groupBy("repo_name", "language")
-        .agg(
-            _events_of("WatchEvent").alias("star_count"),
-            _events_of("ForkEvent").alias("fork_count"),
-            _events_of("PushEvent").alias("push_count"),
-            F.count(F.lit(1)).alias("activity_count"),
-        )
+        .agg(*_repo_counts())
         .groupBy("repo_name")
-        .agg(
-            *[F.sum(c).alias(c) for c in counts],
-            _greatest_language().alias("event_language"),
-        )
+        .agg(*[F.sum(c).alias(c) for c in _COUNTS], _greatest_language().alias("event_language"))
     )
 
 

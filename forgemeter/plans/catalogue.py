@@ -40,12 +40,12 @@ def _query(fn: Query) -> Query:
 # ---------------------------------------------------------------------------
 
 
-def _canonical(spark: SparkSession, folder: str) -> DataFrame:
-    return canonical.canonical_events(tables.read_table(spark, folder, "events"))
+def _canonical(spark: SparkSession, folder: str, types=None) -> DataFrame:
+    return canonical.canonical_events(tables.read_table(spark, folder, "events"), types)
 
 
 def _valid(spark: SparkSession, folder: str) -> DataFrame:
-    return validate.keep_valid(_canonical(spark, folder))
+    return validate.keep_valid(_canonical(spark, folder, schemas.KNOWN_TYPES))
 
 
 def _micros(events: DataFrame) -> DataFrame:
@@ -306,7 +306,7 @@ def push_speed_per_window(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def language_stats(spark: SparkSession, folder: str) -> DataFrame:
-    repos = aggregates.repo_activity_with_language(_valid(spark, folder))
+    repos = aggregates.repo_activity(_valid(spark, folder))
     return aggregates.language_stats(repos, dimensions.language_rankings(spark))
 
 
@@ -470,8 +470,12 @@ def decoded_messages(spark: SparkSession, folder: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _stream(spark: SparkSession, folder: str) -> DataFrame:
-    return canonical.canonical_events(tables.stream_table(spark, folder, "events"))
+def _stream(spark: SparkSession, folder: str, types=None) -> DataFrame:
+    return canonical.canonical_events(tables.stream_table(spark, folder, "events"), types)
+
+
+def _valid_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return validate.keep_valid(_stream(spark, folder, schemas.KNOWN_TYPES))
 
 
 def _config(spark: SparkSession, name: str) -> jobs.JobConfig:
@@ -496,7 +500,7 @@ def stream_window_activity(spark: SparkSession, folder: str) -> DataFrame:
 
 def _repo_run(spark: SparkSession, folder: str, **options) -> jobs.JobConfig:
     config = _config(spark, "repos")
-    events = validate.keep_valid(_stream(spark, folder))
+    events = _valid_stream(spark, folder)
     rankings = dimensions.language_rankings(spark)
     for _ in range(2):  # the second run finds nothing new on the same checkpoint
         jobs.start_repo_job(events, rankings, config, **options).awaitTermination()
@@ -527,7 +531,7 @@ def stream_repo_updates(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def stream_actor_stats(spark: SparkSession, folder: str) -> DataFrame:
     config = _config(spark, "actors")
-    events = validate.keep_valid(_stream(spark, folder))
+    events = _valid_stream(spark, folder)
     jobs.start_actor_job(events, config).awaitTermination()
     return changelog.read_table(spark, config.tables, changelog.ACTOR)
 

@@ -6,6 +6,8 @@ columns of the event model so that every operator can run on it, batch or stream
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,16 +21,30 @@ TYPE_MAP = {
 }
 
 
-def utc_instant(wall: Column) -> Column:
-    """A zone-less UTC timestamp as an instant, whatever the session time zone is."""
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, wall))
+def utc_instant(wall: Column, session_zone: str) -> Column:
+    """A zone-less UTC timestamp as an instant.
+
+    The cast reads it in the session's zone; only a zone other than UTC needs the slower
+    conversion first.
+    """
+    if session_zone not in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        wall = F.convert_timezone(F.lit("UTC"), F.lit(session_zone), wall)
+    return wall.cast("timestamp")
 
 
-def canonical_events(events: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("long")
-    keyed = events.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
+def canonical_events(events: DataFrame, types: Sequence[str] | None = None) -> DataFrame:
+    """All events, or only those of the given types, which then is a filter of the scan."""
+    if types is not None:
+        events = events.where(
+            F.col("event_type").isin([name for name, kind in TYPE_MAP.items() if kind in types])
+        )
+    # json_tuple is a generator, so later filters stay above it and the text is parsed once;
+    # a plain expression would be copied into every filter on a column made of it.
+    keyed = events.select(
+        "event_id", "ts", "user_id", "event_type", "value", F.json_tuple("props", "k").alias("k")
+    ).withColumn("k", F.col("k").cast("long"))
     kind = F.col("event_type")
+    zone = events.sparkSession.conf.get("spark.sql.session.timeZone")
     mapped = None
     for name, event_type in TYPE_MAP.items():
         mapped = (
@@ -47,7 +63,7 @@ def canonical_events(events: DataFrame) -> DataFrame:
     )
     return keyed.select(
         "event_id",
-        utc_instant(F.col("ts")).alias("event_ts"),
+        utc_instant(F.col("ts"), zone).alias("event_ts"),
         mapped.alias("event_type"),
         F.when(F.col("user_id") % 50 == 0, "")
         .otherwise(F.concat(F.lit("user"), F.col("user_id").cast("string")))

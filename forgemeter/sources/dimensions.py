@@ -96,13 +96,16 @@ def trend_weight(event_type: Column, weights: dict[str, int] | None = None) -> C
 def repo_languages(sightings: DataFrame) -> DataFrame:
     """One language per repository out of many sightings, the greatest when they differ.
 
-    Grouping by both columns first keeps the wide step in hash aggregation: a text buffer
-    such as max(language) over the raw rows would make Spark sort them.
+    The first step groups by both columns and so runs by hash; max(language) over the raw
+    rows has a text buffer and would make Spark sort them. The count keeps the optimizer
+    from merging the steps, which it does when the first one computes nothing.
     """
     return (
         sightings.where((F.col("repo_name") != "") & (F.col("language") != ""))
-        .select("repo_name", "language")
-        .distinct()
+        .groupBy("repo_name", "language")
+        .agg(F.count(F.lit(1)).alias("seen"))
         .groupBy("repo_name")
-        .agg(F.max("language").alias("language"))
+        .agg(F.max("language").alias("language"), F.sum("seen").alias("seen"))
+        .where("seen > 0")
+        .select("repo_name", "language")
     )
