@@ -166,7 +166,7 @@ def ingest_records(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     twice = pages.unionByName(pages)
-    records = ingest.ingest_pages(twice, languages)
+    records = ingest.ingest_pages(twice, languages, new_run_folder(spark, "flat"))
     decoded = records.select(
         "key", F.from_json("value", schemas.ENVELOPE).alias("env")
     ).select("key", F.from_json("env.payload", schemas.ENRICHED).alias("e"))

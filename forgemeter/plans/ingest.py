@@ -12,23 +12,41 @@ from forgemeter.operators.lookups import hot_repo_languages, lookup_repo_languag
 from forgemeter.sources.landing import explode_pages
 
 
-def enrich_pages(
-    pages: DataFrame, repo_languages: DataFrame, spread_hot_repos: bool = True
+def flatten_pages(pages: DataFrame, staging: str | None = None) -> DataFrame:
+    """Batch: the flat events of landed pages, still with duplicates and without language.
+
+    With ``staging`` (a folder all executors share) they are stored and read back, so that
+    the pages are parsed once however often the events are used, and an executor lost
+    later costs a re-read.
+    """
+    flat = flatten_events(explode_pages(pages))
+    if staging is None:
+        return flat
+    flat.write.mode("overwrite").parquet(staging)
+    return pages.sparkSession.read.schema(flat.schema).parquet(staging)
+
+
+def enrich_events(
+    flat: DataFrame, repo_languages: DataFrame, spread_hot_repos: bool = False
 ) -> DataFrame:
-    """Batch: the 17-field enriched events of landed pages, one per event id.
+    """Batch: the 17-field enriched events, one per event id.
 
     Duplicates go first, so later steps see each event once and its id can spread the rows
-    of busy repositories. Finding those repositories costs one narrow pass over the pages;
-    turn it off when ``repo_languages`` is small enough to broadcast.
+    of busy repositories. ``spread_hot_repos`` finds those repositories in a narrow pass of
+    its own over ``flat``, which should be stored then. It is for a ``repo_languages`` too
+    large to broadcast.
     """
-    flat = flatten_events(explode_pages(pages))
     hot = hot_repo_languages(flat, repo_languages) if spread_hot_repos else None
     return lookup_repo_language(dedup_events(flat), repo_languages, hot)
 
 
-def ingest_pages(pages: DataFrame, repo_languages: DataFrame, **options) -> DataFrame:
-    """Batch: ``(key, value)`` records of landed pages."""
-    return encode_records(enrich_pages(pages, repo_languages, **options))
+def ingest_pages(
+    pages: DataFrame, repo_languages: DataFrame, staging: str | None = None
+) -> DataFrame:
+    """Batch: ``(key, value)`` records of landed pages; busy repositories are spread when
+    there is a ``staging`` folder to find them in."""
+    flat = flatten_pages(pages, staging)
+    return encode_records(enrich_events(flat, repo_languages, staging is not None))
 
 
 def ingest_stream(

@@ -87,6 +87,17 @@ def write_batch(rows: DataFrame, root: str, table: KeyedTable, batch_id: int) ->
     )
 
 
+def read_batch(
+    spark: SparkSession, root: str, table: KeyedTable, batch_id: int, blank_key: bool = False
+) -> DataFrame:
+    """The rows one batch wrote: as shown, or all columns and keys with ``blank_key``."""
+    path = f"{_log(root, table)}/batch_id={batch_id}"
+    rows = spark.read.schema(table.stored).parquet(path)
+    if blank_key:
+        return rows
+    return rows.where(F.col(table.key) != "").select(*table.shown.names)
+
+
 def read_latest(
     spark: SparkSession, root: str, table: KeyedTable, upto: int | None = None
 ) -> DataFrame:
@@ -108,32 +119,28 @@ def read_latest(
             return spark.createDataFrame([], table.stored)
         return spark.read.schema(table.stored).parquet(path)
 
-    parts = []
+    values = [n for n in table.stored.names if n != table.key]
+    kept = changed = None
     if base is not None:
-        parts.append(
-            spark.read.schema(table.stored)
-            .parquet(f"{_base(root, table)}/upto={base}")
-            .withColumn("batch_id", F.lit(base).cast("long"))
-        )
+        kept = spark.read.schema(table.stored).parquet(f"{_base(root, table)}/upto={base}")
     if batches:
         folder = _log(root, table)
-        parts.append(
+        changed = (
             spark.read.schema(_with_batch(table.stored))
             .option("basePath", folder)
             .parquet(*[f"{folder}/batch_id={n}" for n in batches])
+            .groupBy(table.key)
+            .agg(F.max_by(F.struct(*values), "batch_id").alias("cells"))
+            .select(table.key, *[F.col(f"cells.{v}").alias(v) for v in values])
+            .select(*table.stored.names)
         )
-    if not parts:
-        return spark.createDataFrame([], table.stored)
-    if base is not None and not batches:
-        return parts[0].drop("batch_id")
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    values = [n for n in table.stored.names if n != table.key]
-    return (
-        rows.groupBy(table.key)
-        .agg(F.max_by(F.struct(*values), "batch_id").alias("cells"))
-        .select(table.key, *[F.col(f"cells.{v}").alias(v) for v in values])
-        .select(*table.stored.names)
-    )
+    if kept is not None and changed is not None:
+        # The base has one row per key already. While the log is small its keys are
+        # broadcast, so the base is neither shuffled nor sorted again.
+        return kept.join(changed.select(table.key), table.key, "left_anti").unionByName(changed)
+    if kept is not None or changed is not None:
+        return kept if kept is not None else changed
+    return spark.createDataFrame([], table.stored)
 
 
 def _with_batch(schema: StructType) -> StructType:

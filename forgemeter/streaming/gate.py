@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,36 @@ def read_published(spark: SparkSession, folder: str, batch_id: int) -> DataFrame
     return spark.read.parquet(f"{folder}/batch_id={batch_id}")
 
 
+def rolling_top(
+    changed: DataFrame,
+    folder: str,
+    batch_id: int,
+    key: str,
+    rank: Callable[[DataFrame], DataFrame],
+    whole_table: Callable[[], DataFrame],
+    keep: int = 10,
+) -> DataFrame:
+    """The top list after a batch, from the list before it and the keys that changed.
+
+    Counts only grow, so a key that is neither on the list nor changed cannot enter it, and
+    the table need not be read again. The list of each batch is stored; the first one, which
+    has none before it, ranks the whole table.
+    """
+    spark = changed.sparkSession
+    stored = published(spark, folder)
+    earlier = [n for n in stored if n < batch_id]
+    if earlier:
+        before = read_published(spark, folder, earlier[-1])
+        unchanged = before.join(changed.select(key), key, "left_anti")
+        top = rank(unchanged.unionByName(changed.select(*before.columns)))
+    else:
+        top = rank(whole_table())
+    top.coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+    for n in earlier[:-keep]:
+        storage.delete_folder(spark, f"{folder}/batch_id={n}")
+    return read_published(spark, folder, batch_id)
+
+
 def publish_if_grown(
     top: DataFrame, folder: str, batch_id: int, measure: str = "activity_count"
 ) -> bool:

@@ -25,7 +25,7 @@ from forgemeter.operators.ranking import top_actors, top_repos
 from forgemeter.plans.statistics import window_table
 from forgemeter.session import ROCKSDB
 from forgemeter.sources import changelog
-from forgemeter.streaming.gate import publish_if_grown
+from forgemeter.streaming.gate import publish_if_grown, rolling_top
 
 LIVE = {"processingTime": "5 seconds"}
 BACKFILL = {"availableNow": True}
@@ -125,7 +125,10 @@ def start_repo_job(
             return
         changelog.write_batch(batch, config.tables, changelog.REPO, batch_id)
         if config.output_mode == "complete":
-            repos = _batch_rows(session, config.tables, batch_id)
+            # The batch as stored: it holds every key, so nothing has to be merged.
+            repos = changelog.read_batch(
+                session, config.tables, changelog.REPO, batch_id, blank_key=True
+            )
         else:
             repos = changelog.read_latest(session, config.tables, changelog.REPO, batch_id)
         if language_every and batch_id % language_every == 0:
@@ -133,9 +136,7 @@ def start_repo_job(
                 language_stats(repos, rankings), config.tables, changelog.LANGUAGE, batch_id
             )
         if publish:
-            shown = changelog.read_table(session, config.tables, changelog.REPO, batch_id)
-            top = top_repos(shown, scan_limit)
-            publish_if_grown(top, f"{config.tables}/repo_updates", batch_id)
+            _publish(batch, batch_id, config, changelog.REPO, top_repos, scan_limit)
 
     return start_query(stats, config, "repos", config.output_mode, sink)
 
@@ -149,11 +150,32 @@ def refresh_languages(spark: SparkSession, root: str, rankings: DataFrame) -> in
     return newest
 
 
-def _batch_rows(session: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """A complete-mode batch as stored: it holds every key, so nothing has to be merged."""
-    return session.read.schema(changelog.REPO.stored).parquet(
-        f"{root}/{changelog.REPO.name}/log/batch_id={batch_id}"
-    )
+def _publish(
+    batch: DataFrame,
+    batch_id: int,
+    config: JobConfig,
+    table: changelog.KeyedTable,
+    rank: Callable[..., DataFrame],
+    scan_limit: int | None,
+) -> None:
+    """Renew the top list and send it if its greatest activity has grown.
+
+    The batch as stored is read back: the streaming state must not be merged again.
+    """
+    session, root = batch.sparkSession, config.tables
+
+    def whole_table() -> DataFrame:
+        return changelog.read_table(session, root, table, batch_id)
+
+    kind = table.name.removesuffix("_stats")
+    if scan_limit is None:
+        changed = changelog.read_batch(session, root, table, batch_id)
+        top = rolling_top(
+            changed, f"{root}/{kind}_top", batch_id, table.key, rank, whole_table
+        )
+    else:
+        top = rank(whole_table(), scan_limit)
+    publish_if_grown(top, f"{root}/{kind}_updates", batch_id)
 
 
 def start_actor_job(
@@ -165,14 +187,11 @@ def start_actor_job(
     """Events per contributor."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
         if batch.isEmpty():
             return
         changelog.write_batch(batch, config.tables, changelog.ACTOR, batch_id)
         if publish:
-            shown = changelog.read_table(session, config.tables, changelog.ACTOR, batch_id)
-            top = top_actors(shown, scan_limit)
-            publish_if_grown(top, f"{config.tables}/actor_updates", batch_id)
+            _publish(batch, batch_id, config, changelog.ACTOR, top_actors, scan_limit)
 
     return start_query(actor_stats(events), config, "actors", config.output_mode, sink)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
@@ -14,6 +14,12 @@ def counted(df: DataFrame, name: str) -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("rows"))
 
 
+def counted_batch(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same rows, and where their number (``rows``) appears once a batch job has run."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 class RunMetrics(StreamingQueryListener):
     """Running totals per observed name since the listener was added."""
 

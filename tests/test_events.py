@@ -222,10 +222,12 @@ def test_page_files(spark, folder):
     assert flat.count() == 12
 
 
-def test_ingest_records(spark):
+@pytest.mark.parametrize("staged", [True, False])
+def test_ingest_records(spark, folder, staged):
     languages = spark.createDataFrame([("o/r", "Go"), ("", "Ghost")], schemas.REPO_LANGUAGES)
     text = json.dumps(PAGE)
-    records_ = ingest_pages(pages(spark, text, text), languages)
+    staging = f"{folder}/flat" if staged else None
+    records_ = ingest_pages(pages(spark, text, text), languages, staging)
     got = {
         r.key: json.loads(json.loads(r.value)["payload"]) for r in records_.collect()
     }
@@ -240,7 +242,7 @@ def test_ingest_records(spark):
 
 def test_encode_then_decode(spark):
     languages = spark.createDataFrame([], schemas.REPO_LANGUAGES)
-    sent = ingest_pages(pages(spark, json.dumps(PAGE)), languages, spread_hot_repos=False)
+    sent = ingest_pages(pages(spark, json.dumps(PAGE)), languages)
     clean = clean_events(sent.withColumn("timestamp", F.lit(NOW)))
     # ReleaseEvent and Unknown are not among the known types
     assert clean.count() == 6

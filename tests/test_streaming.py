@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 import time
 from datetime import datetime, timezone
 
@@ -10,7 +11,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from forgemeter import schemas
-from forgemeter.operators import aggregates, dedup, lookups
+from forgemeter.operators import aggregates, dedup, lookups, ranking
 from forgemeter.plans import ingest, statistics
 from forgemeter.plans.catalogue import _records, _valid
 from forgemeter.sources import changelog, dimensions, landing
@@ -282,11 +283,36 @@ def test_published_updates_follow_the_stream(spark, folder):
     cfg = config(folder)
     rankings = dimensions.language_rankings(spark)
     run(jobs.start_repo_job(clean_stream(spark, source), rankings, cfg, publish=True))
-    run(jobs.start_actor_job(clean_stream(spark, source), cfg, publish=True))
+    run(jobs.start_actor_job(clean_stream(spark, source), cfg, publish=True, scan_limit=2))
     assert gate.published(spark, f"{cfg.tables}/repo_updates") == [0, 2]
+    newest = gate.read_published(spark, f"{cfg.tables}/repo_updates", 2)
+    assert rows(newest, "repo_name", "activity_count") == [("r", 3), ("s", 1)]
     assert gate.published(spark, f"{cfg.tables}/actor_updates") == [0, 1, 2]
 
 
+def test_rolling_top_equals_the_whole_table(spark, folder):
+    """Random growing counts with ties: the rolling list is the list over all keys."""
+    rng = random.Random(7)
+    totals = {}
+    for batch in range(6):
+        changed = {f"u{rng.randint(0, 30):02d}": rng.randint(1, 3) for _ in range(8)}
+        for name, n in changed.items():
+            totals[name] = totals.get(name, 0) + n
+        rank = lambda df: ranking.top_actors(df, None, 5)
+        got = gate.rolling_top(
+            tops(spark, **{n: totals[n] for n in changed}),
+            f"{folder}/top",
+            batch,
+            "actor_login",
+            rank,
+            lambda: tops(spark, **totals),
+            keep=2,
+        )
+        want = sorted(totals.items(), key=lambda e: (e[1], e[0]), reverse=True)[:5]
+        assert rows(got) == sorted(want, key=repr)
+    assert len(gate.published(spark, f"{folder}/top")) <= 4
+
+
 def window(spark, start, count):
     df = spark.createDataFrame(
         [(start, start + 600_000, count)], "window_start BIGINT, window_end BIGINT, n BIGINT"
@@ -342,6 +368,12 @@ def test_run_metrics(spark, folder):
         spark.streams.removeListener(listener)
 
 
+def test_batch_metrics(spark):
+    df, seen = metrics.counted_batch(spark.range(7))
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 7}
+
+
 def test_live_trigger_and_await_any(spark, folder):
     source = f"{folder}/in"
     land(spark, source, [("a", "r", "01:00:00")])
