@@ -18,7 +18,7 @@ from forgemeter.operators import aggregates, dedup, flatten, lookups, messages,
 from forgemeter.plans import dashboard, ingest, statistics
 from forgemeter.session import new_run_folder
 from forgemeter.sources import canonical, changelog, dimensions, landing, tables
-from forgemeter.streaming import feed, gate, jobs
+from forgemeter.streaming import feed, gate, jobs, outbox
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -555,3 +555,26 @@ def stream_incremental_windows(spark: SparkSession, folder: str) -> DataFrame:
     for _ in range(2):
         feed.send_new_windows(spark, config.tables, changelog.PUSH_SPEED, out)
     return feed.read_feed(spark, out, changelog.PUSH_SPEED)
+
+
+@_query
+def stream_window_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Push windows as update messages: job, feed and outbox are three chained streams."""
+    config = _window_run(spark, folder)
+    for _ in range(2):  # the second round has nothing new to send
+        feed.start_feed(
+            spark, config.tables, changelog.PUSH_SPEED, "PushSpeedNewWindow", config
+        ).awaitTermination()
+    received = f"{config.tables}/received"
+    jobs.land_clean_events(
+        outbox.stream_outbox(spark, config.tables), received, config
+    ).awaitTermination()
+    return spark.read.schema(outbox.SCHEMA).parquet(received).select("type", "body")
+
+
+@_query
+def stream_repo_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The published top list as one message, without the approximate column."""
+    config = _repo_run(spark, folder, publish=True, language_every=0)
+    sent = outbox.read_outbox(spark, config.tables)
+    return messages.decode_messages(sent, "RepoStatsUpdated").drop("contributor_count")

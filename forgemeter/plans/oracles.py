@@ -404,6 +404,12 @@ SELECT window_start, window_end, push_count AS count FROM windows""",
     "stream_repo_stats": f"WITH {_REPOS} SELECT {_NO_CONTRIBUTORS} FROM repos",
     "stream_language_stats": f"WITH {_LANGUAGES} SELECT * FROM languages",
     "stream_repo_updates": f"SELECT {_NO_CONTRIBUTORS} FROM ({_TOP_REPOS}) AS top",
+    "stream_window_messages": "SELECT type, body FROM (WITH "
+    + _WINDOWS
+    + " "
+    + _window_message(1, "PushSpeedNewWindow", "push_count", "pushCount")
+    + ") AS sent",
+    "stream_repo_messages": f"SELECT {_NO_CONTRIBUTORS} FROM ({_TOP_REPOS}) AS top",
     "stream_actor_stats": f"WITH {_ACTORS} SELECT * FROM people",
     "stream_dedup": f"WITH {_CANON} SELECT * EXCLUDE (ts) FROM canon",
     "stream_incremental_windows": f"""WITH {_WINDOWS}

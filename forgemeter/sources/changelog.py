@@ -218,7 +218,8 @@ def stream_changes(
     reader = spark.readStream.schema(_with_batch(table.stored))
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(_log(root, table)).where(F.col("batch_id") > after)
+    folder = storage.ensure_folder(spark, _log(root, table))
+    return reader.parquet(folder).where(F.col("batch_id") > after)
 
 
 def snapshot_then_changes(

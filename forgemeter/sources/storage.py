@@ -24,6 +24,13 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
 
 
+def ensure_folder(spark: SparkSession, path: str) -> str:
+    """Create the folder if it is absent, so that a stream can wait for its first file."""
+    fs, target = _locate(spark, path)
+    fs.mkdirs(target)
+    return path
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, target = _locate(spark, path)
     fs.delete(target, True)

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from forgemeter import schemas
+from forgemeter.operators.messages import item_messages
 from forgemeter.operators.ranking import high_water
 from forgemeter.sources import changelog, storage
+from forgemeter.streaming import outbox
+from forgemeter.streaming.jobs import JobConfig, start_query
 
 
 def _sent_folders(spark: SparkSession, folder: str) -> list[int]:
@@ -17,35 +22,67 @@ def _sent_folders(spark: SparkSession, folder: str) -> list[int]:
     )
 
 
-def last_seen(spark: SparkSession, folder: str) -> int:
-    """Start of the newest window sent so far, 0 when none was."""
-    rounds = _sent_folders(spark, folder)
+def last_seen(spark: SparkSession, folder: str, before: int | None = None) -> int:
+    """Start of the newest window sent (in rounds before ``before``), 0 when none was."""
+    rounds = [n for n in _sent_folders(spark, folder) if before is None or n < before]
     if not rounds:
         return 0
-    newest = spark.read.schema(changelog.NEW_REPOS.stored).parquet(f"{folder}/round={rounds[-1]}")
+    newest = spark.read.schema(schemas.WINDOW_COUNT).parquet(f"{folder}/round={rounds[-1]}")
     return high_water(newest, "window_start").first()["high_water"]
 
 
 def send_new_windows(
-    spark: SparkSession, root: str, table: changelog.KeyedTable, folder: str
-) -> bool:
-    """Append the windows after the mark to the feed; the mark moves with the write.
+    spark: SparkSession,
+    root: str,
+    table: changelog.KeyedTable,
+    folder: str,
+    turn: int | None = None,
+) -> int | None:
+    """Append the windows after the mark to the feed as one round; the mark moves with it.
 
-    A window is sent once: a count that grows later shows in the table, not in the feed.
+    Returns the round, or None when there was nothing new. A window is sent once: a count
+    that grows later shows in the table, not in the feed. ``turn`` names the round, so that
+    a replay overwrites it.
     """
-    mark = last_seen(spark, folder)
-    fresh = changelog.read_since(spark, root, table, mark)
+    if turn is None:
+        turn = max(_sent_folders(spark, folder), default=-1) + 1
+    fresh = changelog.read_since(spark, root, table, last_seen(spark, folder, turn))
     if fresh.isEmpty():
-        return False
-    rounds = _sent_folders(spark, folder)
-    turn = rounds[-1] + 1 if rounds else 0
+        return None
     (
         fresh.repartitionByRange("window_start")
         .sortWithinPartitions("window_start")
         .write.mode("overwrite")
         .parquet(f"{folder}/round={turn}")
     )
-    return True
+    return turn
+
+
+def start_feed(
+    spark: SparkSession,
+    root: str,
+    table: changelog.KeyedTable,
+    kind: str,
+    config: JobConfig,
+) -> StreamingQuery:
+    """Feed a window table as it grows, and put one message per new window in the outbox.
+
+    The changes only say that there is something to read; what is sent is read from the
+    table, so a window that changed twice since the last round is sent once.
+    """
+    folder = f"{root}/{table.name}_feed"
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        if batch.isEmpty():
+            return
+        turn = send_new_windows(session, root, table, folder, batch_id)
+        if turn is not None:
+            sent = session.read.schema(table.stored).parquet(f"{folder}/round={turn}")
+            outbox.post(item_messages(sent, kind), root, f"{table.name}_feed", turn)
+
+    changes = changelog.stream_changes(spark, root, table)
+    return start_query(changes, config, f"{table.name}_feed", "append", sink)
 
 
 def read_feed(spark: SparkSession, folder: str, table: changelog.KeyedTable) -> DataFrame:

@@ -21,14 +21,17 @@ from forgemeter.operators.aggregates import (
     repo_stats,
     window_activity,
 )
+from forgemeter.operators.messages import list_message
 from forgemeter.operators.ranking import top_actors, top_repos
 from forgemeter.plans.statistics import window_table
 from forgemeter.session import ROCKSDB
 from forgemeter.sources import changelog
-from forgemeter.streaming.gate import publish_if_grown, rolling_top
+from forgemeter.streaming import outbox
+from forgemeter.streaming.gate import publish_if_grown, read_published, rolling_top
 
 LIVE = {"processingTime": "5 seconds"}
 BACKFILL = {"availableNow": True}
+UPDATE_KINDS = {"repo_stats": "RepoStatsUpdated", "actor_stats": "ActorStatsUpdated"}
 
 
 @dataclass(frozen=True)
@@ -175,7 +178,12 @@ def _publish(
         )
     else:
         top = rank(whole_table(), scan_limit)
-    publish_if_grown(top, f"{root}/{kind}_updates", batch_id)
+    if publish_if_grown(top, f"{root}/{kind}_updates", batch_id):
+        sent = read_published(session, f"{root}/{kind}_updates", batch_id)
+        message = list_message(
+            sent, UPDATE_KINDS[table.name], ["activity_count", table.key], descending=True
+        )
+        outbox.post(message, root, f"{kind}_updates", batch_id)
 
 
 def start_actor_job(

@@ -21,7 +21,6 @@ def spark():
             "spark.sql.shuffle.partitions": 4,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.checkpoint.dir": f"{scratch}/shared",
             "spark.sql.warehouse.dir": f"{scratch}/warehouse",
         },
     )

@@ -190,8 +190,27 @@ def test_topic_options():
         kafka.source_options({})
 
 
+class FakeSession:
+    """Just the two things the folder rule looks at."""
+
+    def __init__(self, folder, master):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
 def test_shared_folder_comes_from_the_session(spark):
-    named = spark.conf.get("spark.checkpoint.dir")
-    assert session.shared_folder(spark) == named
+    assert session.shared_folder(FakeSession("hdfs:///shared/", "yarn")) == "hdfs:///shared"
+    assert session.shared_folder(FakeSession(None, "local[8]")).endswith("forgemeter")
+    with pytest.raises(RuntimeError):
+        session.shared_folder(FakeSession(None, "spark://host:7077"))
+    named = session.shared_folder(spark)
     one, two = (session.new_run_folder(spark, "x") for _ in range(2))
     assert one != two and one.startswith(named)
+
+
+def test_changes_can_be_awaited_before_the_first_write(spark, folder):
+    stream = changelog.stream_changes(spark, folder, changelog.ACTOR)
+    query = stream.writeStream.format("noop").trigger(availableNow=True).start()
+    query.awaitTermination()
+    snapshot, _ = changelog.snapshot_then_changes(spark, folder, changelog.ACTOR)
+    assert snapshot.count() == 0

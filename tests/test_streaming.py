@@ -11,11 +11,11 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from forgemeter import schemas
-from forgemeter.operators import aggregates, dedup, lookups, ranking
+from forgemeter.operators import aggregates, dedup, lookups, messages, ranking
 from forgemeter.plans import ingest, statistics
 from forgemeter.plans.catalogue import _records, _valid
 from forgemeter.sources import changelog, dimensions, landing
-from forgemeter.streaming import feed, gate, jobs, metrics, supervise
+from forgemeter.streaming import feed, gate, jobs, metrics, outbox, supervise
 from tests.conftest import SMALL, rows
 
 
@@ -322,19 +322,54 @@ def window(spark, start, count):
 
 def test_feed_sends_each_window_once(spark, folder):
     out, table = f"{folder}/feed", changelog.NEW_REPOS
-    assert not feed.send_new_windows(spark, folder, table, out)
+    assert feed.send_new_windows(spark, folder, table, out) is None
     assert feed.read_feed(spark, out, table).count() == 0
     changelog.write_batch(window(spark, 300_000, 1), folder, table, 0)
-    assert feed.send_new_windows(spark, folder, table, out)
+    assert feed.send_new_windows(spark, folder, table, out) == 0
     changelog.write_batch(window(spark, 300_000, 9), folder, table, 1)  # grew: not sent again
-    assert not feed.send_new_windows(spark, folder, table, out)
+    assert feed.send_new_windows(spark, folder, table, out) is None
     changelog.write_batch(window(spark, 600_000, 2), folder, table, 2)
-    assert feed.send_new_windows(spark, folder, table, out)
+    assert feed.send_new_windows(spark, folder, table, out) == 1
+    assert feed.send_new_windows(spark, folder, table, out, turn=1) == 1  # a replay
     got = feed.read_feed(spark, out, table)
     assert rows(got, "round", "window_start", "count") == [(0, 300_000, 1), (1, 600_000, 2)]
     assert feed.last_seen(spark, out) == 600_000
 
 
+def test_outbox_joins_all_feeds(spark, folder):
+    source = f"{folder}/in"
+    land(spark, source, [("a", "r", "01:00:00")])
+    land(spark, source, [("a", "r", "01:00:01"), ("b", "r", "01:05:00")])
+    cfg = config(folder)
+    for query in jobs.start_all(clean_stream(spark, source), dimensions.language_rankings(spark), cfg):
+        run(query)
+    for table, kind in (
+        (changelog.NEW_REPOS, "NewWindow"),
+        (changelog.PUSH_SPEED, "PushSpeedNewWindow"),
+    ):
+        run(feed.start_feed(spark, cfg.tables, table, kind, cfg))
+    query = (
+        outbox.stream_outbox(spark, cfg.tables)
+        .writeStream.format("memory")
+        .queryName("outbox_seen")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run(query)
+    seen = spark.table("outbox_seen")
+    kinds = {r.type: r["count"] for r in seen.groupBy("type").count().collect()}
+    assert kinds == {
+        "NewWindow": 3,
+        "PushSpeedNewWindow": 3,
+        "RepoStatsUpdated": 2,
+        "ActorStatsUpdated": 2,
+    }
+    lists = messages.decode_messages(
+        seen.where("batch_id = 1"), "ActorStatsUpdated"
+    )
+    assert rows(lists) == [("a", 2), ("b", 1)]
+
+
 def test_language_refresh_on_its_own_schedule(spark, folder):
     source = f"{folder}/in"
     rankings = dimensions.language_rankings(spark)
