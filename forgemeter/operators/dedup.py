@@ -26,11 +26,22 @@ def dedup_events(
 
 
 def dedup_stream(
-    events: DataFrame, event_time: str, delay: str, key: str = "event_id"
+    events: DataFrame,
+    event_time: str,
+    delay: str,
+    key: str = "event_id",
+    spread_copies: bool = False,
 ) -> DataFrame:
     """Streaming: the first arrival of each id; state is bounded by event time.
 
     The state keeps an id and its expiry only, and copies stream past it one by one, so a
-    hot id costs time in proportion to its copies but no memory.
+    hot id costs time in proportion to its copies but no memory. Where single ids may hold
+    a large part of a micro-batch, ``spread_copies`` removes copies per source task first,
+    which scatters them over all tasks and leaves one per source task for the exact step.
+    It costs a second shuffle and state.
     """
-    return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    events = events.withWatermark(event_time, delay)
+    if spread_copies:
+        sliced = events.withColumn("_slice", F.spark_partition_id())
+        events = sliced.dropDuplicatesWithinWatermark([key, "_slice"]).drop("_slice")
+    return events.dropDuplicatesWithinWatermark([key])

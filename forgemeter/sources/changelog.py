@@ -56,24 +56,17 @@ def _base(root: str, table: KeyedTable) -> str:
     return f"{root}/{table.name}/base"
 
 
-def _committed(spark: SparkSession, folder: str, prefix: str) -> list[int]:
-    numbers = [
-        int(name.removeprefix(prefix))
-        for name in storage.child_folders(spark, folder)
-        if name.startswith(prefix) and storage.exists(spark, f"{folder}/{name}/_SUCCESS")
-    ]
-    return sorted(numbers)
+def committed_batches(spark: SparkSession, root: str, table: KeyedTable) -> list[int]:
+    return storage.committed(spark, _log(root, table), "batch_id=")
 
 
-def committed_batches(spark: SparkSession, root: str, table: KeyedTable) -> list[int]:
-    return _committed(spark, _log(root, table), "batch_id=")
+def _bases(spark: SparkSession, root: str, table: KeyedTable) -> list[int]:
+    return storage.committed(spark, _base(root, table), "upto=")
 
 
 def last_batch(spark: SparkSession, root: str, table: KeyedTable) -> int | None:
     """The newest committed batch, counting those already folded into a base."""
-    seen = committed_batches(spark, root, table) + _committed(
-        spark, _base(root, table), "upto="
-    )
+    seen = committed_batches(spark, root, table) + _bases(spark, root, table)
     return max(seen, default=None)
 
 
@@ -106,7 +99,7 @@ def read_latest(
     def seen(numbers: list[int]) -> list[int]:
         return [n for n in numbers if upto is None or n <= upto]
 
-    bases = seen(_committed(spark, _base(root, table), "upto="))
+    bases = seen(_bases(spark, root, table))
     base = max(bases, default=None)
     batches = [n for n in seen(committed_batches(spark, root, table)) if base is None or n > base]
 
@@ -179,7 +172,7 @@ def compact(spark: SparkSession, root: str, table: KeyedTable) -> int | None:
     it holds the same rows.
     """
     newest = last_batch(spark, root, table)
-    if newest is None or newest in _committed(spark, _base(root, table), "upto="):
+    if newest is None or newest in _bases(spark, root, table):
         return newest
     (
         read_latest(spark, root, table, newest)
@@ -196,7 +189,7 @@ def vacuum(spark: SparkSession, root: str, table: KeyedTable, keep_bases: int =
 
     Keeping the previous base lets readers that started on it finish.
     """
-    bases = _committed(spark, _base(root, table), "upto=")
+    bases = _bases(spark, root, table)
     if len(bases) < keep_bases:
         return
     oldest_kept = bases[-keep_bases]

@@ -11,17 +11,14 @@ def _locate(spark: SparkSession, path: str):
     return target.getFileSystem(context._jsc.hadoopConfiguration()), target
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _locate(spark, path)
-    return fs.exists(target)
-
-
-def child_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly below ``path``; empty when it does not exist."""
-    fs, target = _locate(spark, path)
-    if not fs.exists(target):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
+def committed(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers of the folders ``<prefix>N`` below ``folder`` whose write has finished, ascending.
+
+    A Spark write leaves its ``_SUCCESS`` marker last, so an unfinished folder has none.
+    """
+    fs, pattern = _locate(spark, f"{folder}/{prefix}*/_SUCCESS")
+    names = [s.getPath().getParent().getName() for s in fs.globStatus(pattern) or []]
+    return sorted(int(name.removeprefix(prefix)) for name in names)
 
 
 def ensure_folder(spark: SparkSession, path: str) -> str:

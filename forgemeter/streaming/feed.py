@@ -14,17 +14,13 @@ from forgemeter.streaming import outbox
 from forgemeter.streaming.jobs import JobConfig, start_query
 
 
-def _sent_folders(spark: SparkSession, folder: str) -> list[int]:
-    return sorted(
-        int(name.removeprefix("round="))
-        for name in storage.child_folders(spark, folder)
-        if name.startswith("round=") and storage.exists(spark, f"{folder}/{name}/_SUCCESS")
-    )
+def rounds_sent(spark: SparkSession, folder: str) -> list[int]:
+    return storage.committed(spark, folder, "round=")
 
 
 def last_seen(spark: SparkSession, folder: str, before: int | None = None) -> int:
     """Start of the newest window sent (in rounds before ``before``), 0 when none was."""
-    rounds = [n for n in _sent_folders(spark, folder) if before is None or n < before]
+    rounds = [n for n in rounds_sent(spark, folder) if before is None or n < before]
     if not rounds:
         return 0
     newest = spark.read.schema(schemas.WINDOW_COUNT).parquet(f"{folder}/round={rounds[-1]}")
@@ -45,7 +41,7 @@ def send_new_windows(
     a replay overwrites it.
     """
     if turn is None:
-        turn = max(_sent_folders(spark, folder), default=-1) + 1
+        turn = max(rounds_sent(spark, folder), default=-1) + 1
     fresh = changelog.read_since(spark, root, table, last_seen(spark, folder, turn))
     if fresh.isEmpty():
         return None
@@ -87,7 +83,7 @@ def start_feed(
 
 def read_feed(spark: SparkSession, folder: str, table: changelog.KeyedTable) -> DataFrame:
     """All windows sent, with the round that sent them."""
-    rounds = _sent_folders(spark, folder)
+    rounds = rounds_sent(spark, folder)
     schema = table.stored.fieldNames()
     if not rounds:
         return spark.createDataFrame([], table.stored).withColumn("round", F.lit(0).cast("long"))

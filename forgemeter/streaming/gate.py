@@ -13,11 +13,7 @@ from forgemeter.sources import storage
 
 def published(spark: SparkSession, folder: str) -> list[int]:
     """Batch ids of the lists sent so far, oldest first."""
-    return sorted(
-        int(name.removeprefix("batch_id="))
-        for name in storage.child_folders(spark, folder)
-        if name.startswith("batch_id=") and storage.exists(spark, f"{folder}/{name}/_SUCCESS")
-    )
+    return storage.committed(spark, folder, "batch_id=")
 
 
 def read_published(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:

@@ -124,9 +124,8 @@ def start_repo_job(
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        if batch.isEmpty():
+        if not _store(batch, config.tables, changelog.REPO, batch_id):
             return
-        changelog.write_batch(batch, config.tables, changelog.REPO, batch_id)
         if config.output_mode == "complete":
             # The batch as stored: it holds every key, so nothing has to be merged.
             repos = changelog.read_batch(
@@ -153,6 +152,14 @@ def refresh_languages(spark: SparkSession, root: str, rankings: DataFrame) -> in
     return newest
 
 
+def _store(batch: DataFrame, root: str, table: changelog.KeyedTable, batch_id: int) -> bool:
+    """Write the batch; false when it had no rows. The written files are asked, not the
+    batch: every action on the batch merges the state anew."""
+    changelog.write_batch(batch, root, table, batch_id)
+    stored = changelog.read_batch(batch.sparkSession, root, table, batch_id, blank_key=True)
+    return not stored.isEmpty()
+
+
 def _publish(
     batch: DataFrame,
     batch_id: int,
@@ -195,10 +202,7 @@ def start_actor_job(
     """Events per contributor."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        changelog.write_batch(batch, config.tables, changelog.ACTOR, batch_id)
-        if publish:
+        if _store(batch, config.tables, changelog.ACTOR, batch_id) and publish:
             _publish(batch, batch_id, config, changelog.ACTOR, top_actors, scan_limit)
 
     return start_query(actor_stats(events), config, "actors", config.output_mode, sink)

@@ -4,7 +4,7 @@ import json
 import os
 import random
 import time
-from datetime import datetime, timezone
+from datetime import datetime
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -195,7 +195,8 @@ def test_empty_batches_write_nothing(spark, folder):
     assert changelog.read_table(spark, cfg.tables, changelog.PUSH_SPEED).count() == 2
 
 
-def test_stream_dedup_across_batches(spark, folder):
+@pytest.mark.parametrize("spread", [False, True])
+def test_stream_dedup_across_batches(spark, folder, spread):
     source = f"{folder}/in"
     schema = "event_id STRING, event_ts TIMESTAMP"
     for batch in (["1", "1", "2"], ["2", "3"]):
@@ -204,7 +205,8 @@ def test_stream_dedup_across_batches(spark, folder):
     stream = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
     )
-    once = dedup.dedup_stream(stream, "event_ts", "10 minutes")
+    once = dedup.dedup_stream(stream, "event_ts", "10 minutes", spread_copies=spread)
+    assert once.columns == stream.columns
     run(jobs.land_clean_events(once, f"{folder}/out", config(folder)))
     assert rows(spark.read.parquet(f"{folder}/out"), "event_id") == [("1",), ("2",), ("3",)]
 
