@@ -36,12 +36,12 @@ def build_session(app_name: str = "forgemeter", **overrides: object) -> SparkSes
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a master of one process (``local[n]``) may fall back to a folder of this machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return os.path.join(tempfile.gettempdir(), "forgemeter")
 
