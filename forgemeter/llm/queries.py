@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from forgemeter.llm import htmltext, idfiles, packing, quality, toxicity
+from forgemeter.llm import htmltext, idfiles, lattice, packing, quality, tokencount, toxicity
 
-MODULES = (packing, idfiles, htmltext, quality, toxicity)
+MODULES = (packing, lattice, idfiles, htmltext, tokencount, quality, toxicity)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
