@@ -1,9 +1,11 @@
 """Whole-text encoding with a public tokenizer, a unit at a time.
 
-Both vocabularies split a text before a white-space run at the latest, so a text is the chain of
-its units (ASCII white space, then what follows up to the next), and its ids are the chained ids
-of the units. Units repeat, so a worker keeps those it has met. Texts for which this does
-not hold (white space beyond ASCII, text that looks like a special token) are encoded whole.
+Both vocabularies split a text before a white-space run at the latest, and where a letter is followed
+by ASCII punctuation, so a text is the chain of its units and its ids are the chained ids of
+the units. Units repeat, so a worker keeps those it has met. A vocabulary that ignores case gets
+its texts in lower case, which makes fewer units. Texts beyond the Latin letters are split at
+white space only; texts for which that does not hold either (white space beyond ASCII,
+what looks like a special token) are encoded whole.
 """
 
 from __future__ import annotations
@@ -21,6 +23,15 @@ WHOLE = re.compile(
     "[\\x00\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u2064\\u3000\\ufeff]"
     r"|<\|"
 )
+# Latin letters without İ, whose lower case is two characters; none of them combines.
+BEYOND_LATIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
+_L, _S, _P = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"\x20\x09-\x0D", r"!-/:-@\[-`{-~"
+PIECE = re.compile(
+    rf"[{_S}]*[{_L}]++(?![^{_S}{_P}])"
+    rf"|[{_S}]*[{_P}]++[{_L}]*+(?![^{_S}{_P}])"
+    rf"|[{_S}]*[^{_S}]+"
+    rf"|[{_S}]+"
+)
 # Ends each unit where many are encoded as one text; no unit holds the zero character.
 END = " \x00"
 
@@ -46,6 +57,8 @@ class UnitEncoder:
         self.keep_units = keep_units
         self.known: dict[str, bytes] = {}
         self.end_ids = self._encode([END])[0]
+        one, two = self._encode(["AÉ", "aé"])
+        self.ignores_case = one.tobytes() == two.tobytes()
 
     def _encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
@@ -83,8 +96,10 @@ class UnitEncoder:
                     continue
                 if WHOLE.search(text):
                     out[i] = self._encode([text])[0].tobytes()
-                else:
+                elif BEYOND_LATIN.search(text):
                     split[i] = UNIT.findall(text)
+                else:
+                    split[i] = PIECE.findall(text.lower() if self.ignores_case else text)
             self.learn(set().union(*split.values()))
             for i, units in split.items():
                 out[i] = b"".join(map(self.known.__getitem__, units))
