@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from functools import partial
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,12 +22,20 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stage(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write a step to the shared folder and read it back: the lineage ends there, so a lost
-    executor costs a reread and not the step."""
+    executor costs a reread and not the step. Its shuffle files, needed no more, are removed."""
     spark = df.sparkSession
     path = new_run_folder(spark, purpose)
-    df.write.partitionBy(*partition_by).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -33,6 +43,33 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def word_hashes(text: str, lower: bool = False, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of a text's words; ``bytes.split`` parts at exactly the six white-space bytes
+    and ``bytes.lower`` changes A-Z only."""
+    raw = text.encode("utf-8", "surrogatepass")
+    found = (raw.lower() if lower else raw).split()
+    digest = partial(xxhash.xxh3_64_intdigest, seed=seed) if seed else xxhash.xxh3_64_intdigest
+    return np.fromiter(map(digest, found), dtype=np.uint64, count=len(found))
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spreads 64-bit values: a bijection with every bit depending on all."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all windows of ``width`` consecutive elements, in order."""
+    n = len(hashes) - width + 1
+    if n < 1:
+        return np.zeros(0, dtype=np.uint64)
+    out = np.full(n, width, dtype=np.uint64)
+    for k in range(width):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + n]
+    return mix(out)
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; none for a null or blank text."""
     parts = F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+")
