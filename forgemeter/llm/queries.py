@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from forgemeter.llm import htmltext, idfiles, jaccard, lattice, packing, quality, tokencount, toxicity
+from forgemeter.llm import htmltext, idfiles, jaccard, lattice, packing, quality, substrings, tokencount, toxicity
 
-MODULES = (packing, lattice, jaccard, idfiles, htmltext, tokencount, quality, toxicity)
+MODULES = (packing, lattice, substrings, jaccard, idfiles, htmltext, tokencount, quality, toxicity)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
