@@ -89,7 +89,7 @@ class UnitEncoder:
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """One value per text; a null text has no ids."""
         out: list[bytes] = [b""] * len(texts)
-        for at, group in _groups(texts):
+        for at, group in groups(texts):
             split = {}
             for i, text in enumerate(group, at):
                 if not text:
@@ -106,7 +106,7 @@ class UnitEncoder:
         return out
 
 
-def _groups(texts: Sequence[str | None], chars: int = 2_000_000):
+def groups(texts: Sequence[str | None], chars: int = 2_000_000):
     """Runs of texts of about so many characters, with the place of the first."""
     start = size = 0
     for i, text in enumerate(texts):
