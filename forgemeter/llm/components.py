@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,3 +52,14 @@ def components(edges: DataFrame) -> DataFrame:
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         roots.select("node", F.col("node").alias("component"))
     )
+
+
+def local_roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For a small graph as a symmetric matrix: the least id that each node reaches."""
+    least = ids.copy()
+    while True:
+        around = np.where(linked, least[None, :], np.iinfo(np.int64).max).min(axis=1)
+        nearer = np.minimum(least, around)
+        if (nearer == least).all():
+            return least
+        least = nearer

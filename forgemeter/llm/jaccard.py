@@ -5,14 +5,17 @@ Three global orders of the shingles filter the candidates; a pair must share a p
 1. By hash. A document's prefix is long enough that a similar document shares not one but several
    tokens with it there (a twentieth of the smaller set). Tokens that no other set has in its prefix
    are dropped, and so are documents left with too few: most documents end here.
-2. By rarity, over what is left. All but the last few of a document's tokens are its prefix, so
-   what very many documents share (a licence, a passage) comes last and forms no pairs.
-3. By another hash, over the same tokens.
-
-Pairs that pass are verified on the whole sets. First each document is compared with the least
-document under each of its tokens, and the links joined into components; then all pairs under
-a token that lie in different components. So a group of copies costs a star and not all its pairs, and
-yet no link between components is missed. Equal sets are folded beforehand.
+2. By rarity among the documents left, over their whole sets. What very many documents share (a
+   licence, a passage) comes last and is in few prefixes, and a document of which too
+   much is its own alone ends here.
+3. By rarity in powers of two, and then by another hash.
+
+Documents that share a prefix token of the second order form a family. First each is compared with
+the most central document under each of its tokens, and the links are joined into components; then,
+family by family and in blocks, the documents of different components are compared, all
+filters intersected before the whole sets. So a group of copies costs a star and not all its pairs,
+no pair is ever a row but for those of the star, and no link between components is missed. Equal sets
+are folded beforehand.
 """
 
 from __future__ import annotations
@@ -26,13 +29,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forgemeter.llm import tables
-from forgemeter.llm.components import components
+from forgemeter.llm.components import components, local_roots
 
 SHINGLE = 5
 PERCENT = 75
 # In a batch, a token in the prefixes of so many sets is counted apart, not dealt out by its key.
 HOT_IN_BATCH = 64
 BROADCAST_TOKENS = 200_000
+BLOCK = 256
+LARGE = 64
 
 
 def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
@@ -54,9 +59,20 @@ def prefix_length(n: int, percent: int) -> int:
     return min(n, n - shared_at_least(n, percent) + slack(n))
 
 
+def _apart(tokens: list[np.ndarray]) -> dict[str, list[np.ndarray]]:
+    """The sets of a batch as ``cold`` and ``hot`` tokens: hot ones are frequent in the batch."""
+    unique, counts = np.unique(np.concatenate(tokens or [[]]), return_counts=True)
+    often = unique[counts >= HOT_IN_BATCH]
+    hot = [np.isin(t, often, kind="sort") if len(often) else np.zeros(len(t), bool) for t in tokens]
+    return {
+        "cold": [t[~h].view(np.int64) for t, h in zip(tokens, hot)],
+        "hot": [t[h].view(np.int64) for t, h in zip(tokens, hot)],
+    }
+
+
 def set_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Per row its set's size, signature and prefix in the first order. Of equal sets in a batch only
-    the first has a prefix; prefix tokens frequent in the batch stand apart as ``hot``."""
+    the first has a prefix."""
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -65,25 +81,14 @@ def set_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
             for text in batch["text"]:
                 tokens = shingles(text, width)
                 sign = xxhash.xxh3_128_digest(tokens.tobytes())
-                first = sign not in seen
+                kept = prefix_length(len(tokens), percent) if sign not in seen else 0
                 seen.add(sign)
                 n.append(len(tokens))
                 signs.append(sign)
-                kept = prefix_length(len(tokens), percent) if first else 0
-                prefixes.append(tokens[:kept].view(np.int64))
-            tokens, counts = np.unique(np.concatenate(prefixes or [[]]), return_counts=True)
-            often = tokens[counts >= HOT_IN_BATCH]
-            hot = [np.isin(p, often, kind="sort") if len(often) else None for p in prefixes]
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"].astype("Int64"),
-                    "n": n,
-                    "sign": signs,
-                    "id": [int.from_bytes(s[:8], "little", signed=True) for s in signs],
-                    "cold": [p if h is None else p[~h] for p, h in zip(prefixes, hot)],
-                    "hot": [p[:0] if h is None else p[h] for p, h in zip(prefixes, hot)],
-                }
-            )
+                prefixes.append(tokens[:kept])
+            ids = [int.from_bytes(s[:8], "little", signed=True) for s in signs]
+            doc_id = batch["doc_id"].astype("Int64")
+            yield pd.DataFrame({"doc_id": doc_id, "n": n, "sign": signs, "id": ids} | _apart(prefixes))
 
     picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, n long, sign binary, id long, cold array<long>, hot array<long>"
@@ -91,8 +96,11 @@ def set_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def repeated_tokens(sets: DataFrame) -> DataFrame:
-    """(id, n, token, df) of the prefix tokens that more than one set has, with a frequency that is
-    the same wherever the token stands."""
+    """(id, n, token, df) of the tokens, of those in ``cold`` and ``hot``, that more than one set has,
+    with a frequency that is the same wherever the token stands.
+
+    A token hot in a batch leaves it as a count; so no token brings more rows to one task than it
+    has batches, times HOT_IN_BATCH."""
     hot = sets.select("id", "n", F.explode("hot").alias("token"))
     often = tables.stage(hot.groupBy("token").agg(F.count("*").alias("hot")), "jaccard-hot")
     cold = sets.select(
@@ -119,50 +127,177 @@ def repeated_tokens(sets: DataFrame) -> DataFrame:
     return found.unionAll(there)
 
 
-def filtered(hits: DataFrame, percent: int) -> DataFrame:
-    """Per set its prefix tokens in the second order (``rare``) and in the third (``other``)."""
-    least = slack_of_similar(F.col("n"), percent)
-    entry = F.struct("df", F.xxhash64("token", F.lit(2)).alias("by"), "token")
-    own = hits.groupBy("id", "n").agg(F.collect_set(entry).alias("tokens"))
-    own = own.withColumn("take", F.size("tokens") - least + 1).filter("take > 0")
-    rare = F.slice(F.array_sort("tokens"), F.lit(1), F.col("take"))
-    other = F.transform(
-        "tokens", lambda t: F.struct(F.xxhash64(t["token"], F.lit(3)).alias("by"), t["token"].alias("token"))
+def survivors(hits: DataFrame, percent: int) -> DataFrame:
+    """The sets with enough repeated tokens in the first order's prefix."""
+    smallest = F.ceil(F.col("n") * percent / 100)  # of the sets similar to this one
+    return (
+        hits.groupBy("id", "n")
+        .agg(F.count_distinct("token").alias("shared"))
+        .filter(F.col("shared") >= F.floor(smallest / 20) + 1)
+        .select("id")
     )
-    return own.select(
-        "id",
-        F.col("n").cast("long"),
-        F.transform(rare, lambda t: t["token"]).alias("rare"),
-        F.transform(
-            F.slice(F.array_sort(other), F.lit(1), F.col("take")), lambda t: t["token"]
-        ).alias("other"),
+
+
+def ordered_sets(hits: DataFrame, percent: int) -> DataFrame:
+    """Per set its repeated ``tokens``, those in its prefix in the second order (``rare``) and in the
+    third (``other``), and how common its tokens are (``central``).
+
+    Unrepeated tokens are the rarest: they come first in both prefixes and match nothing."""
+    tie = F.xxhash64("token", F.lit(2)).alias("by")
+    entry = F.struct("df", tie, "token")
+    coarse = F.struct(
+        F.floor(F.log2("df")).alias("rare"), F.xxhash64("token", F.lit(3)).alias("by"), "token"
     )
+    own = hits.groupBy("id", "n").agg(
+        F.collect_set(entry).alias("second"),
+        F.collect_set(coarse).alias("third"),
+        F.avg("df").alias("central"),
+    )
+    take = (F.size("second") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
 
+    def prefix(column: str) -> Column:
+        first = F.slice(F.sort_array(column), F.lit(1), F.col("take"))
+        return F.transform(first, lambda t: t["token"])
 
-def slack_of_similar(n: Column, percent: int) -> Column:
-    """The slack of the smallest set that can be similar to one of n."""
-    smallest = F.ceil(n.cast("long") * percent / 100)
-    return (F.floor(smallest / 20) + 1).cast("int")
+    return own.withColumn("take", take).filter("take > 0").select(
+        F.col("id").alias("rep"),
+        F.col("n").cast("long"),
+        "central",
+        F.transform("second", lambda t: t["token"]).alias("tokens"),
+        prefix("second").alias("rare"),
+        prefix("third").alias("other"),
+    )
 
 
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def verified(pairs: DataFrame, candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b) those that share a token in the third order too, and then those whose
-    whole sets are similar."""
-    others = candidates.select("rep", "other")
+def verified(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b) those that pass the third order too and whose sets are similar."""
     for side in ("a", "b"):
-        pairs = pairs.join(
-            others.withColumnsRenamed({"rep": side, "other": f"other_{side}"}), side
-        )
-    pairs = pairs.filter(F.arrays_overlap("other_a", "other_b")).select("a", "b")
-    for side in ("a", "b"):
-        pairs = pairs.join(sets.withColumnsRenamed({"rep": side, "tokens": f"tokens_{side}"}), side)
+        there = own.select(*[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "tokens", "other")])
+        pairs = pairs.join(there.withColumnRenamed(f"rep_{side}", side), side)
     same = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    union = F.size("tokens_a") + F.size("tokens_b") - same
-    return pairs.filter(same * 100 >= union * percent).select("a", "b")
+    union = F.col("n_a") + F.col("n_b") - same
+    passed = F.arrays_overlap("other_a", "other_b") & (same * 100 >= union * percent)
+    return pairs.filter(passed).select("a", "b")
+
+
+def _common(lists: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """How many values each two of the sets share."""
+    size = len(lists)
+    values, number, counts = np.unique(
+        np.concatenate(lists), return_inverse=True, return_counts=True
+    )
+    row = np.repeat(np.arange(size), [len(x) for x in lists])
+    shared = counts[number] > 1
+    place = (np.cumsum(counts > 1) - 1)[number[shared]]
+    row, out = row[shared], np.zeros((size, size), dtype=np.float32)
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    for first in range(0, int((counts > 1).sum()), columns):
+        a, b = np.searchsorted(place, [first, first + columns])
+        holds = np.zeros((size, columns), dtype=np.float32)
+        holds[row[a:b], place[a:b] - first] = 1
+        out += holds @ holds.T
+    return out
+
+
+def _compare_block(rows: pd.DataFrame, percent: int) -> pd.DataFrame | None:
+    """Links between a block's documents of different components, or between two blocks'."""
+    if len(rows) < 2:
+        return None
+    n, component = rows["n"].to_numpy(), rows["component"].to_numpy()
+    low, high = np.minimum.outer(n, n), np.maximum.outer(n, n)
+    maybe = (component[:, None] != component[None, :]) & (low * 100 >= high * percent)
+    if rows["left"].iat[0] != rows["right"].iat[0]:
+        block = rows["block"].to_numpy()
+        maybe &= block[:, None] != block[None, :]
+    for column in ("rare", "other"):
+        if maybe.any():
+            maybe &= _common(list(rows[column])) > 0
+    if not maybe.any():
+        return None
+    some = maybe.any(axis=1)
+    rows, n, maybe = rows[some], n[some], maybe[np.ix_(some, some)]
+    same = _common(list(rows["tokens"])).astype(np.int64)
+    linked = maybe & (same * 100 >= (np.add.outer(n, n) - same) * percent)
+    reps = rows["rep"].to_numpy()
+    out = pd.DataFrame({"a": reps, "b": local_roots(linked, reps)})
+    return out[out["a"] != out["b"]]
+
+
+def _compare_sorted(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
+    """Rows sorted by pair of blocks; a pair has at most some hundred rows."""
+    rest: pd.DataFrame | None = None
+
+    def found(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for _, part in rows.groupby(["left", "right"], sort=False):
+            out = _compare_block(part, percent)
+            if out is not None and len(out):
+                yield out
+
+    for batch in batches:
+        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        pair = rows[["left", "right"]].to_numpy()
+        last = int((pair == pair[-1]).all(axis=1).argmax())
+        yield from found(rows.iloc[:last])
+        rest = rows.iloc[last:]
+    if rest is not None:
+        yield from found(rest)
+
+
+def across(own: DataFrame, families: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Links between documents of one family and different components.
+
+    A component of LARGE or more documents has blocks of its own, which are not compared with each
+    other; the documents of smaller ones share blocks."""
+    placed = (
+        own.select("rep")
+        .join(families.withColumnRenamed("component", "family"), own["rep"] == families["node"])
+        .drop("node")
+        .join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+        .withColumn("component", F.coalesce("component", "rep"))
+    )
+    placed = tables.stage(placed, "jaccard-families")
+    sizes = placed.groupBy("family", "component").agg(F.count("*").alias("size"))
+    several = sizes.groupBy("family").agg(F.count("*").alias("parts")).filter("parts > 1")
+    owner = F.when(F.col("size") >= LARGE, F.col("component"))
+    sizes = sizes.join(several.select("family"), "family").withColumn("owner", owner)
+    groups = sizes.groupBy("family", "owner").agg(
+        F.sum("size").alias("total"), F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks")
+    )
+    groups = tables.stage(groups, "jaccard-blocks")
+    numbered = groups.select(
+        "family", "owner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at")
+    ).withColumn("block", F.xxhash64("family", F.coalesce("owner", F.lit(-1)), "at"))
+    one = numbered.select("family", F.col("owner").alias("p"), F.col("block").alias("left"))
+    two = numbered.select("family", F.col("owner").alias("q"), F.col("block").alias("right"))
+    # Blocks of a family, not documents: BLOCK squared times fewer than its pairs.
+    pairs = one.join(two, "family").filter(
+        "left <= right and (p is null or q is null or p <> q)"
+    ).select("left", "right")
+    sides = pairs.select("left", "right", F.col("left").alias("block")).unionAll(
+        pairs.filter("left <> right").select("left", "right", F.col("right").alias("block"))
+    )
+    member = (
+        placed.join(sizes.select("family", "component", "owner"), ["family", "component"])
+        .join(groups.select("family", F.col("owner").alias("_o"), "blocks"), "family")
+        .filter(F.col("owner").eqNullSafe(F.col("_o")))
+        .withColumn("at", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        .withColumn("block", F.xxhash64("family", F.coalesce("owner", F.lit(-1)), "at"))
+        .select("rep", "component", "block")
+    )
+    rows = (
+        member.join(own.select("rep", "n", "tokens", "rare", "other"), "rep")
+        .join(sides, "block")
+        .select("left", "right", "block", "rep", "n", "component", "rare", "other", "tokens")
+    )
+    spread = tables.shuffle_partitions(own.sparkSession)
+    return rows.repartition(spread, "left", "right").sortWithinPartitions("left", "right").mapInPandas(
+        lambda batches: _compare_sorted(batches, percent), "a long, b long"
+    )
 
 
 def links(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -175,63 +310,50 @@ def links(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[D
         ),
         "jaccard-reps",
     )
-    own = filtered(repeated_tokens(known), percent)
-    candidates = tables.stage(
-        own.join(reps.select("id", "rep"), "id").drop("id"), "jaccard-candidates"
+    left = tables.stage(
+        survivors(repeated_tokens(known), percent).join(reps, "id").select("rep", "sign"),
+        "jaccard-survivors",
     )
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [shingles(t, width) for t in batch["text"]]
-            same = [
-                xxhash.xxh3_128_digest(x.tobytes()) == s
-                for x, s in zip(found, batch["sign"], strict=True)
-            ]
-            out = pd.DataFrame({"rep": batch["doc_id"], "tokens": [x.view(np.int64) for x in found]})
-            yield out[same]
-
-    wanted = candidates.select("rep").distinct().join(reps.select("rep", "sign"), "rep")
+            same = np.array(
+                [
+                    xxhash.xxh3_128_digest(x.tobytes()) == s
+                    for x, s in zip(found, batch["sign"], strict=True)
+                ],
+                dtype=bool,
+            )
+            sets = {"id": batch["doc_id"], "n": [len(x) for x in found]} | _apart(found)
+            yield pd.DataFrame(sets)[same]
+
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(
-        wanted.withColumnRenamed("rep", "doc_id"), "doc_id"
+        left.withColumnRenamed("rep", "doc_id"), "doc_id"
     )
-    sets = tables.stage(
-        texts.mapInPandas(tokens, "rep long, tokens array<long>").dropDuplicates(["rep", "tokens"]),
-        "jaccard-tokens",
+    whole = tables.stage(
+        texts.mapInPandas(tokens, "id long, n long, cold array<long>, hot array<long>"),
+        "jaccard-whole",
     )
-    posts = candidates.select("rep", "n", F.explode("rare").alias("token"))
-    first = posts.groupBy("token").agg(F.min(F.struct("rep", "n")).alias("first"))
+    own = tables.stage(ordered_sets(repeated_tokens(whole), percent), "jaccard-ordered")
+    posts = own.select("rep", "n", "central", F.explode("rare").alias("token"))
+    lead = F.max(F.struct("central", (-F.col("rep")).alias("first"), "n")).alias("lead")
     star = (
-        posts.join(first, "token")
-        .select(F.col("rep").alias("a"), "n", F.col("first.rep").alias("b"), F.col("first.n").alias("m"))
-        .filter(_sizes_fit("n", "m", percent) & (F.col("a") != F.col("b")))
-        .select("a", "b")
+        posts.join(posts.groupBy("token").agg(lead), "token")
+        .select(
+            F.col("rep").alias("a"),
+            (-F.col("lead.first")).alias("b"),
+            _sizes_fit("n", "lead.n", percent).alias("fits"),
+        )
+        .filter("a <> b")
         .distinct()
     )
     star = tables.stage(star, "jaccard-star")
-    near = tables.stage(verified(star, candidates, sets, percent), "jaccard-links")
-    parts = components(near)
-    placed = posts.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep")
-    )
-    placed = tables.stage(placed, "jaccard-posts")
-    mixed = placed.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    mixed = placed.join(mixed.filter("low <> high").select("token"), "token")
-    left = mixed.select("token", F.col("rep").alias("a"), F.col("n"), F.col("component").alias("p"))
-    right = mixed.select(
-        "token", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("component").alias("q")
-    )
-    across = (
-        left.join(right, "token")
-        .filter((F.col("p") > F.col("q")) & _sizes_fit("n", "m", percent))
-        .select("a", "b")
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
+    near = tables.stage(
+        verified(star.filter("fits").select("a", "b"), own, percent), "jaccard-links"
     )
-    across = tables.stage(across, "jaccard-across")
-    more = tables.stage(verified(across, candidates, sets, percent), "jaccard-links")
-    return reps, near.unionAll(more)
+    more = across(own, components(star.select("a", "b")), components(near), percent)
+    return reps, near.unionAll(tables.stage(more, "jaccard-links"))
 
 
 def near_documents(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgemeter.llm import tables
-from forgemeter.llm.components import components
+from forgemeter.llm.components import components, local_roots
 
 COSINE = 0.98
 TABLES = 8
@@ -147,13 +147,7 @@ def _compare(rows: pd.DataFrame, cosine: float) -> pd.DataFrame | None:
     if not some.any():
         return None
     reps, copies = rows["rep"].to_numpy(), rows["n"].to_numpy()
-    least = reps.copy()
-    while True:
-        around = np.where(linked, least[None, :], np.iinfo(np.int64).max).min(axis=1)
-        nearer = np.minimum(least, around)
-        if (nearer == least).all():
-            break
-        least = nearer
+    least = local_roots(linked, reps)
     return pd.DataFrame({"rep": reps, "linked": linked @ copies, "root": least})[some]
 
 

@@ -29,18 +29,21 @@ def _bucket(*parts: Column) -> Column:
 
 
 def word_rows(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_words", tables.words(F.col("text").cast("string")))
+    """The rows with their words and the words' 64-bit hashes."""
+    rows = docs.withColumn("_words", tables.words(F.col("text").cast("string")))
+    return rows.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
 
 
-def _buckets(words: Column) -> Column:
-    """The buckets of a text's n-grams: three for each word, of which the pair with the word
-    before it is null at the first."""
-
-    def of(word: Column, at: Column) -> Column:
-        pair = F.when(at > 0, _bucket(F.get(words, at - 1), word))
-        return F.array(_bucket(word), _bucket(F.lit(_TAIL), F.right(word, F.lit(3))), pair)
-
-    return F.flatten(F.transform(words, of))
+def _grams(at: Column, use) -> tuple[Column, Column, Column]:
+    """``use`` of the buckets of the n-grams that end at a word: the word, its last three letters,
+    and the pair with the word before it, which is null at the first."""
+    own, before = F.get("_hashes", at), F.get("_hashes", at - 1)
+    tail = F.xxhash64(F.lit(_TAIL), F.right(F.get("_words", at), F.lit(3)))
+    return (
+        use(F.pmod(own, F.lit(BUCKETS)).cast("int")),
+        use(F.pmod(tail, F.lit(BUCKETS)).cast("int")),
+        F.when(at > 0, use(_bucket(before, own))),
+    )
 
 
 def bucket_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -54,7 +57,9 @@ def bucket_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marked = docs.select(F.col("doc_id").cast("long"), "text").join(
         trusted.hint("shuffle_hash"), "doc_id", "left"
     )
-    grams = word_rows(marked).select("_trusted", F.explode(_buckets(F.col("_words"))).alias("bucket"))
+    placed = word_rows(marked).select("_trusted", "_words", "_hashes", F.posexplode("_hashes"))
+    buckets = F.array(*_grams(F.col("pos"), lambda bucket: bucket))
+    grams = placed.select("_trusted", F.explode(buckets).alias("bucket"))
     return (
         grams.filter(F.col("bucket").isNotNull())
         .groupBy("bucket")
@@ -80,40 +85,44 @@ def log_ratios(counts: DataFrame) -> list[float]:
     return out
 
 
-def ratio_score(words: Column, ratios: list[float]) -> Column:
+def ratio_score(ratios: list[float]) -> Column:
     """Mean log ratio of a text's n-grams; 0 for a text without words."""
     table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    total = F.aggregate(
-        _buckets(words), F.lit(0.0), lambda acc, b: acc + F.coalesce(F.get(table, b), F.lit(0.0))
-    )
-    grams = 3 * F.size(words) - 1
-    return F.when(F.size(words) > 0, total / grams).otherwise(F.lit(0.0))
 
+    def worth(_, at: Column) -> Column:
+        one, tail, pair = _grams(at, lambda bucket: F.get(table, bucket))
+        return one + tail + F.coalesce(pair, F.lit(0.0))
+
+    total = F.aggregate(F.transform("_hashes", worth), F.lit(0.0), lambda acc, x: acc + x)
+    n = F.size("_hashes")
+    return F.when(n > 0, total / (3 * n - 1)).otherwise(F.lit(0.0))
 
-def _windows(words: Column) -> Column:
+
+def _windows() -> Column:
     """64-bit hashes of the three-word windows, in order."""
-    n = F.size(words)
+    n = F.size("_hashes")
     starts = F.when(n >= 3, F.sequence(F.lit(0), n - 3)).otherwise(F.array().cast("array<int>"))
     return F.transform(
-        starts, lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
+        starts,
+        lambda i: F.xxhash64(F.get("_hashes", i), F.get("_hashes", i + 1), F.get("_hashes", i + 2)),
     )
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """The rows with their words (``_words``) and n_words, word_chars, n_symbols, n_dup_lines,
+    """The rows with their words (``_words``, ``_hashes``) and n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words and base_failed."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    blank = F.translate(text, tables.SPACES, "")
-    lines = F.filter(
-        F.split(text, "\n"), lambda x: F.length(F.translate(x, tables.SPACES, "")) > 0
-    )
+    lines = F.filter(F.split(text, "\\n"), lambda x: F.ltrim(x, F.lit(tables.SPACES)) != "")
+    plain = text
+    for symbol in SYMBOLS:
+        plain = F.replace(plain, F.lit(symbol), F.lit(""))
     rows = (
         word_rows(docs)
         .withColumn("n_words", F.size("_words").cast("long"))
-        .withColumn("word_chars", F.length(blank).cast("long"))
+        .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
         .withColumn(
             "n_symbols",
-            (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+            (F.length(text) - F.length(plain)).cast("long"),
         )
         .withColumn("_lines", lines)
         .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
@@ -121,8 +130,8 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     )
     # Sorted with their places, equal windows are neighbours; the places of the repeated ones, sorted
     # again, each cover three words or those up to the next.
-    rows = rows.withColumn("_windows", _windows(F.col("_words")))
-    placed = F.array_sort(
+    rows = rows.withColumn("_windows", _windows())
+    placed = F.sort_array(
         F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     )
     rows = rows.withColumn(
@@ -165,9 +174,9 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
     nothing; without trusted documents every ratio is 0 and the base rules decide alone. Repeated
     rows are judged each. Columns of the names this adds are replaced."""
     ratios = log_ratios(bucket_counts(docs, labels))
-    rows = with_statistics(docs).withColumn("llr", ratio_score(F.col("_words"), ratios))
+    rows = with_statistics(docs).withColumn("llr", ratio_score(ratios))
     kept = ~F.col("base_failed") & (F.col("llr") >= threshold)
-    return rows.withColumn("kept", kept).drop("_words")
+    return rows.withColumn("kept", kept).drop("_words", "_hashes")
 
 
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -73,4 +73,4 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
 def words(text: Column) -> Column:
     """The words of a text as an array; none for a null or blank text."""
     parts = F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+")
-    return F.filter(parts, lambda w: w != "")
+    return F.array_remove(parts, "")

@@ -14,7 +14,8 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -54,7 +55,7 @@ def byte_letters() -> dict[str, int]:
 class PrefixCounter:
     """Token counts at every byte of a unit without pre-token splits inside, kept by unit."""
 
-    def __init__(self, path: str, keep_units: int = 400_000):
+    def __init__(self, path: str, keep_units: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -80,24 +81,19 @@ class PrefixCounter:
             self.split[made] = (a, b)
         self.longest = max(map(len, self.ids))
         self.joint: dict[int, bool] = {}
+        self.white: dict[str, list[int]] = {}
+        self.state: tuple[bytes, list[int], list[int], list[int]] = (b"", [-1], [0], [0])
         self.keep_units = keep_units
         self.known: dict[str, int] = {}
         specials = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.special_text = max(specials, default="")
         self.special = re.compile("|".join(map(re.escape, specials)) or r"(?!)")
 
-    def holds(self, left: int, right: int) -> bool:
+    def _holds(self, left: int, right: int) -> bool:
         """Whether two tokens stay as they are side by side.
 
         Their merges are undone from the latest on; a merge across the joint that ranks before the
         undone one would have come first."""
-        key = left << 32 | right
-        found = self.joint.get(key)
-        if found is None:
-            found = self.joint[key] = self._holds(left, right)
-        return found
-
-    def _holds(self, left: int, right: int) -> bool:
         bound = never = 1 << 40
         while True:
             if self.ranks.get((left, right), never) < bound:
@@ -113,31 +109,60 @@ class PrefixCounter:
     def run(self, text: str) -> list[int]:
         """Counts at every code point of one pre-token."""
         raw = text.encode("utf-8", "replace")
-        last, count = [-1], [0]
-        ids, holds, longest = self.ids, self.holds, self.longest
-        for stop in range(1, len(raw) + 1):
-            for start in range(max(0, stop - longest), stop):
-                token = ids.get(raw[start:stop])
-                if token is not None and (not start or holds(last[start], token)):
-                    last.append(token)
-                    count.append(count[start] + 1)
-                    break
+        # What the pre-token before has in common with this one is known; units are met in order.
+        before, last, start_of, count = self.state
+        same = 0
+        for a, b in zip(before, raw):
+            if a != b:
+                break
+            same += 1
+        del last[same + 1 :], start_of[same + 1 :], count[same + 1 :]
+        self.state = (raw, last, start_of, count)
+        get, joint, longest = self.ids.get, self.joint, self.longest
+        for stop in range(same + 1, len(raw) + 1):
+            # One start only holds, so the order is free: where the token before began, then others.
+            likely = start_of[-1]
+            low = max(0, stop - longest)
+            for start in chain((likely,), range(stop - 1, low - 1, -1)):
+                token = get(raw[start:stop])
+                if token is None:
+                    continue
+                if start:
+                    left = last[start]
+                    key = left << 32 | token
+                    holds = joint.get(key)
+                    if holds is None:
+                        holds = joint[key] = self._holds(left, token)
+                    if not holds:
+                        continue
+                last.append(token)
+                start_of.append(start)
+                count.append(count[start] + 1)
+                break
         if len(raw) == len(text):
             return count[1:]
         return [count[i] for i in range(1, len(raw) + 1) if i == len(raw) or raw[i] & 0xC0 != 0x80]
 
+    def white_run(self, white: str) -> list[int]:
+        found = self.white.get(white)
+        if found is None:
+            if len(self.white) > 10_000:
+                self.white = {}
+            found = self.white[white] = self.run(white)
+        return found
+
     def unit(self, text: str) -> list[int]:
         """Counts at every code point of a unit. A run of white space is one pre-token while the
         prefix ends in it; before anything else its last character is apart, and a space joins it."""
         white = _LEAD.match(text)[0]
         rest = text[len(white) :]
-        out = self.run(white) if white else []
+        out = list(self.white_run(white)) if white else []
         if not rest:
             return out
         base = out[-2] if len(white) > 1 else 0
         joined = white.endswith(" ")
         if white and not joined:
-            base += self.run(white[-1])[-1]
+            base += self.white_run(white[-1])[-1]
         for i, part in enumerate(PRE_TOKEN.findall(" " + rest if joined else rest)):
             counts = self.run(part)
             if part in PARTED:  # its beginning alone is a quote and a letter
@@ -146,13 +171,13 @@ class PrefixCounter:
             base += counts[-1]
         return out
 
-    def learn(self, units: list[str]) -> None:
+    def learn(self, units: Iterable[str]) -> None:
         new = set(units).difference(self.known)
         if len(self.known) + len(new) > self.keep_units:
             self.known, new = {}, set(units)
-        if len(self.joint) > 4 * self.keep_units:
+        if len(self.joint) > 2 * self.keep_units:
             self.joint = {}
-        for text in new:
+        for text in sorted(new):
             counts = self.unit(text)
             self.known[text] = counts[-1]
 
@@ -160,13 +185,20 @@ class PrefixCounter:
         """The text between special tokens, as the library's default finds them."""
         return self.special.split(text) if "<|" in text else [text]
 
+    def totals(self, texts: Sequence[str | None]) -> list[int]:
+        """Counts of whole texts; what is new in them is learnt together."""
+        split = []
+        for text in texts:
+            parts = self._parts(text or "")
+            units = UNIT.findall(parts[0])
+            for part in parts[1:]:
+                units += UNIT.findall(part)
+            split.append((units, len(parts) - 1))
+        self.learn(set().union(*(units for units, _ in split)))
+        return [sum(map(self.known.__getitem__, units)) + extra for units, extra in split]
+
     def total(self, text: str | None) -> int:
-        if not text:
-            return 0
-        parts = self._parts(text)
-        units = [u for part in parts for u in UNIT.findall(part)]
-        self.learn(units)
-        return sum(map(self.known.__getitem__, units)) + len(parts) - 1
+        return self.totals([text])[0]
 
     def table(self, text: str | None) -> np.ndarray:
         """Counts of all prefixes by code points, from the empty one to the whole text.
@@ -230,7 +262,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT) -> Da
         found = counter(tokenizer_path)
         for batch in batches:
             texts = batch["text"].fillna("").tolist()
-            n = [found.total(t) for t in texts]
+            n = [x for _, group in tokens.groups(texts) for x in found.totals(group)]
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"].astype("Int64"),
