@@ -21,6 +21,9 @@ THRESHOLD = -0.25
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
+ADDED = [
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept",
+]
 _TAIL = "\x01"  # keeps a word's end apart from a word
 
 
@@ -176,7 +179,10 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
     ratios = log_ratios(bucket_counts(docs, labels))
     rows = with_statistics(docs).withColumn("llr", ratio_score(ratios))
     kept = ~F.col("base_failed") & (F.col("llr") >= threshold)
-    return rows.withColumn("kept", kept).drop("_words", "_hashes")
+    found = F.struct(*[kept.alias("kept") if c == "kept" else F.col(c) for c in ADDED])
+    # Made by a generator, the columns are computed once: a filter on them cannot be pushed below,
+    # where it would repeat their expressions inside each other.
+    return rows.select(*[c for c in docs.columns if c not in ADDED], F.inline(F.array(found)))
 
 
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
