@@ -12,17 +12,22 @@ from pyspark.sql import functions as F
 from forgemeter.llm import jaccard, packing, quality, substrings, tables, toxicity
 
 
+def _with_row(docs: DataFrame) -> DataFrame:
+    """Only what operators read, and the whole row apart, so its columns clash with none of theirs."""
+    return docs.select(F.struct("*").alias("row"), "doc_id", "text")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier, fitted to their labels, calls toxic."""
     model = toxicity.fit(docs, tables.read_table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model)
-    return scored.filter(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    scored = toxicity.score(_with_row(docs), model)
+    return scored.filter(F.col("score") < toxicity.THRESHOLD).select("row.*")
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that fail the base rules or the log-likelihood ratio."""
-    judged = quality.judge(docs, tables.read_table(spark, sf_dir, "labels"))
-    return judged.filter("kept").select(*docs.columns)
+    judged = quality.judge(_with_row(docs), tables.read_table(spark, sf_dir, "labels"))
+    return judged.filter("kept").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,21 +36,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     found = jaccard.near_documents(docs)
     kept = found.filter("doc_id = component_id").select("doc_id").distinct()
     first = Window.partitionBy("doc_id").orderBy("text")
-    one = docs.join(kept, "doc_id", "left_semi").withColumn("_row", F.row_number().over(first))
-    rest = docs.filter(F.col("doc_id").isNull())
-    return one.filter("_row = 1").select(*docs.columns).unionAll(rest)
+    one = _with_row(docs).join(kept, "doc_id", "left_semi")
+    one = one.withColumn("at", F.row_number().over(first)).filter("at = 1").select("row.*")
+    return one.unionAll(docs.filter(F.col("doc_id").isNull()))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the words under a window of twenty that stands earlier. A text that loses words is
     the rest joined by single spaces; it may be empty, and its document stays."""
-    cut = substrings.remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    columns = {"text": text}
+    cut = substrings.remove_repeats(_with_row(docs))
+    row = F.col("row").withField(
+        "text", F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("row.text"))
+    )
     if "n_chars" in docs.columns:
         length = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
-        columns["n_chars"] = F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars"))
-    return cut.withColumns(columns).select(*docs.columns)
+        row = row.withField(
+            "n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("row.n_chars"))
+        )
+    return cut.select(row.alias("row")).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
