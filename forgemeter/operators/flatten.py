@@ -34,11 +34,12 @@ def flatten_events(
     """The flat event without its language: missing text is empty, a missing number is 0.
 
     Events without an id are dropped. The seven type-specific columns hold their default
-    unless the event is of their type.
+    unless the event is of their type. A column ``arrival`` is kept.
     """
     ingested_at = F.current_timestamp() if ingested_at is None else ingested_at
     event_type = _text("type", schemas.DEFAULT_TYPE)
     return raw.where(_text("id") != "").select(
+        *[c for c in ("arrival",) if c in raw.columns],
         F.col("id").alias("event_id"),
         event_type.alias("event_type"),
         _text("actor.login").alias("actor_login"),

@@ -92,7 +92,8 @@ def all_messages(*messages: DataFrame) -> DataFrame:
 
 
 def decode_messages(messages: DataFrame, kind: str, body: str = "body") -> DataFrame:
-    """Rows carried by messages of one kind; other kinds and invalid text give none."""
+    """Rows carried by messages of one kind; other kinds, invalid text, and items that are not there
+    or lack their first field give none."""
     is_list = kind in LIST_KINDS
     name, fields = (LIST_KINDS if is_list else ITEM_KINDS)[kind]
     item = T.StructType(
@@ -111,6 +112,7 @@ def decode_messages(messages: DataFrame, kind: str, body: str = "body") -> DataF
         F.col("m.type") == kind
     )
     content = F.explode(F.col(f"m.{name}")) if is_list else F.col(f"m.{name}")
-    return opened.select(content.alias("item")).select(
+    key = next(iter(fields.values()))
+    return opened.select(content.alias("item")).where(F.col(f"item.{key}").isNotNull()).select(
         *[F.col(f"item.{field}").alias(c) for c, field in fields.items()]
     )

@@ -31,13 +31,17 @@ def enrich_events(
 ) -> DataFrame:
     """Batch: the 17-field enriched events, one per event id.
 
-    Duplicates go first, so later steps see each event once and its id can spread the rows
+    Of copies the first to arrive stays, where ``arrival`` is known. Duplicates go first, so later steps see each event once and its id can spread the rows
     of busy repositories. ``spread_hot_repos`` finds those repositories in a narrow pass of
     its own over ``flat``, which should be stored then. It is for a ``repo_languages`` too
     large to broadcast.
     """
     hot = hot_repo_languages(flat, repo_languages) if spread_hot_repos else None
-    return lookup_repo_language(dedup_events(flat), repo_languages, hot)
+    if "arrival" in flat.columns:
+        once = dedup_events(flat, first_by="arrival").drop("arrival")
+    else:
+        once = dedup_events(flat)
+    return lookup_repo_language(once, repo_languages, hot)
 
 
 def ingest_pages(
@@ -57,13 +61,10 @@ def ingest_stream(
 ) -> DataFrame:
     """Streaming: records of pages as they land.
 
-    An id is remembered for ``dedup_delay`` of ``created_at`` time. An event without a
-    readable time is not dropped: it takes the time of the batch.
+    An id is remembered for ``dedup_delay`` after it arrived. The clock is that of the batch, which
+    the offset log keeps, so no event is ever late, whatever its own time says.
     """
-    flat = flatten_events(explode_pages(pages)).withColumn(
-        "_seen_at",
-        F.coalesce(F.try_to_timestamp("created_at"), F.current_timestamp()),
-    )
+    flat = flatten_events(explode_pages(pages)).withColumn("_seen_at", F.current_timestamp())
     once = dedup_stream(flat, "_seen_at", dedup_delay)
     enriched = lookup_repo_language(once, repo_languages, hot)
     return encode_records(enriched.drop("_seen_at"))

@@ -24,11 +24,12 @@ TYPE_MAP = {
 def utc_instant(wall: Column, session_zone: str) -> Column:
     """A zone-less UTC timestamp as an instant.
 
-    The cast reads it in the session's zone; only a zone other than UTC needs the slower
-    conversion first.
+    The cast reads it in the session's zone. In a zone other than UTC an hour may come twice, so there
+    the microseconds since the epoch are counted without a zone.
     """
     if session_zone not in ("UTC", "Etc/UTC", "Z", "+00:00"):
-        wall = F.convert_timezone(F.lit("UTC"), F.lit(session_zone), wall)
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, wall))
     return wall.cast("timestamp")
 
 

@@ -94,14 +94,20 @@ def read_batch(
 def read_latest(
     spark: SparkSession, root: str, table: KeyedTable, upto: int | None = None
 ) -> DataFrame:
-    """All stored columns of every key as of batch ``upto`` (newest when not given)."""
+    """All stored columns of every key as of batch ``upto`` (newest when not given).
+
+    A batch whose predecessors were folded into a later base and deleted cannot be read any
+    more; that is an error, never a part of the table."""
 
     def seen(numbers: list[int]) -> list[int]:
         return [n for n in numbers if upto is None or n <= upto]
 
-    bases = seen(_bases(spark, root, table))
-    base = max(bases, default=None)
-    batches = [n for n in seen(committed_batches(spark, root, table)) if base is None or n > base]
+    all_bases = _bases(spark, root, table)
+    base = max(seen(all_bases), default=None)
+    logged = committed_batches(spark, root, table)
+    if base is None and all_bases and not any(n <= min(all_bases) for n in logged):
+        raise ValueError(f"{table.name}: batch {upto} is older than the oldest base kept")
+    batches = [n for n in seen(logged) if base is None or n > base]
 
     if table.replace:
         if batches:

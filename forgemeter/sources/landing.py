@@ -9,8 +9,12 @@ from forgemeter import schemas
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed page file, its whole text in ``body``."""
-    return spark.read.text(path, wholetext=True).select(F.col("value").alias("body"))
+    """One row per landed page file: its whole text in ``body``, when it landed and its path."""
+    return spark.read.text(path, wholetext=True).select(
+        F.col("value").alias("body"),
+        F.col("_metadata.file_modification_time").alias("landed_at"),
+        F.col("_metadata.file_path").alias("page"),
+    )
 
 
 def stream_pages(
@@ -23,9 +27,21 @@ def stream_pages(
 
 
 def explode_pages(pages: DataFrame, body: str = "body") -> DataFrame:
-    """Each raw event of each page array as one row; the array is parsed once, in its task."""
-    events = F.from_json(F.col(body), schemas.RAW_PAGE)
-    return pages.select(F.explode(events).alias("raw")).select("raw.*")
+    """Each raw event of each page array as one row.
+
+    A body that is not an array gives none. The array is split into the texts of its elements
+    first, so an element that is no object, or cannot be read, is left out alone. Both parses are
+    generators, done once. Where pages know when and as what they landed, ``arrival`` orders the events
+    as they came."""
+    known = {"landed_at", "page"} <= set(pages.columns)
+    at = ["landed_at", "page"] if known else []
+    elements = F.from_json(F.col(body), "array<string>")
+    is_array = F.ltrim(F.col(body), F.lit(" \t\r\n\ufeff")).startswith("[")
+    texts = pages.where(is_array).select(*at, F.posexplode(elements).alias("place", "element"))
+    is_object = F.ltrim(F.col("element"), F.lit(" \t\r\n")).startswith("{")
+    arrival = [F.struct(*at, "place").alias("arrival")] if known else []
+    event = F.inline(F.array(F.from_json("element", schemas.RAW_EVENT)))
+    return texts.where(is_object).select(*arrival, event)
 
 
 def write_records(records: DataFrame, path: str, mode: str = "append") -> None:

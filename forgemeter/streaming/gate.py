@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,17 +28,20 @@ def rolling_top(
     rank: Callable[[DataFrame], DataFrame],
     whole_table: Callable[[], DataFrame],
     keep: int = 10,
+    committed: Sequence[int] = (),
 ) -> DataFrame:
     """The top list after a batch, from the list before it and the keys that changed.
 
     Counts only grow, so a key that is neither on the list nor changed cannot enter it, and
-    the table need not be read again. The list of each batch is stored; the first one, which
-    has none before it, ranks the whole table.
+    the table need not be read again. The list of each batch is stored. The first one, which
+    has none before it, ranks the whole table; so does one after a gap: of the table's ``committed``
+    batches some between the last list and this one were not ranked.
     """
     spark = changed.sparkSession
     stored = published(spark, folder)
     earlier = [n for n in stored if n < batch_id]
-    if earlier:
+    gap = earlier and any(earlier[-1] < n < batch_id for n in committed)
+    if earlier and not gap:
         before = read_published(spark, folder, earlier[-1])
         unchanged = before.join(changed.select(key), key, "left_anti")
         top = rank(unchanged.unionByName(changed.select(*before.columns)))

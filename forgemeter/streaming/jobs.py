@@ -181,8 +181,9 @@ def _publish(
     if scan_limit is None:
         changed = changelog.read_batch(session, root, table, batch_id)
         top = rolling_top(
-            changed, f"{root}/{kind}_top", batch_id, table.key, rank, whole_table
-        )
+            changed, f"{root}/{kind}_top", batch_id, table.key, rank, whole_table,
+            committed=changelog.committed_batches(session, root, table),
+        )
     else:
         top = rank(whole_table(), scan_limit)
     if publish_if_grown(top, f"{root}/{kind}_updates", batch_id):
