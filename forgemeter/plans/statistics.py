@@ -38,15 +38,17 @@ def build_tables(
     events: DataFrame,
     rankings: DataFrame,
     root: str,
-    batch_id: int = 0,
+    batch_id: int | None = None,
     exact: bool = False,
 ) -> None:
-    """Write all five tables as one batch.
+    """Write all five tables as one batch, by default under the next free id.
 
     The events are read once per kind of group (window, repository, contributor). What two
     tables share is written first and read back, not computed twice, so an executor lost
     later costs a re-read only. For the same reason the events should be a stored table.
     """
+    if batch_id is None:
+        batch_id = changelog.next_batch(spark, root)
     repos = repo_stats(events, exact)
     changelog.write_batch(repos, root, changelog.REPO, batch_id)
     stored = changelog.read_latest(spark, root, changelog.REPO, batch_id)

@@ -70,8 +70,22 @@ def last_batch(spark: SparkSession, root: str, table: KeyedTable) -> int | None:
     return max(seen, default=None)
 
 
+def next_batch(spark: SparkSession, root: str) -> int:
+    """The first id that is free in all result tables below a root."""
+    last = [last_batch(spark, root, table) for table in RESULT_TABLES.values()]
+    return max((n for n in last if n is not None), default=-1) + 1
+
+
 def write_batch(rows: DataFrame, root: str, table: KeyedTable, batch_id: int) -> None:
-    """Write one batch; sorted within each file so that key ranges skip row groups."""
+    """Write one batch; sorted within each file so that key ranges skip row groups.
+
+    Writing a batch again replaces its rows, as a replay needs. A batch before the newest base is
+    no replay and readers would never see it, so it is refused: a new run over old tables
+    takes ids from ``next_batch`` on.
+    """
+    base = max(_bases(rows.sparkSession, root, table), default=-1)
+    if batch_id < base:
+        raise ValueError(f"{table.name}: batch {batch_id} lies before the base of batch {base}")
     (
         rows.select(*table.stored.names)
         .sortWithinPartitions(table.key)

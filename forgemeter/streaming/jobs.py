@@ -40,6 +40,8 @@ class JobConfig:
 
     ``output_mode`` of the cumulative queries: ``update`` writes the keys that changed in a
     batch, ``complete`` writes every key every time and suits small key counts only.
+    ``first_batch`` is the id of the first batch of the checkpoints: with new checkpoints on tables that
+    have batches already, ``changelog.next_batch`` of them.
     """
 
     tables: str
@@ -48,6 +50,7 @@ class JobConfig:
     output_mode: str = "update"
     watermark: str = schemas.WATERMARK
     state_store: str = ROCKSDB
+    first_batch: int = 0
 
 
 @contextmanager
@@ -76,7 +79,7 @@ def start_query(
         result.writeStream.outputMode(mode)
         .option("checkpointLocation", f"{config.checkpoints}/{name}")
         .trigger(**config.trigger)
-        .foreachBatch(sink)
+        .foreachBatch(lambda batch, batch_id: sink(batch, config.first_batch + batch_id))
     )
     with _state_store(result.sparkSession, config.state_store):
         return writer.start()

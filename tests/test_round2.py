@@ -115,3 +115,18 @@ def test_top_list_after_a_gap(spark, folder):
     top(0, actors(spark, ("a", 1)), actors(spark, ("a", 1)), [0])
     got = top(2, actors(spark, ("a", 2)), whole, [0, 1, 2])
     assert rows(got, "actor_login", "activity_count") == [("a", 2), ("b", 50)]
+
+
+def test_rebuilt_tables_are_served(spark, folder):
+    table = changelog.ACTOR
+    changelog.write_batch(actors(spark, ("u", 1)), folder, table, changelog.next_batch(spark, folder))
+    changelog.write_batch(actors(spark, ("u", 1)), folder, table, changelog.next_batch(spark, folder))
+    changelog.compact(spark, folder, table)
+    with pytest.raises(ValueError):
+        changelog.write_batch(actors(spark, ("u", 5)), folder, table, 0)
+    for _ in range(2):
+        new = changelog.next_batch(spark, folder)
+        changelog.write_batch(actors(spark, ("u", 2), ("v", 9)), folder, table, new)
+        changelog.compact(spark, folder, table)
+    got = rows(changelog.read_table(spark, folder, table), "actor_login", "activity_count")
+    assert got == [("u", 2), ("v", 9)]
