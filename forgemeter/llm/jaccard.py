@@ -383,4 +383,29 @@ def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"op6_ngram_jaccard": op6_ngram_jaccard}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op6_ngram_jaccard": r"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+            FROM documents),
+        starts AS (
+            SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 4))) AS p
+            FROM texts WHERE len(ws) > 0),
+        shingles AS (SELECT DISTINCT doc_id, array_to_string(ws[p:p + 4], ' ') AS s FROM starts),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b
+            ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * c >= 75 * (x.n + y.n - c)),
+        reached AS (
+            SELECT doc_id, doc_id AS root FROM documents
+            UNION SELECT links.b, reached.root FROM reached JOIN links ON links.a = reached.doc_id),
+        roots AS (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY doc_id)
+        SELECT roots.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+        FROM roots LEFT JOIN sizes ON sizes.doc_id = roots.doc_id
+    """
+}

@@ -280,4 +280,21 @@ def op2_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"op2_embeddings": op2_embeddings}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_embeddings": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.98),
+        reached AS (
+            SELECT vec_id, vec_id AS root FROM embeddings
+            UNION SELECT links.b, reached.root FROM reached JOIN links ON links.a = reached.vec_id),
+        roots AS (SELECT vec_id, min(root) AS component_id FROM reached GROUP BY vec_id),
+        counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT roots.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id,
+            roots.vec_id = component_id AS kept
+        FROM roots LEFT JOIN counts ON counts.vec_id = roots.vec_id
+    """
+}

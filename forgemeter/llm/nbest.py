@@ -55,7 +55,7 @@ class Lattice:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.n_best, self.keep_units = n_best, keep_units
-        self.pieces: dict[str, tuple[int, float]] = {}
+        self.pieces: dict[str, tuple[tuple[int], float]] = {}
         self.byte_ids = [model.unk_id()] * 256
         self.bytes_of: list[bytes] = []
         for i in range(model.get_piece_size()):
@@ -66,11 +66,12 @@ class Lattice:
             elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
                 self.bytes_of.append(b"")
             else:
-                self.pieces[piece] = (i, model.get_score(i))
+                self.pieces[piece] = ((i,), model.get_score(i))
                 self.bytes_of.append(piece.replace(MARK, " ").encode())
         self.longest = max(map(len, self.pieces))
         self.unknown = min(s for _, s in self.pieces.values()) - UNKNOWN_PENALTY
         self.unit = self._unit_pattern()
+        self.state: tuple[str, list, list[float]] = ("", [[]], [0.0])
         self._forget()
 
     def _unit_pattern(self) -> re.Pattern:
@@ -100,32 +101,39 @@ class Lattice:
         """The text as the lattice sees it: a mark before it and for each space."""
         return MARK + text.replace(" ", MARK) if text else ""
 
-    def arcs(self, unit: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
-        """For each place the pieces that end there: start, ids, score, the longest first. A letter
-        without a piece is its bytes."""
-        pieces, longest = self.pieces, self.longest
-        out: list[list[tuple[int, tuple[int, ...], float]]] = [[]]
-        for stop in range(1, len(unit) + 1):
+    def arcs(self, unit: str) -> tuple[list, list[float]]:
+        """For each place the pieces that end there, the best first: best score from the start over
+        them, start, ids, own score; and that best score. A letter without a piece is its bytes.
+
+        Units are met in order, so what one shares with the one before is kept: a place's pieces
+        depend on nothing behind it."""
+        before, out, best = self.state
+        same = 0
+        for a, b in zip(before, unit):
+            if a != b:
+                break
+            same += 1
+        del out[same + 1 :], best[same + 1 :]
+        self.state = (unit, out, best)
+        get, longest = self.pieces.get, self.longest
+        for stop in range(same + 1, len(unit) + 1):
             here = []
             for start in range(max(0, stop - longest), stop):
-                found = pieces.get(unit[start:stop])
+                found = get(unit[start:stop])
                 if found is not None:
-                    here.append((start, (found[0],), found[1]))
-            if not here or here[-1][0] != stop - 1:
+                    here.append((best[start] + found[1], start, found[0], found[1]))
+            if not here or here[-1][1] != stop - 1:
                 raw = unit[stop - 1].encode("utf-8", "replace")
-                here.append((stop - 1, tuple(self.byte_ids[b] for b in raw), self.unknown))
+                ids = tuple(self.byte_ids[b] for b in raw)
+                here.append((best[stop - 1] + self.unknown, stop - 1, ids, self.unknown))
+            if len(here) > 1:
+                here.sort(key=_by_total)
             out.append(here)
-        return out
+            best.append(here[0][0])
+        return out, best
 
     def search(self, unit: str, count: int) -> Unit:
-        arcs = self.arcs(unit)
-        best = [0.0]
-        for here in arcs[1:]:
-            ranked = [(best[start] + score, start, ids, score) for start, ids, score in here]
-            if len(ranked) > 1:
-                ranked.sort(key=_by_total)
-            best.append(ranked[0][0])
-            here[:] = ranked
+        arcs, best = self.arcs(unit)
         # Entries: -(exact total), order, place, arc into it, score behind it, (ids, rest behind).
         # An arc is opened with the next best arc into the same place, so nothing else waits.
         open_paths = [(-best[-1], 0, len(unit), 0, 0.0, None)]

@@ -361,4 +361,31 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"op3_substring_dedup": op3_substring_dedup}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_substring_dedup": r"""
+        WITH texts AS (
+            SELECT doc_id, list_filter(
+                regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+            FROM documents),
+        words AS (
+            SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM texts),
+        windows AS (
+            SELECT doc_id, i AS p, list(word) OVER (PARTITION BY doc_id ORDER BY i
+                ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS held
+            FROM words),
+        ranked AS (
+            SELECT doc_id, p, row_number() OVER (
+                PARTITION BY array_to_string(held, ' ') ORDER BY doc_id, p) AS nth
+            FROM windows WHERE len(held) = 20),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(generate_series(p, p + 19)) AS i FROM ranked WHERE nth > 1),
+        kept AS (
+            SELECT words.doc_id, count(gone.i) AS n_removed,
+                string_agg(word, ' ' ORDER BY words.i) FILTER (WHERE gone.i IS NULL) AS rest
+            FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.i = words.i
+            GROUP BY words.doc_id)
+        SELECT texts.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+            sha256(coalesce(rest, '')) AS kept_sha256
+        FROM texts LEFT JOIN kept ON kept.doc_id = texts.doc_id
+    """
+}
