@@ -2,9 +2,31 @@
 
 from __future__ import annotations
 
-from forgemeter.llm import htmltext, idfiles, jaccard, lattice, nbest, packing, quality, substrings, tokencount, toxicity
+from forgemeter.llm import (
+    htmltext,
+    idfiles,
+    jaccard,
+    lattice,
+    nbest,
+    packing,
+    quality,
+    substrings,
+    tokencount,
+    toxicity,
+)
 
-MODULES = (packing, lattice, substrings, jaccard, idfiles, htmltext, tokencount, quality, toxicity, nbest)
+MODULES = (
+    packing,
+    lattice,
+    substrings,
+    idfiles,
+    quality,
+    jaccard,
+    htmltext,
+    tokencount,
+    toxicity,
+    nbest,
+)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
