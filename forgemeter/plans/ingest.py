@@ -31,7 +31,8 @@ def enrich_events(
 ) -> DataFrame:
     """Batch: the 17-field enriched events, one per event id.
 
-    Of copies the first to arrive stays, where ``arrival`` is known. Duplicates go first, so later steps see each event once and its id can spread the rows
+    Of copies the first to arrive stays, where ``arrival`` is known. Duplicates go first, so
+    later steps see each event once and its id can spread the rows
     of busy repositories. ``spread_hot_repos`` finds those repositories in a narrow pass of
     its own over ``flat``, which should be stored then. It is for a ``repo_languages`` too
     large to broadcast.
