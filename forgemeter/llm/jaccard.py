@@ -33,8 +33,10 @@ from forgemeter.llm.components import components, local_roots
 
 SHINGLE = 5
 PERCENT = 75
+# Rows whose sets a worker holds at a time.
+BATCH = 1_000
 # In a batch, a token in the prefixes of so many sets is counted apart, not dealt out by its key.
-HOT_IN_BATCH = 64
+HOT_IN_BATCH = 32
 BROADCAST_TOKENS = 200_000
 BLOCK = 256
 LARGE = 64
@@ -75,7 +77,7 @@ def set_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
     the first has a prefix."""
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in tables.parts_of(batches, BATCH):
             seen: set[bytes] = set()
             n, signs, prefixes = [], [], []
             for text in batch["text"]:
@@ -316,7 +318,7 @@ def links(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[D
     )
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in tables.parts_of(batches, BATCH):
             found = [shingles(t, width) for t in batch["text"]]
             same = np.array(
                 [

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def parts_of(batches: Iterable[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """Batches in parts of at most so many rows, which bounds what a worker holds besides the batch."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.iloc[start : start + rows]
+
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
