@@ -50,7 +50,7 @@ class Unit:
 class Lattice:
     """A vocabulary as a lattice over texts."""
 
-    def __init__(self, path: str, n_best: int = N_BEST, keep_units: int = 600_000):
+    def __init__(self, path: str, n_best: int = N_BEST, keep_units: int = 1_400_000):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
