@@ -74,17 +74,19 @@ def _apart(tokens: list[np.ndarray]) -> dict[str, list[np.ndarray]]:
 
 def set_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Per row its set's size, signature and prefix in the first order. Of equal sets in a batch only
-    the first has a prefix."""
+    the first with a doc_id has a prefix: rows without one are never linked."""
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in tables.parts_of(batches, BATCH):
             seen: set[bytes] = set()
             n, signs, prefixes = [], [], []
-            for text in batch["text"]:
+            for text, known in zip(batch["text"], batch["doc_id"].notna(), strict=True):
                 tokens = shingles(text, width)
                 sign = xxhash.xxh3_128_digest(tokens.tobytes())
-                kept = prefix_length(len(tokens), percent) if sign not in seen else 0
-                seen.add(sign)
+                first = known and sign not in seen
+                kept = prefix_length(len(tokens), percent) if first else 0
+                if known:
+                    seen.add(sign)
                 n.append(len(tokens))
                 signs.append(sign)
                 prefixes.append(tokens[:kept])

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from forgemeter.llm import jaccard, lattice, substrings
 from forgemeter.llm.components import components
 from forgemeter.llm.tables import WORD
@@ -95,6 +96,19 @@ def test_jaccard_of_odd_documents(odd_documents, no_documents):
     assert jaccard.near_documents(no_documents).isEmpty()
 
 
+def test_jaccard_of_a_set_that_a_row_without_doc_id_has_too(spark):
+    words = [f"w{i}" for i in range(90)]
+    text, near = " ".join(words), " ".join([*words[:40], "other", *words[41:]])
+    rows = [(None, text), (24, text), (25, near), (None, near), (26, "far from both of these")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = jaccard.near_documents(frame).collect()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in found if r.doc_id is not None}
+    assert got == brute_jaccard({i: t for i, t in rows if i is not None})
+    assert got[25][1] == 24 and {r.component_id for r in found if r.doc_id is None} == {None}
+    kept = corpus_pipeline.drop_near_copies(spark, frame, "").collect()
+    assert sorted(r.doc_id or -1 for r in kept) == [-1, -1, 24, 26]
+
+
 def brute_repeats(rows, target):
     seen, out = set(), {}
     for i in sorted(rows):
