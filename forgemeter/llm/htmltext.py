@@ -48,7 +48,7 @@ CLOSED_BY = {
     "option": frozenset(["option"]),
     "head": frozenset(["body"]),
 }
-# Parts of class names and ids that mark what is not the article.
+# Words of class names and ids that mark what is not the article.
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner banners sponsor sponsored promo "
     "promotion cookie cookies consent gdpr notice notices alert alerts newsletter subscribe signup "
@@ -57,6 +57,16 @@ BOILERPLATE = frozenset(
     "recommended widget widgets popup modal overlay login search pagination pager toolbar "
     "copyright disclaimer skip hidden".split()
 )
+# Words that may stand beside those in a name (``sidebar-left``); with any other, as in
+# ``has-sidebar`` or ``related-work``, the name says something else.
+BESIDE = frozenset(
+    "site page global primary secondary left right top bottom upper lower header bar box block area "
+    "container wrapper wrap inner outer section region zone slot unit panel list item items link links "
+    "button buttons icon icons form field posts articles stories trail".split()
+)
+KNOWN = frozenset("post-comments entry-comments article-comments post-share entry-share".split())
+# A named element with this share of a page's running text stays.
+MOST = 0.8
 ROLES = frozenset("navigation banner contentinfo complementary search alert form dialog menu".split())
 
 _PIECE = re.compile(
@@ -71,6 +81,7 @@ _ATTRIBUTE = re.compile(
 )
 _PARTS = re.compile(r"[-_:\s]+|(?<=[a-z])(?=[A-Z])")
 _NUMBER = re.compile(r"\d+")
+_COUNT = re.compile(r"\d+(?:x\d+)?")
 _SPACE = re.compile(r"\s+")
 
 
@@ -80,7 +91,7 @@ def _attributes(raw: str) -> dict[str, str]:
     return {a.lower(): html.unescape(b or c or d) for a, b, c, d in _ATTRIBUTE.findall(raw)}
 
 
-def _is_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+def _is_dropped(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     if tag in DROPPED or (tag == "header" and not in_article):
         return True
     if not attributes:
@@ -89,13 +100,25 @@ def _is_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> b
         return True
     if _SPACE.sub("", attributes.get("style", "").lower()).startswith("display:none"):
         return True
-    if attributes.get("role", "").lower() in ROLES:
-        return True
-    if tag in ("html", "body", "main", "article"):
+    return attributes.get("role", "").lower() in ROLES
+
+
+def _names_boilerplate(name: str, in_article: bool) -> bool:
+    parts = [p.lower() for p in _PARTS.split(name) if p]
+    marks = BOILERPLATE if in_article else BOILERPLATE | {"header"}
+    if marks.isdisjoint(parts):
+        return False
+    return "-".join(parts) in KNOWN or all(
+        p in marks or p in BESIDE or _COUNT.fullmatch(p) for p in parts
+    )
+
+
+def _is_named_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether a whole class name or id says so, not any part of one."""
+    if not attributes or tag in ("html", "body", "main", "article"):
         return False
-    parts = _PARTS.split(f"{attributes.get('class', '')} {attributes.get('id', '')}")
-    names = {p.lower() for p in parts}
-    return bool(names & BOILERPLATE) or ("header" in names and not in_article)
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    return any(_names_boilerplate(name, in_article) for name in names)
 
 
 def _segment(tag: str, attributes: dict[str, str]) -> str:
@@ -103,31 +126,56 @@ def _segment(tag: str, attributes: dict[str, str]) -> str:
     return _NUMBER.sub("0", ".".join([tag, *classes]))
 
 
+_Open = tuple[str, tuple[str, ...], bool, tuple[int, ...]]
+
+
 class Block:
-    """A run of text: its container's path, whether its tag holds running text, its link share."""
+    """A run of text: its container's path, its innermost block tag, its link share, and the
+    elements named like boilerplate that it is in."""
+
+    __slots__ = ("path", "text", "linked", "tag", "named")
 
-    __slots__ = ("path", "text", "linked", "prose")
+    def __init__(
+        self, path: tuple[str, ...], text: str, linked: int, tag: str, named: tuple[int, ...]
+    ):
+        self.path, self.text, self.linked, self.tag, self.named = path, text, linked, tag, named
 
-    def __init__(self, path: tuple[str, ...], text: str, linked: int, prose: bool):
-        self.path, self.text, self.linked, self.prose = path, text, linked, prose
+    @property
+    def worth(self) -> float:
+        """Its running text: less links, half of it where the tag seldom holds any."""
+        running = max(0, len(self.text) - 2 * self.linked)
+        return running if self.tag in _PROSE else running / 2
+
+
+def _outside_boilerplate(found: list[Block]) -> list[Block]:
+    """Without the elements named like boilerplate, but for those that hold most running text."""
+    if not any(b.named for b in found):
+        return found
+    held: dict[int, float] = defaultdict(float)
+    for block in found:
+        for element in block.named:
+            held[element] += block.worth
+    enough = MOST * sum(b.worth for b in found)
+    stay = {element for element, worth in held.items() if worth > 0 and worth >= enough}
+    return [b for b in found if stay.issuperset(b.named)]
 
 
 def blocks(page: str | None) -> list[Block]:
     """The text blocks outside boilerplate, in page order; white space is one space, references
     are decoded. Unclosed elements end with the page."""
     out: list[Block] = []
-    # Open elements: tag, path inside it, whether dropped.
-    stack: list[tuple[str, tuple[str, ...], bool]] = [("", (), False)]
+    # Open elements: tag, path inside it, whether dropped, elements around named like boilerplate.
+    stack: list[_Open] = [("", (), False, ())]
     pending: list[str] = []
-    linked = links = 0
+    linked = links = elements = 0
 
     def flush() -> None:
         nonlocal linked
         if pending:
             text = " ".join(html.unescape("".join(pending)).split())
             if text:
-                prose = next((t for t, *_ in reversed(stack) if t in BLOCKS), "") in _PROSE
-                out.append(Block(stack[-1][1], text, linked, prose))
+                _, path, _, named = stack[-1]
+                out.append(Block(path, text, linked, _nearest_block(stack), named))
             pending.clear()
         linked = 0
 
@@ -141,7 +189,7 @@ def blocks(page: str | None) -> list[Block]:
     def pop() -> None:
         nonlocal links
         tag = stack[-1][0]
-        if tag in BLOCKS or stack[-1][2]:
+        if tag in BLOCKS or stack[-1][2] or stack[-1][3] != stack[-2][3]:
             flush()
         stack.pop()
         links -= tag == "a" and links > 0
@@ -173,23 +221,28 @@ def blocks(page: str | None) -> list[Block]:
                 while stack[-1][0] != closing:
                     pop()
                 pop()
-        _, path, dropped = stack[-1]
+        _, path, dropped, named = stack[-1]
         if not dropped:
             attributes = _attributes(found[4])
             in_article = any(t in ("article", "main") for t, *_ in stack)
-            dropped = _is_boilerplate(tag, attributes, in_article)
+            dropped = _is_dropped(tag, attributes, in_article)
             if dropped:
                 flush()
-            elif tag in CONTAINERS:
-                path = (*path, _segment(tag, attributes))
+            else:
+                if _is_named_boilerplate(tag, attributes, in_article):
+                    flush()
+                    elements += 1
+                    named = (*named, elements)
+                if tag in CONTAINERS:
+                    path = (*path, _segment(tag, attributes))
         if not found[4].endswith("/") or tag not in ("path", "use", "circle", "rect"):
-            stack.append((tag, path, dropped))
+            stack.append((tag, path, dropped, named))
             links += tag == "a"
     add(page[at:])
     while len(stack) > 1:
         pop()
     flush()
-    return out
+    return _outside_boilerplate(out)
 
 
 _PROSE = frozenset(
@@ -197,7 +250,7 @@ _PROSE = frozenset(
 )
 
 
-def _nearest_block(stack: list[tuple[str, tuple[str, ...], bool]]) -> str:
+def _nearest_block(stack: list[_Open]) -> str:
     return next((t for t, *_ in reversed(stack) if t in BLOCKS), "")
 
 
@@ -206,12 +259,9 @@ def path_scores(found: list[Block]) -> dict[tuple[str, ...], float]:
     an article or main element counts double."""
     scores: dict[tuple[str, ...], float] = defaultdict(float)
     for block in found:
-        worth = max(0, len(block.text) - 2 * block.linked)
-        if not block.prose:
-            worth /= 2
-        scores[block.path] += worth
+        scores[block.path] += block.worth
         if block.path:
-            scores[block.path[:-1]] += worth / 2
+            scores[block.path[:-1]] += block.worth / 2
     for path in scores:
         if path and path[-1].partition(".")[0] in ("article", "main"):
             scores[path] *= 2

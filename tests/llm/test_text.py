@@ -112,6 +112,38 @@ def test_html(spark):
     assert htmltext.extract(frame.filter("false")).isEmpty()
 
 
+def said(mark, size):
+    """So many characters of running text that begin with a mark."""
+    return (mark + " " + "some running text " * size)[: size - 1] + "."
+
+
+def own_text(page):
+    found = htmltext.blocks(page)
+    return htmltext.text_of(found, [])
+
+
+@pytest.mark.parametrize(
+    "names",
+    ["content has-sidebar", "post no-comments", "entry share-enabled", "related-work", "md:hidden",
+     "content-sidebar", "sidebar", "layout sidebar-left", "widget"],
+)
+def test_html_keeps_an_article_whatever_its_wrapper_is_named(names):
+    article = f"<p>{said('one', 400)}</p><p>{said('two', 300)}</p>"
+    page = f'<body><p>Top</p><div class="{names}">{article}<div class="comments">bad</div></div>'
+    got = own_text(page)
+    assert "one" in got and "two" in got and "bad" not in got
+
+
+@pytest.mark.parametrize(
+    "names",
+    ["sidebar", "site-footer", "sidebar-left", "related-posts", "share-buttons", "ad-300x250", "sideBar",
+     "post-comments", "x comment-list", "cookie-consent-banner"],
+)
+def test_html_drops_elements_named_as_boilerplate(names):
+    page = f'<body><div class="post"><p>{said("one", 400)}</p><div class="{names}">{said("bad", 300)}</div></div>'
+    assert own_text(page) == said("one", 400)
+
+
 def test_html_of_many_hosts_is_joined_by_salt(spark, monkeypatch):
     rows = [(i, f"https://h{i % 3}.example/", f"<main><p>text {i}</p></main>") for i in range(30)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
