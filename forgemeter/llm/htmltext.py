@@ -1,10 +1,11 @@
 """Main text of web pages by the container paths that a host's pages agree on.
 
 Each page is cut into blocks of text, each with the path of containers around it: tag names with
-their classes, numbers generalised (``div.post-0``). Containers are scored by the running text in
-them, less links; a page votes for its best path. Spark adds the votes up by host, and the paths
-that win a good share of a host's pages are its templates. Every page is then read again and the
-text of its host's winning path returned; a page without any of them falls back on its own best.
+their classes, numbers generalised (``div.post-0``). Containers are weighed by all running text
+below them, less links; a page votes for its article or main element or else for the lowest container
+that holds nearly all of it. Spark adds the votes up by host, and the paths that win a good share of
+a host's pages are its templates. Every page is then read again and the text of its host's winning
+path returned; a page without any of them falls back on its own best.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from forgemeter.llm import tables
 
 SHARE = 0.2
+# The share of a page's running text that its article's container holds at least.
+NEARLY = 0.97
 BROADCAST_HOSTS = 50_000
 SALTS = 32
 
@@ -245,6 +248,7 @@ def blocks(page: str | None) -> list[Block]:
     return _outside_boilerplate(out)
 
 
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PROSE = frozenset(
     "p h1 h2 h3 h4 h5 h6 pre blockquote article main section div li dd td body".split()
 )
@@ -254,35 +258,59 @@ def _nearest_block(stack: list[_Open]) -> str:
     return next((t for t, *_ in reversed(stack) if t in BLOCKS), "")
 
 
-def path_scores(found: list[Block]) -> dict[tuple[str, ...], float]:
-    """Running text by container: all of it where it stands, half in the container around, and
-    an article or main element counts double."""
-    scores: dict[tuple[str, ...], float] = defaultdict(float)
+def held_by_path(found: list[Block]) -> dict[tuple[str, ...], float]:
+    """Running text by container: all that stands anywhere below it."""
+    held: dict[tuple[str, ...], float] = defaultdict(float)
     for block in found:
-        scores[block.path] += block.worth
-        if block.path:
-            scores[block.path[:-1]] += block.worth / 2
-    for path in scores:
-        if path and path[-1].partition(".")[0] in ("article", "main"):
-            scores[path] *= 2
-    return scores
+        for depth in range(len(block.path) + 1):
+            held[block.path[:depth]] += block.worth
+    return held
 
 
 def best_path(found: list[Block]) -> tuple[str, ...] | None:
-    scores = path_scores(found)
-    return min(scores, key=lambda p: (-scores[p], len(p), p)) if scores else None
+    """The container of the page's article: an article or main element with half of the running
+    text, the outermost of those with most; else the lowest container that holds nearly all of it
+    and every heading; the whole page where no text is running text."""
+    if not found:
+        return None
+    held = held_by_path(found)
+    if not held[()]:
+        return ()
+    marked = [p for p in held if p and p[-1].partition(".")[0] in ("article", "main")]
+    first = min(marked, key=lambda p: (-held[p], len(p), p), default=None)
+    if first is not None and 2 * held[first] >= held[()]:
+        return first
+    headings = [b.path for b in found if b.tag in _HEADINGS and b.worth > 0]
+    enough = NEARLY * held[()]
+    whole = [
+        p for p in held
+        if held[p] >= enough and all(h[: len(p)] == p for h in headings)
+    ]
+    return min(whole, key=lambda p: (-len(p), -held[p], p))
 
 
 def text_of(found: list[Block], winners: list[tuple[str, ...]]) -> str:
-    """The text under the first winning path that the page has, else under its own best."""
-    for path in [*winners, best_path(found)]:
-        if path is not None:
-            got = [b.text for b in found if b.path[: len(path)] == path]
-            if got:
-                return " ".join(got)
+    """The text under the first winning path that the page has, else under its own best.
+
+    The page's own best is taken before a winner inside it, for what this page has beside the
+    winner is of the article too; but the body only where the host's pages agree on it."""
+    own = best_path(found)
+    for path in [*winners, own]:
+        if path is None:
+            continue
+        around = own is not None and path[: len(own)] == own
+        if around and (own in winners or not _is_page(own)):
+            path = own
+        got = [b.text for b in found if b.path[: len(path)] == path]
+        if got:
+            return " ".join(got)
     return ""
 
 
+def _is_page(path: tuple[str, ...]) -> bool:
+    return all(segment.partition(".")[0] in ("html", "body") for segment in path)
+
+
 def host_of(url: Column) -> Column:
     """The lower-cased host of a URL, without port and user; empty where there is none."""
     raw = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
@@ -291,12 +319,13 @@ def host_of(url: Column) -> Column:
 
 def vote(pages: DataFrame, share: float = SHARE) -> DataFrame:
     """Winning paths by host: those with ``share`` of its votes, so at most 1 / share of them, most
-    votes first, ties by path. A host whose pages agree on nothing has no row."""
+    votes first, ties by path. A host whose pages agree on nothing has no row; a page without a
+    container of its own does not vote."""
 
     def ballots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             best = [best_path(blocks(page)) for page in batch["html"]]
-            named = [None if path is None else "/".join(path) for path in best]
+            named = ["/".join(path) if path else None for path in best]
             yield pd.DataFrame({"host": batch["host"], "path": named})
 
     cast = pages.select(host_of(F.col("url")).alias("host"), "html")

@@ -122,6 +122,52 @@ def own_text(page):
     return htmltext.text_of(found, [])
 
 
+SPREAD = {
+    "lead": "<div class=post><div class=lead>{0:200}</div><div class=body>{1:1000}</div></div>",
+    "table": "<div class=post><p>{0:500}</p><table><tr><td>{1:600}</td><td>{2:600}</td></tr></table></div>",
+    "quote": "<div class=post><p>{0:300}</p><blockquote>{1:1000}</blockquote></div>",
+    "heading": "<article><h1>{0:60}</h1><div class=wrap><div class=text>{1:1000}</div></div></article>",
+    "short heading": "<div class=post><h1>{0:12}</h1><div class=wrap><div class=text>{1:3000}</div></div></div>",
+    "sections": "<article>{0:200}<section><div>{1:900}</div></section><section><div>{2:400}</div></section></article>",
+    "deep": "<div class=a><div class=b><p>{0:300}</p><div class=c><p>{1:300}</p><div>{2:900}</div></div></div></div>",
+}
+
+
+class Said:
+    def __init__(self, mark):
+        self.mark = mark
+
+    def __format__(self, size):
+        return said(self.mark, int(size))
+
+
+@pytest.mark.parametrize("name", SPREAD)
+def test_html_spread_over_containers_is_whole(name):
+    marks = ["one", "two", "three"]
+    nav = '<nav><a href="/">nav</a></nav><div class="links"><a href="/x">more about it</a></div>'
+    page = "<html><body>" + nav + SPREAD[name].format(*map(Said, marks)) + "<footer>foot</footer>"
+    if "{2:" not in SPREAD[name]:
+        marks = marks[:2]
+    assert [m for m in marks if m in own_text(page)] == marks
+    assert not any(x in own_text(page) for x in ("nav", "more about", "foot"))
+
+
+def test_html_of_links_only_is_whole():
+    assert own_text("<body><a href=x>a</a><div><a href=y>b</a></div><div><p><a href=z>c</a></div>") == "a b c"
+
+
+def test_html_of_a_host_whose_pages_differ(spark):
+    """Pages without a lead vote for the inner container; those with one lose nothing by it."""
+    body = "<html><body><div class=post>{}<div class=body><p>{}</p></div></div>{}"
+    rows = [(i, body.format("", said("own", 900), "")) for i in range(9)]
+    rows += [(9, body.format(f"<div class=lead>{said('lead', 200)}</div>", said("own", 900), ""))]
+    rows += [(10, body.format("", said("own", 900), f"<div class=odd>{said('odd', 600)}</div>"))]
+    frame = spark.createDataFrame(rows, "page_id long, html string").withColumn("url", F.lit("http://h.example/"))
+    got = {r.page_id: r.text for r in htmltext.extract(frame).collect()}
+    assert got[9] == said("lead", 200) + " " + said("own", 900)
+    assert all(text == said("own", 900) for i, text in got.items() if i != 9)
+
+
 @pytest.mark.parametrize(
     "names",
     ["content has-sidebar", "post no-comments", "entry share-enabled", "related-work", "md:hidden",
