@@ -28,9 +28,9 @@ FIRST = 5
 CHUNK_WORDS = 1_000_000
 OPEN, SHARED, SETTLED = 0, 1, 2
 
-_ROW = "key long, kind int, o long, tag int, pos int, mask int, blob binary"
+_ROW = "key long, kind int, o long, tag long, pos int, mask int, blob binary"
 _NAMES = [field.split()[0] for field in _ROW.split(", ")]
-_HIT = "o long, tag int, pos int, mask int, blob binary"
+_HIT = "o long, tag long, pos int, mask int, blob binary"
 _HITS = [field.split()[0] for field in _HIT.split(", ")]
 _SECOND_SEED = 0x5EED
 
@@ -88,7 +88,7 @@ def _frame(**columns) -> pd.DataFrame:
     size = len(columns["key"])
     filled = {"kind": OPEN, "o": 0, "tag": 0, "pos": 0, "mask": 0, "blob": None} | columns
     out = pd.DataFrame({name: filled[name] for name in _NAMES}, index=range(size))
-    return out.astype({"kind": "int32", "tag": "int32", "pos": "int32", "mask": "int32"})
+    return out.astype({"kind": "int32", "tag": "int64", "pos": "int32", "mask": "int32"})
 
 
 def _settled(owners: list[tuple[int, int]], found: dict[int, np.ndarray]) -> pd.DataFrame:
@@ -269,12 +269,14 @@ def _bits(mask: int) -> np.ndarray:
 
 
 def ordered(docs: DataFrame) -> DataFrame:
-    """The rows with ``o``, their place in order, and ``tag``, which parts rows of one doc_id."""
+    """The rows with ``o``, their place in order, and ``tag``, which parts rows of one doc_id: 32 bits
+    each of two hashes of the text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     least = F.lit(-(1 << 63)).cast("long")
-    return docs.withColumns(
-        {"o": F.coalesce(F.col("doc_id").cast("long"), least), "tag": F.hash(text)}
+    tag = F.shiftleft(F.hash(text).cast("long"), 32).bitwiseOR(
+        F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF))
     )
+    return docs.withColumns({"o": F.coalesce(F.col("doc_id").cast("long"), least), "tag": tag})
 
 
 def repeated_starts(docs: DataFrame, first: int = FIRST, target: int = TARGET) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from forgemeter.llm import jaccard, lattice, substrings
@@ -146,6 +147,15 @@ def test_repeats_of_odd_documents(odd_documents, no_documents):
     assert substrings.remove_repeats(no_documents).isEmpty()
 
 
+def test_repeats_of_texts_with_one_32_bit_hash(spark):
+    passage = " ".join(f"p{i}" for i in range(25))
+    texts = spark.range(400_000).select(F.concat(F.lit("own"), "id", F.lit(" " + passage)).alias("text"))
+    clash = texts.groupBy(F.hash("text")).agg(F.collect_list("text").alias("t")).filter("size(t) > 1").first().t
+    frame = spark.createDataFrame([(None, t) for t in clash[:2]], "doc_id long, text string").coalesce(1)
+    found = substrings.remove_repeats(frame).collect()
+    assert sorted((r.n_removed, len(r.kept_text.split())) for r in found) == [(0, 26), (25, 1)]
+
+
 def test_lattice_points_are_nearest():
     x = np.random.default_rng(1).standard_normal((300, 8)) * 2
     points = lattice.decode(x)
