@@ -191,10 +191,11 @@ def write_ids(
             return pd.DataFrame([row], columns=names).astype({"first_doc_id": "Int64"})
 
         for batch in batches:
-            encoded = tokens.encoder(tokenizer_path).encode(batch["text"].tolist())
+            encoder = tokens.encoder(tokenizer_path)
+            encoded, kind = encoder.encode(batch["text"].tolist()), encoder.id_type(end_id)
             for doc_id, raw in zip(batch["doc_id"].tolist(), encoded, strict=True):
                 doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
-                found.append(np.frombuffer(raw + end, dtype="<u4").astype("<u2"))
+                found.append(np.frombuffer(raw + end, dtype="<u4").astype(kind))
                 size += len(found[-1])
                 if size >= shard_ids:
                     yield flush()

@@ -40,9 +40,11 @@ def encode_in_order(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         part, at = TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            found = [x + end for x in tokens.encoder(path).encode(batch["text"].tolist())]
+            encoder = tokens.encoder(path)
+            found = [x + end for x in encoder.encode(batch["text"].tolist())]
+            kind = encoder.id_type(end_id)
             n = np.array([len(x) // 4 for x in found], dtype=np.int64)
-            ids = [np.frombuffer(x, dtype="<u4").astype("<u2").tobytes() for x in found]
+            ids = [np.frombuffer(x, dtype="<u4").astype(kind).tobytes() for x in found]
             yield pd.DataFrame(
                 {"part": part, "doc_id": batch["doc_id"], "at": at + n.cumsum() - n, "n": n, "ids": ids}
             ).astype({"part": "int32"})
@@ -69,8 +71,8 @@ def pack(
     tokenizer_path: str | None = None,
     end_id: int = END_ID,
 ) -> DataFrame:
-    """Pieces of all documents: their ids as little-endian unsigned 16-bit bytes, their checksum
-    as 32-bit ids, and their place. Needs ``doc_id`` and ``text``, other columns are ignored; a
+    """Pieces of all documents: their ids as little-endian unsigned bytes of 16 bits, or of 32 where
+    the vocabulary needs it, their checksum as 32-bit ids, and their place. Needs ``doc_id`` and ``text``, other columns are ignored; a
     null or empty text is one end id, a repeated row is packed again, a null doc_id comes first,
     and no rows give no pieces."""
     path = tokenizer_path or tokens.tokenizer_path(TOKENIZER)
@@ -83,7 +85,8 @@ def pack(
                 index=False, name=None
             ):
                 first = base + at
-                wide = np.frombuffer(ids, dtype="<u2").astype("<u4").tobytes()
+                size = len(ids) // n
+                wide = np.frombuffer(ids, dtype=f"<u{size}").astype("<u4").tobytes()
                 start = 0
                 while start < n:
                     sequence, offset = divmod(first + start, window)
@@ -91,7 +94,7 @@ def pack(
                     stop = start + length
                     rows.append(
                         (doc_id, start, length, zlib.crc32(wide[4 * start : 4 * stop]), n, sequence,
-                         offset, start > 0, stop < n, ids[2 * start : 2 * stop])
+                         offset, start > 0, stop < n, ids[size * start : size * stop])
                     )
                     start = stop
             names = [field.split()[0] for field in _PIECES.split(", ")]
@@ -112,8 +115,9 @@ def sequences(pieces: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataF
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for parts in batch["parts"]:
-                got = np.frombuffer(b"".join(p["ids"] for p in parts), dtype="<u2").astype(np.int32)
+            for parts, filled in zip(batch["parts"], batch["filled"], strict=True):
+                raw = b"".join(p["ids"] for p in parts)
+                got = np.frombuffer(raw, dtype=f"<u{len(raw) // filled}").astype(np.int32)
                 rows.append(np.pad(got, (0, window - len(got)), constant_values=pad_id).tolist())
             yield pd.DataFrame(
                 {"sequence_id": batch["sequence_id"], "filled": batch["filled"], "ids": rows}

@@ -54,12 +54,17 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.top_id = max(self.tokenizer.get_vocab().values(), default=0)
         self.keep_units = keep_units
         self.known: dict[str, bytes] = {}
         self.end_ids = self._encode([END])[0]
         one, two = self._encode(["AÉ", "aé"])
         self.ignores_case = one.tobytes() == two.tobytes()
 
+    def id_type(self, end_id: int) -> str:
+        """The unsigned type that holds all ids of the vocabulary and the end id."""
+        return "<u2" if max(self.top_id, end_id) < 1 << 16 else "<u4"
+
     def _encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4") for e in found]

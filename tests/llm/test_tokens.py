@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from forgemeter.llm import idfiles, packing, tokencount, tokens
 from tests.llm.conftest import ODD_TEXTS
@@ -127,3 +127,20 @@ def test_token_counts(odd_documents, no_documents):
     assert sorted((repr(r.doc_id), r.n_bytes, r.n_tokens) for r in rows) == want
     assert all(r.over_limit == (r.n_tokens > 10) for r in rows)
     assert tokencount.count_tokens(no_documents, path).isEmpty()
+
+
+def test_ids_beyond_16_bits(spark, folder):
+    vocabulary = {"[UNK]": 0, "\x00": 1, "end": 2} | {f"w{i}": i for i in range(3, 70_000)}
+    tokenizer = Tokenizer(models.WordLevel(vocabulary, unk_token="[UNK]"))
+    tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    path = f"{folder}/large.json"
+    tokenizer.save(path)
+    texts = {1: "w3 w69999 w65536 w4", 2: "w65535 w66000"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = {i: [*ids_of(tokenizer, t), 2] for i, t in texts.items()}
+    sums = {i: zlib.crc32(np.array(ids, dtype="<u4").tobytes()) for i, ids in want.items()}
+    pieces = packing.pack(docs, 100, path, 2)
+    assert {r.doc_id: r.ids_crc32 for r in pieces.collect()} == sums
+    assert packing.sequences(pieces, 10).first().ids == [*want[1], *want[2], 0, 0]
+    manifest = idfiles.write_ids(docs, f"file://{folder}/large", path, 2)
+    assert {r.doc_id: r.ids_crc32 for r in idfiles.read_ids(manifest).collect()} == sums
