@@ -1,6 +1,7 @@
 """Documents joined by the Jaccard similarity of their five-word shingles.
 
-Three global orders of the shingles filter the candidates; a pair must share a prefix token in each.
+Three global orders of the shingles filter the candidates: the first drops documents, and a pair must
+share a prefix token in each of the other two.
 
 1. By hash. A document's prefix is long enough that a similar document shares not one but several
    tokens with it there (a twentieth of the smaller set). Tokens that no other set has in its prefix
@@ -14,8 +15,9 @@ Documents that share a prefix token of the second order form a family. First eac
 the most central document under each of its tokens, and the links are joined into components; then,
 family by family and in blocks, the documents of different components are compared, all
 filters intersected before the whole sets. So a group of copies costs a star and not all its pairs,
-no pair is ever a row but for those of the star, and no link between components is missed. Equal sets
-are folded beforehand.
+no pair is ever a row but for those of the star, and no link between components is missed. A row is
+copied once per block of its family, so what is shuffled grows with the square of a family over BLOCK,
+also where different texts are chained into one by shared passages. Equal sets are folded beforehand.
 """
 
 from __future__ import annotations
