@@ -7,6 +7,7 @@ from forgemeter.llm import (
     idfiles,
     jaccard,
     lattice,
+    licenses,
     nbest,
     packing,
     quality,
@@ -26,6 +27,7 @@ MODULES = (
     tokencount,
     toxicity,
     nbest,
+    licenses,
 )
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
