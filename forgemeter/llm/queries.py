@@ -14,6 +14,7 @@ from forgemeter.llm import (
     substrings,
     tokencount,
     toxicity,
+    turntrie,
 )
 
 MODULES = (
@@ -27,6 +28,7 @@ MODULES = (
     tokencount,
     toxicity,
     nbest,
+    turntrie,
     licenses,
 )
 
