@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from forgemeter.llm import (
+    collocations,
     htmltext,
     idfiles,
     jaccard,
@@ -28,6 +29,7 @@ MODULES = (
     tokencount,
     toxicity,
     nbest,
+    collocations,
     turntrie,
     licenses,
 )
