@@ -36,6 +36,8 @@ BLOCK = 1 << 20
 HELD = 1 << 21
 # A block goes out in pieces of about so many words, cut between phrases.
 PIECE = 1 << 16
+# So many pieces are counted at a time: a block's worth of words.
+PIECES = 16
 # Bytes of a text that are split at a time.
 CHUNK = 1 << 22
 # log2 of a tile's side; a tile is dense if it has at least one pair for so many of its cells.
@@ -241,7 +243,7 @@ def count_pairs(stretches: DataFrame, k: int) -> DataFrame:
     """(block, lang, pair, n): the phrases of k + 1 words of each block."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in tables.parts_of(batches, 64):
+        for batch in tables.parts_of(batches, PIECES):
             for (block, lang), parts in batch.groupby(["block", "lang"], sort=False):
                 _, left, right = _pairs(*_joined(parts), k)
                 if len(left):
