@@ -48,15 +48,15 @@ CLOSED_BY = {
     "tr": frozenset(["tr", "tbody", "tfoot"]),
     "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
     "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
-    "option": frozenset(["option"]),
     "head": frozenset(["body"]),
 }
 # Words of class names and ids that mark what is not the article.
-BOILERPLATE = frozenset(
+COMMENTS = frozenset("comment comments commentlist respond reply replies discussion disqus".split())
+BOILERPLATE = COMMENTS | frozenset(
     "ad ads advert adverts advertisement advertising adsense banner banners sponsor sponsored promo "
     "promotion cookie cookies consent gdpr notice notices alert alerts newsletter subscribe signup "
-    "sidebar side aside menu menus nav navbar navigation breadcrumb breadcrumbs footer comment "
-    "comments commentlist respond reply replies discussion disqus share sharing social related "
+    "sidebar side aside menu menus nav navbar navigation breadcrumb breadcrumbs footer share sharing "
+    "social related "
     "recommended widget widgets popup modal overlay login search pagination pager toolbar "
     "copyright disclaimer skip hidden".split()
 )
@@ -65,20 +65,31 @@ BOILERPLATE = frozenset(
 BESIDE = frozenset(
     "site page global primary secondary left right top bottom upper lower header bar box block area "
     "container wrapper wrap inner outer section region zone slot unit panel list item items link links "
-    "button buttons icon icons form field posts articles stories trail".split()
+    "button buttons icon icons form field posts articles stories trail thread reader readers user users "
+    "visitor customer".split()
 )
-KNOWN = frozenset("post-comments entry-comments article-comments post-share entry-share".split())
-# A named element with this share of a page's running text stays.
+KNOWN_COMMENTS = frozenset(
+    "post-comments entry-comments article-comments user-reviews reader-reviews customer-reviews".split()
+)
+KNOWN = KNOWN_COMMENTS | frozenset("post-share entry-share".split())
+# A named element with this share of a page's running text stays, unless it is named as comments. So
+# does a form, or an unclosed menu, if that text is also of a length that no login or search form has.
 MOST = 0.8
+LONG = 200
+RESCUED = frozenset(["form", "nav", "menu"])
+# What cannot stand in an open element of these, and so ends it.
+ENDED_BY = {
+    "nav": frozenset(["main", "article"]),
+    "menu": frozenset(["main", "article"]),
+    "select": BLOCKS | {"button", "a", "img"},
+    "option": BLOCKS | {"option", "button", "a", "img"},
+    "optgroup": BLOCKS | {"optgroup", "button", "a", "img"},
+}
 ROLES = frozenset("navigation banner contentinfo complementary search alert form dialog menu".split())
 
-_PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|xmp|noembed|noframes)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>",
-    re.S | re.I,
-)
+RAW = frozenset("script style textarea xmp noembed noframes".split())
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r">|=\s*([\"'])")
 _ATTRIBUTE = re.compile(
     r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I
 )
@@ -94,6 +105,63 @@ def _attributes(raw: str) -> dict[str, str]:
     return {a.lower(): html.unescape(b or c or d) for a, b, c, d in _ATTRIBUTE.findall(raw)}
 
 
+_Piece = tuple[str, bool, str]
+
+
+def pieces(page: str) -> Iterator[tuple[str, _Piece | None]]:
+    """A page as (text, tag after it): the tag's name, whether it closes, its attributes; comments and
+    elements of raw text are left out.
+
+    The scan only goes forward. A tag ends at the first ``>`` outside quotes; where a quote is never closed,
+    tags up to there end at their first ``>``, and a tag without one is text."""
+    at, unquoted = 0, 0
+    last = page.rfind(">")
+    last_quote = {q: page.rfind(q) for q in "\"'"}
+    start = page.find("<")
+    while start >= 0:
+        text = page[at:start]
+        if page.startswith("<!--", start):
+            stop = page.find("-->", start + 4)
+            yield text, None
+            at = len(page) if stop < 0 else stop + 3
+        elif start > last:
+            break
+        elif found := _NAME.match(page, start + 1):
+            stop = -1
+            here = found.end()
+            while start >= unquoted:
+                mark = _STOP.search(page, here)
+                if mark is None or not mark[1]:
+                    stop = mark.start() if mark else -1
+                    break
+                here = mark.end()
+                if here > last_quote[mark[1]]:
+                    unquoted = here
+                    break
+                here = page.index(mark[1], here) + 1
+            if stop < 0:
+                unquoted = max(unquoted, here)
+                stop = page.find(">", start)
+            name = found[2].lower()
+            at = stop + 1
+            if name in RAW and not found[1]:
+                end = re.compile(rf"</{name}", re.I).search(page, at)
+                close = page.find(">", end.end()) if end else -1
+                at = len(page) if close < 0 else close + 1
+                yield text, None
+            else:
+                yield text, (name, bool(found[1]), page[found.end() : stop])
+        elif page[start + 1 : start + 2] in ("!", "?", "/"):
+            yield text, None
+            at = page.find(">", start) + 1
+        else:
+            # A sign that begins nothing is text, up to the next one.
+            yield page[at : start + 1], None
+            at = start + 1
+        start = page.find("<", at)
+    yield page[at:], None
+
+
 def _is_dropped(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     if tag in DROPPED or (tag == "header" and not in_article):
         return True
@@ -109,19 +177,31 @@ def _is_dropped(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
 def _names_boilerplate(name: str, in_article: bool) -> bool:
     parts = [p.lower() for p in _PARTS.split(name) if p]
     marks = BOILERPLATE if in_article else BOILERPLATE | {"header"}
-    if marks.isdisjoint(parts):
-        return False
-    return "-".join(parts) in KNOWN or all(
+    if "-".join(parts) in KNOWN:
+        return True
+    return not marks.isdisjoint(parts) and all(
         p in marks or p in BESIDE or _COUNT.fullmatch(p) for p in parts
     )
 
 
+def _names(attributes: dict[str, str]) -> list[str]:
+    return f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+
+
 def _is_named_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     """Whether a whole class name or id says so, not any part of one."""
     if not attributes or tag in ("html", "body", "main", "article"):
         return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
-    return any(_names_boilerplate(name, in_article) for name in names)
+    return any(_names_boilerplate(name, in_article) for name in _names(attributes))
+
+
+def _is_comments(attributes: dict[str, str], in_article: bool) -> bool:
+    for name in _names(attributes):
+        parts = [p.lower() for p in _PARTS.split(name) if p]
+        marked = "-".join(parts) in KNOWN_COMMENTS or not COMMENTS.isdisjoint(parts)
+        if marked and _names_boilerplate(name, in_article):
+            return True
+    return False
 
 
 def _segment(tag: str, attributes: dict[str, str]) -> str:
@@ -129,19 +209,20 @@ def _segment(tag: str, attributes: dict[str, str]) -> str:
     return _NUMBER.sub("0", ".".join([tag, *classes]))
 
 
-_Open = tuple[str, tuple[str, ...], bool, tuple[int, ...]]
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_PROSE = frozenset(
+    "p h1 h2 h3 h4 h5 h6 pre blockquote article main section div li dd td body".split()
+)
 
 
 class Block:
     """A run of text: its container's path, its innermost block tag, its link share, and the
-    elements named like boilerplate that it is in."""
+    innermost element around it that is marked as no part of the article."""
 
-    __slots__ = ("path", "text", "linked", "tag", "named")
+    __slots__ = ("path", "text", "linked", "tag", "mark")
 
-    def __init__(
-        self, path: tuple[str, ...], text: str, linked: int, tag: str, named: tuple[int, ...]
-    ):
-        self.path, self.text, self.linked, self.tag, self.named = path, text, linked, tag, named
+    def __init__(self, path: int, text: str, linked: int, tag: str, mark: int):
+        self.path, self.text, self.linked, self.tag, self.mark = path, text, linked, tag, mark
 
     @property
     def worth(self) -> float:
@@ -150,65 +231,139 @@ class Block:
         return running if self.tag in _PROSE else running / 2
 
 
-def _outside_boilerplate(found: list[Block]) -> list[Block]:
-    """Without the elements named like boilerplate, but for those that hold most running text."""
-    if not any(b.named for b in found):
-        return found
-    held: dict[int, float] = defaultdict(float)
-    for block in found:
-        for element in block.named:
-            held[element] += block.worth
-    enough = MOST * sum(b.worth for b in found)
-    stay = {element for element, worth in held.items() if worth > 0 and worth >= enough}
-    return [b for b in found if stay.issuperset(b.named)]
-
-
-def blocks(page: str | None) -> list[Block]:
+class Tree:
+    """A page's container paths as numbers, each after the one around it, and its blocks."""
+
+    def __init__(self) -> None:
+        self.around = [-1]
+        self.segment = [""]
+        self.below: dict[tuple[int, str], int] = {}
+        self.blocks: list[Block] = []
+
+    def child(self, path: int, segment: str) -> int:
+        number = self.below.get((path, segment))
+        if number is None:
+            number = self.below[path, segment] = len(self.around)
+            self.around.append(path)
+            self.segment.append(segment)
+        return number
+
+    def names(self, path: int) -> tuple[str, ...]:
+        out = []
+        while path > 0:
+            out.append(self.segment[path])
+            path = self.around[path]
+        return tuple(reversed(out))
+
+    def find(self, names: tuple[str, ...]) -> int | None:
+        path: int | None = 0
+        for segment in names:
+            path = self.below.get((path, segment))
+            if path is None:
+                return None
+        return path
+
+    def inside(self, path: int) -> list[bool]:
+        """For every path whether it is this one or lies in it."""
+        out = [False] * len(self.around)
+        for number, around in enumerate(self.around):
+            out[number] = number == path or (around >= 0 and out[around])
+        return out
+
+
+class _Marks:
+    """The elements of a page that are marked as no part of the article, each after the one around it."""
+
+    def __init__(self) -> None:
+        self.around = [-1]
+        self.rescue = [0.0]  # running text needed, beside its share, to stay
+        self.closed = [True]
+
+    def add(self, around: int, rescue: float) -> int:
+        self.around.append(around)
+        self.rescue.append(rescue)
+        self.closed.append(False)
+        return len(self.around) - 1
+
+    def kept(self, found: list[Block]) -> list[Block]:
+        """The blocks outside marked elements, but for those that hold most running text."""
+        if len(self.around) == 1:
+            return found
+        held = [0.0] * len(self.around)
+        for block in found:
+            held[block.mark] += block.worth
+        for number in range(len(held) - 1, 0, -1):
+            held[self.around[number]] += held[number]
+        stays = [True] * len(held)
+        for number in range(1, len(held)):
+            worth = held[number]
+            enough = worth > 0 and worth >= max(MOST * held[0], self.rescue[number])
+            stays[number] = stays[self.around[number]] and enough
+        return [b for b in found if stays[b.mark]]
+
+
+NEVER = float("inf")
+
+
+class _Open:
+    """An open element: what its text belongs to."""
+
+    __slots__ = ("tag", "path", "dropped", "mark", "block", "article", "own")
+
+    def __init__(self, tag: str, path: int, dropped: bool, mark: int, block: str, article: bool, own: int):
+        self.tag, self.path, self.dropped, self.mark = tag, path, dropped, mark
+        self.block, self.article, self.own = block, article, own
+
+
+def blocks(page: str | None) -> Tree:
     """The text blocks outside boilerplate, in page order; white space is one space, references
-    are decoded. Unclosed elements end with the page."""
-    out: list[Block] = []
-    # Open elements: tag, path inside it, whether dropped, elements around named like boilerplate.
-    stack: list[_Open] = [("", (), False, ())]
+    are decoded. Unclosed elements end with the page. Time is linear in the page, however deep it nests."""
+    tree, marks = Tree(), _Marks()
+    out = tree.blocks
+    stack = [_Open("", 0, False, 0, "", False, 0)]
+    opened: dict[str, int] = defaultdict(int)
     pending: list[str] = []
-    linked = links = elements = 0
+    linked = 0
 
     def flush() -> None:
         nonlocal linked
         if pending:
             text = " ".join(html.unescape("".join(pending)).split())
             if text:
-                _, path, _, named = stack[-1]
-                out.append(Block(path, text, linked, _nearest_block(stack), named))
+                top = stack[-1]
+                out.append(Block(top.path, text, linked, top.block, top.mark))
             pending.clear()
         linked = 0
 
     def add(text: str) -> None:
         nonlocal linked
-        if text and not stack[-1][2]:
+        if text and not stack[-1].dropped:
             pending.append(text)
-            if links:
+            if opened["a"]:
                 linked += len(text)
 
-    def pop() -> None:
-        nonlocal links
-        tag = stack[-1][0]
-        if tag in BLOCKS or stack[-1][2] or stack[-1][3] != stack[-2][3]:
+    def pop(closing: bool = False) -> None:
+        top = stack[-1]
+        if top.tag in BLOCKS or top.dropped or top.own:
             flush()
+        if top.own and not closing and top.tag in ("nav", "menu"):
+            marks.rescue[top.own] = LONG
         stack.pop()
-        links -= tag == "a" and links > 0
-
-    at, page = 0, page or ""
-    for found in _PIECE.finditer(page):
-        add(page[at : found.start()])
-        at = found.end()
-        tag = (found[3] or "").lower()
-        if not tag:
+        opened[top.tag] -= 1
+
+    def end(tag: str) -> None:
+        while stack[-1].tag != tag:
+            pop()
+        pop(closing=True)
+
+    for text, piece in pieces(page or ""):
+        add(text)
+        if piece is None:
             continue
-        if found[2]:
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-            if depth:
-                while len(stack) > depth:
-                    pop()
+        tag, closes, raw = piece
+        if closes:
+            if opened[tag] > 0:
+                end(tag)
             elif tag in BLOCKS:
                 flush()
             continue
@@ -217,91 +372,93 @@ def blocks(page: str | None) -> list[Block]:
             continue
         if tag in VOID:
             continue
+        for open_tag, ends in ENDED_BY.items():
+            if opened[open_tag] > 0 and tag in ends:
+                while opened[open_tag] > 0:
+                    pop()
         if tag in BLOCKS:
             flush()
-            while len(stack) > 1 and tag in CLOSED_BY.get(_nearest_block(stack), ()):
-                closing = _nearest_block(stack)
-                while stack[-1][0] != closing:
-                    pop()
-                pop()
-        _, path, dropped, named = stack[-1]
+            while tag in CLOSED_BY.get(stack[-1].block, ()):
+                end(stack[-1].block)
+        top = stack[-1]
+        path, dropped, mark, article, own = top.path, top.dropped, top.mark, top.article, 0
         if not dropped:
-            attributes = _attributes(found[4])
-            in_article = any(t in ("article", "main") for t, *_ in stack)
-            dropped = _is_dropped(tag, attributes, in_article)
-            if dropped:
+            attributes = _attributes(raw)
+            if _is_dropped(tag, attributes, article):
                 flush()
-            else:
-                if _is_named_boilerplate(tag, attributes, in_article):
-                    flush()
-                    elements += 1
-                    named = (*named, elements)
-                if tag in CONTAINERS:
-                    path = (*path, _segment(tag, attributes))
-        if not found[4].endswith("/") or tag not in ("path", "use", "circle", "rect"):
-            stack.append((tag, path, dropped, named))
-            links += tag == "a"
-    add(page[at:])
+                rescued = tag in RESCUED or attributes.get("role", "").lower() == "form"
+                dropped = not rescued
+                if rescued:
+                    # A menu may stay only if it turns out to be unclosed.
+                    mark = own = marks.add(mark, LONG if tag not in ("nav", "menu") else NEVER)
+            elif _is_named_boilerplate(tag, attributes, article):
+                flush()
+                mark = own = marks.add(mark, NEVER if _is_comments(attributes, article) else 0)
+            if not dropped and tag in CONTAINERS:
+                path = tree.child(path, _segment(tag, attributes))
+        if not raw.endswith("/") or tag not in ("path", "use", "circle", "rect"):
+            block = tag if tag in BLOCKS else top.block
+            stack.append(
+                _Open(tag, path, dropped, mark, block, article or tag in ("article", "main"), own)
+            )
+            opened[tag] += 1
     while len(stack) > 1:
         pop()
     flush()
-    return _outside_boilerplate(out)
+    tree.blocks = marks.kept(out)
+    return tree
 
 
-_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-_PROSE = frozenset(
-    "p h1 h2 h3 h4 h5 h6 pre blockquote article main section div li dd td body".split()
-)
-
-
-def _nearest_block(stack: list[_Open]) -> str:
-    return next((t for t, *_ in reversed(stack) if t in BLOCKS), "")
-
-
-def held_by_path(found: list[Block]) -> dict[tuple[str, ...], float]:
-    """Running text by container: all that stands anywhere below it."""
-    held: dict[tuple[str, ...], float] = defaultdict(float)
-    for block in found:
-        for depth in range(len(block.path) + 1):
-            held[block.path[:depth]] += block.worth
-    return held
-
-
-def best_path(found: list[Block]) -> tuple[str, ...] | None:
+def best_path(tree: Tree) -> int | None:
     """The container of the page's article: an article or main element with half of the running
     text, the outermost of those with most; else the lowest container that holds nearly all of it
     and every heading; the whole page where no text is running text."""
-    if not found:
+    if not tree.blocks:
         return None
-    held = held_by_path(found)
-    if not held[()]:
-        return ()
-    marked = [p for p in held if p and p[-1].partition(".")[0] in ("article", "main")]
-    first = min(marked, key=lambda p: (-held[p], len(p), p), default=None)
-    if first is not None and 2 * held[first] >= held[()]:
-        return first
-    headings = [b.path for b in found if b.tag in _HEADINGS and b.worth > 0]
-    enough = NEARLY * held[()]
-    whole = [
-        p for p in held
-        if held[p] >= enough and all(h[: len(p)] == p for h in headings)
+    size = len(tree.around)
+    held, headings, depth = [0.0] * size, [0] * size, [0] * size
+    there = [False] * size
+    for block in tree.blocks:
+        worth = block.worth
+        held[block.path] += worth
+        there[block.path] = True
+        headings[block.path] += block.tag in _HEADINGS and worth > 0
+    for path in range(size - 1, 0, -1):
+        around = tree.around[path]
+        held[around] += held[path]
+        headings[around] += headings[path]
+        there[around] = there[around] or there[path]
+    for path in range(1, size):
+        depth[path] = depth[tree.around[path]] + 1
+    if not held[0]:
+        return 0
+    marked = [
+        p for p in range(1, size)
+        if there[p] and tree.segment[p].partition(".")[0] in ("article", "main")
     ]
-    return min(whole, key=lambda p: (-len(p), -held[p], p))
+    first = min(marked, key=lambda p: (-held[p], depth[p], tree.segment[p]), default=None)
+    if first is not None and 2 * held[first] >= held[0]:
+        return first
+    # Halves add up exactly, so a path with all running text is not lost to rounding.
+    enough = NEARLY * held[0]
+    whole = [p for p in range(size) if held[p] >= enough and headings[p] == headings[0]]
+    return max(whole, key=lambda p: depth[p])
 
 
-def text_of(found: list[Block], winners: list[tuple[str, ...]]) -> str:
+def text_of(tree: Tree, winners: list[tuple[str, ...]]) -> str:
     """The text under the first winning path that the page has, else under its own best.
 
     The page's own best is taken before a winner inside it, for what this page has beside the
     winner is of the article too; but the body only where the host's pages agree on it."""
-    own = best_path(found)
-    for path in [*winners, own]:
-        if path is None:
-            continue
-        around = own is not None and path[: len(own)] == own
-        if around and (own in winners or not _is_page(own)):
-            path = own
-        got = [b.text for b in found if b.path[: len(path)] == path]
+    own = best_path(tree)
+    if own is None:
+        return ""
+    found = [path for names in winners if (path := tree.find(names)) is not None]
+    in_own = tree.inside(own)
+    first = own in found or not _is_page(tree.names(own))
+    for path in [*found, own]:
+        inside = in_own if in_own[path] and first else tree.inside(path)
+        got = [b.text for b in tree.blocks if inside[b.path]]
         if got:
             return " ".join(got)
     return ""
@@ -324,8 +481,11 @@ def vote(pages: DataFrame, share: float = SHARE) -> DataFrame:
 
     def ballots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            best = [best_path(blocks(page)) for page in batch["html"]]
-            named = ["/".join(path) if path else None for path in best]
+            named = []
+            for page in batch["html"]:
+                tree = blocks(page)
+                best = best_path(tree)
+                named.append("/".join(tree.names(best)) if best else None)
             yield pd.DataFrame({"host": batch["host"], "path": named})
 
     cast = pages.select(host_of(F.col("url")).alias("host"), "html")
