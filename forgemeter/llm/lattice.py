@@ -187,7 +187,8 @@ def near_embeddings(
 
     Vectors with an equal label and a cosine of at least ``cosine`` link. Null, zero or non-finite
     vectors, null labels and null ids link with nothing and are their own component; vectors of
-    different lengths do not compare; repeated rows are copies of each other."""
+    different lengths do not compare; repeated rows are copies of each other. Labels of any type are
+    compared as they are."""
     x = F.col("embedding")
     finite = F.forall(x, lambda v: v.isNotNull() & (F.abs(v) < float("inf")) & ~F.isnan(v))
     usable = (
@@ -197,13 +198,13 @@ def near_embeddings(
     rows = vectors.select(
         F.col("vec_id").cast("long"),
         x.cast("array<double>").alias("embedding"),
-        F.col("label").cast("long"),
+        "label",
     ).withColumn("usable", usable)
     valid = rows.filter("usable").drop("usable")
     reps = tables.stage(
-        valid.groupBy("label", "embedding").agg(
-            F.min("vec_id").alias("rep"), F.count("*").alias("n")
-        ),
+        valid.groupBy("label", "embedding")
+        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
+        .withColumn("mark", F.xxhash64("label")),
         "lattice-vectors",
     )
 
@@ -214,7 +215,7 @@ def near_embeddings(
                 unit = np.vstack(part["embedding"].to_numpy()).astype(float)
                 unit /= np.abs(unit).max(axis=1, keepdims=True)
                 unit /= np.sqrt((unit**2).sum(axis=1, keepdims=True))
-                labels = part["label"].to_numpy() * 1_000_003 + int(width)
+                labels = part["mark"].to_numpy() * 1_000_003 + int(width)
                 found = np.sort(cells(unit, labels, n_tables, probes, scale), axis=1)
                 yield pd.DataFrame(
                     {
