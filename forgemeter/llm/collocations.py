@@ -87,11 +87,11 @@ class _Block:
         self.size += 1
 
 
-def _cut(breaks: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
-    """Ranges of about PIECE elements that end at a break; a longer stretch without one stays whole."""
+def _cut(breaks: np.ndarray, size: int, piece: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``piece`` elements that end at a break; a longer stretch without one stays whole."""
     start = 0
     while start < size:
-        stop = start + PIECE
+        stop = start + piece
         if stop >= size:
             stop = size
         else:
@@ -104,7 +104,7 @@ def _cut(breaks: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def text_blocks(docs: DataFrame) -> DataFrame:
+def text_blocks(docs: DataFrame, most: int = BLOCK, piece: int = PIECE) -> DataFrame:
     """Rows of two kinds: (block, lang, codes) pieces, with code 0 between phrases, and (block, lang,
     word, code, n) for each different word of a block. A null language is ``und``, a null text empty."""
 
@@ -118,7 +118,7 @@ def text_blocks(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(
                 {"block": number, "lang": lang, "word": part, "code": codes, "n": counts[codes], "codes": None}
             )
-        for start, stop in _cut(np.flatnonzero(whole == 0), len(whole)):
+        for start, stop in _cut(np.flatnonzero(whole == 0), len(whole), piece):
             raw = whole[start:stop].astype("<i4").tobytes()
             yield pd.DataFrame(
                 {"block": [number], "lang": lang, "word": None, "code": 0, "n": 0, "codes": [raw]}
@@ -134,8 +134,8 @@ def text_blocks(docs: DataFrame) -> DataFrame:
                 total -= block.size
                 block.add(text)
                 total += block.size
-                while total >= HELD or block.size >= BLOCK:
-                    large = lang if block.size >= BLOCK else max(held, key=lambda x: held[x].size)
+                while total >= HELD or block.size >= most:
+                    large = lang if block.size >= most else max(held, key=lambda x: held[x].size)
                     gone = held.pop(large)
                     yield from flush(large, gone, number)
                     total, number = total - gone.size, number + 1
@@ -154,31 +154,14 @@ def text_blocks(docs: DataFrame) -> DataFrame:
 
 
 def ranked(counts: DataFrame, tie: str, limit: int) -> DataFrame:
-    """Each language's rows numbered from 0 by ``a``, the greatest first: sorted by range, numbered
-    within partitions, and moved on by the rows of the partitions before, one number a partition."""
-    spread = tables.shuffle_partitions(counts.sparkSession)
-    order = ("lang", F.desc("a"), tie)
-    placed = tables.stage(
-        counts.repartitionByRange(spread, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("m", F.monotonically_increasing_id()),
-        "phrases-ranked",
-    )
-    part, at = F.shiftright("m", 33), F.col("m").bitwiseAND((1 << 33) - 1)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (
-        placed.groupBy(part.alias("part"))
-        .agg(F.count("*").alias("rows"))
-        .select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"))
-    )
-    numbered = placed.withColumn("part", part).join(F.broadcast(bases), "part")
-    numbered = numbered.withColumn("place", F.col("base") + at)
-    starts = numbered.groupBy("lang").agg(F.min("place").alias("first"))
-    number = F.col("place") - F.col("first")
-    fits = F.when(number < limit, number).otherwise(
+    """Each language's rows numbered from 0 by ``a``, the greatest first."""
+    placed = tables.numbered(counts.withColumn("less", -F.col("a")), ["lang", "less", tie], "phrases-ranked")
+    starts = placed.groupBy("lang").agg(F.min("number").alias("first"))
+    own = F.col("number") - F.col("first")
+    fits = F.when(own < limit, own).otherwise(
         F.raise_error(F.lit("more frequent phrases in a language than numbers")).cast("long")
     )
-    return numbered.join(starts, "lang").select(
+    return placed.join(starts, "lang").select(
         "lang", fits.alias("id"), "a", *[c for c in counts.columns if c not in ("lang", "a")]
     )
 
@@ -293,10 +276,12 @@ def number_phrases(stretches: DataFrame, dictionary: DataFrame, k: int) -> DataF
     return stretches.groupBy("block").cogroup(dictionary.groupBy("of")).applyInPandas(encode, _STRETCHES)
 
 
-def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(
+    docs: DataFrame, least: int = LEAST, longest: int = LONGEST, most: int = BLOCK, piece: int = PIECE
+) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, a) of all phrases of up to ``longest`` words that occur ``least`` times, words
     included, and (lang, n), the words of each language."""
-    blocks = text_blocks(docs)
+    blocks = text_blocks(docs, most, piece)
     own = blocks.filter(F.col("word").isNotNull()).select("block", "lang", "word", "code", "n")
     totals = own.groupBy("lang").agg(F.sum("n").alias("n"))
 
@@ -344,13 +329,14 @@ def _ratio(a: Column, n: Column, left: Column, right: Column) -> Column:
 
 
 def collocations(
-    docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP
+    docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, most: int = BLOCK,
+    piece: int = PIECE,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's best phrases, from (lang, text).
 
     A candidate's score is that of its worst cut; one that a longer candidate always contains is dropped.
     Null texts are empty, and tables without a frequent phrase give no rows."""
-    found, totals = frequent_phrases(docs, least, longest)
+    found, totals = frequent_phrases(docs, least, longest, most, piece)
     candidates = found.filter("k > 1").join(totals, "lang")
     words = F.split("phrase", " ")
     cuts = candidates.select(

@@ -37,9 +37,9 @@ SHINGLE = 5
 PERCENT = 75
 # Rows whose sets a worker holds at a time.
 BATCH = 1_000
-# In a batch, a token in the prefixes of so many sets is counted apart, not dealt out by its key.
+# In a batch, a token in the prefixes of so many sets is hot: its rows are spread over so many keys.
 HOT_IN_BATCH = 32
-BROADCAST_TOKENS = 200_000
+SPREAD = 16
 BLOCK = 256
 LARGE = 64
 
@@ -103,34 +103,30 @@ def set_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 def repeated_tokens(sets: DataFrame) -> DataFrame:
     """(id, n, token, df) of the tokens, of those in ``cold`` and ``hot``, that more than one set has,
-    with a frequency that is the same wherever the token stands.
-
-    A token hot in a batch leaves it as a count; so no token brings more rows to one task than it
-    has batches, times HOT_IN_BATCH."""
-    hot = sets.select("id", "n", F.explode("hot").alias("token"))
-    often = tables.stage(hot.groupBy("token").agg(F.count("*").alias("hot")), "jaccard-hot")
-    cold = sets.select(
-        F.explode("cold").alias("token"), "id", F.col("n").cast("int"), F.lit(0).alias("hot")
-    )
-    markers = often.select("token", F.lit(None).cast("long").alias("id"), F.lit(0).alias("n"), "hot")
-    own = Window.partitionBy("token")
-    found = (
-        cold.withColumn("hot", F.col("hot").cast("long"))
-        .unionAll(markers)
-        .withColumn("many", F.min("id").over(own) != F.max("id").over(own))
-        .withColumn("often", F.max("hot").over(own))
-        .withColumn("df", F.count("*").over(own))
-        .filter(F.col("id").isNotNull() & (F.coalesce("many", F.lit(False)) | (F.col("often") > 0)))
-        .select("id", "n", "token", (F.col("df") * (F.col("often") == 0).cast("long")
-                                     + F.col("often") * (1 << 20)).alias("df"))
+    with the number of sets that have them.
+
+    The count is combined before it is shuffled. Back to the sets it goes by a join; there a token that is hot
+    in a batch has one of SPREAD numbers beside it, so that its rows lie in many tasks."""
+    hot = F.col("at") >= F.size("cold")
+    posts = sets.select(
+        "id", F.col("n").cast("int"), "cold", F.posexplode(F.concat("cold", "hot")).alias("at", "token")
+    ).select(
+        "id", "n", "token",
+        F.when(hot, F.pmod(F.xxhash64("id"), F.lit(SPREAD)) + 1).otherwise(0).cast("int").alias("part"),
     )
-    # Hot tokens are few: a batch of m rows has at most its tokens / HOT_IN_BATCH of them.
-    if often.count() <= BROADCAST_TOKENS:
-        often = F.broadcast(often)
-    there = hot.join(often, "token").select(
-        "id", F.col("n").cast("int"), "token", (F.col("hot") * (1 << 20)).alias("df")
+    counts = posts.groupBy("token").agg(
+        F.count("*").alias("df"),
+        F.min("id").alias("least"),
+        F.max("id").alias("most"),
+        F.max("part").alias("part"),
+    )
+    repeated = tables.stage(
+        counts.filter("least <> most").select("token", "df", (F.col("part") > 0).alias("hot")), "jaccard-counts"
     )
-    return found.unionAll(there)
+    parts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SPREAD))).otherwise(F.array(F.lit(0)))
+    return posts.join(
+        repeated.select("token", "df", F.explode(parts).alias("part")), ["token", "part"]
+    ).select("id", "n", "token", "df")
 
 
 def survivors(hits: DataFrame, percent: int) -> DataFrame:
@@ -342,6 +338,7 @@ def links(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[D
         "jaccard-whole",
     )
     own = tables.stage(ordered_sets(repeated_tokens(whole), percent), "jaccard-ordered")
+    tables.release(whole)
     posts = own.select("rep", "n", "central", F.explode("rare").alias("token"))
     lead = F.max(F.struct("central", (-F.col("rep")).alias("first"), "n")).alias("lead")
     star = (

@@ -9,10 +9,11 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forgemeter.session import new_run_folder
+from forgemeter.sources import storage
 
 # A word is a run of anything but the space and the five ASCII controls from tab to return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -45,7 +46,38 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def release(step: DataFrame) -> None:
+    """Delete a staged step that nothing reads any more: what was made of it is stored."""
+    storage.delete_folder(step.sparkSession, step.staged_at)
+
+
+def numbered(df: DataFrame, order: list[str], purpose: str) -> DataFrame:
+    """The rows, stored, with a ``number`` from 0 on in this order: sorted by range, counted within
+    partitions, and moved on by the rows of the partitions before, which is one number a partition."""
+    placed = stage(
+        df.repartitionByRange(shuffle_partitions(df.sparkSession), *order)
+        .sortWithinPartitions(*order)
+        .withColumn("number", F.monotonically_increasing_id()),
+        purpose,
+    )
+    part, at = F.shiftright("number", 33), F.col("number").bitwiseAND((1 << 33) - 1)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (
+        placed.groupBy(part.alias("_part"))
+        .agg(F.count("*").alias("_rows"))
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
+    )
+    return (
+        placed.withColumn("_part", part)
+        .join(F.broadcast(bases), "_part")
+        .withColumn("number", F.col("_base") + at)
+        .drop("_part", "_base")
+    )
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -254,7 +254,7 @@ def slice_rows(rows: list[tuple[int, bytes, list[int]]], number: int) -> Iterato
                 )
 
 
-def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _slices(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
     task = TaskContext.get().partitionId() << 32
     out: list[tuple] = []
     held: list[tuple[int, bytes, list[int]]] = []
@@ -269,7 +269,7 @@ def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row in zip(batch["conv_id"].tolist(), batch["path"], batch["words"]):
             held.append(row)
             size += len(row[1])
-            if len(held) >= SLICE or size >= SLICE_BYTES:
+            if len(held) >= most or size >= SLICE_BYTES:
                 out.extend(slice_rows(held, task + number))
                 held, size, number = [], 0, number + 1
             if len(out) >= OUT_ROWS:
@@ -351,16 +351,17 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(key, state.hexdigest())], columns=["key", "ends_sha256"])
 
 
-def trie(convs: DataFrame) -> DataFrame:
+def trie(convs: DataFrame, most: int = SLICE) -> DataFrame:
     """The nodes of the prefix trie of (conv_id, ids, words): conv_id, depth, parent_conv_id, n_convs,
-    n_children, n_leaves, saved_tokens, ends_sha256. No conversations have no nodes, not even a root."""
+    n_children, n_leaves, saved_tokens, ends_sha256. No conversations have no nodes, not even a root.
+    A slice has at most ``most`` conversations."""
     spark = convs.sparkSession
     paths = tables.stage(
         convs.select("conv_id", F.unhex(F.array_join("ids", "")).alias("path"), "words"), "trie-paths"
     )
     spread = tables.shuffle_partitions(spark)
     ordered = paths.repartitionByRange(spread, "path", "conv_id").sortWithinPartitions("path", "conv_id")
-    built = tables.stage(ordered.mapInPandas(_slices, SCHEMA), "trie-nodes")
+    built = tables.stage(ordered.mapInPandas(lambda rows: _slices(rows, most), SCHEMA), "trie-nodes")
 
     chain = built.filter(F.col("kind") == CHAIN)
     owner = F.min(F.struct("slice", "side")).alias("owner")
@@ -443,7 +444,8 @@ ORACLES = {
             FROM conversations WHERE conv_id IS NOT NULL),
         named AS (
             SELECT conv_id, turn, substr(sha256(strlen(role)::VARCHAR || ':' || role || text), 1, 32) AS id,
-                len(list_filter(regexp_split_to_array(text, '[ 	-]+'), lambda x: x <> '')) AS words
+                len(list_filter(regexp_split_to_array(text, '[ 	-
+]+'), lambda x: x <> '')) AS words
             FROM turns),
         own AS (
             SELECT conv_id, list({'id': id, 'words': words} ORDER BY turn NULLS FIRST, id) AS ts
