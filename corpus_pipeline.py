@@ -6,7 +6,7 @@ read again. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgemeter.llm import jaccard, packing, quality, substrings, tables, toxicity
@@ -32,12 +32,16 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: that with the least doc_id. Rows of one doc_id are
-    one document, with the first text in order; rows without a doc_id stay."""
-    found = jaccard.near_documents(docs)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy("text")
-    one = _with_row(docs).join(kept, "doc_id", "left_semi")
-    one = one.withColumn("at", F.row_number().over(first)).filter("at = 1").select("row.*")
+    documents of their own, told apart by their place in the order of doc_id and text hash; rows
+    without a doc_id are compared with nothing and stay."""
+    text = F.col("text").cast("string")
+    keyed = _with_row(docs.filter(F.col("doc_id").isNotNull())).select(
+        "row", "doc_id", "text", F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g")
+    )
+    rows = tables.numbered(keyed, ["doc_id", "h", "g"], "pipeline-rows")
+    found = jaccard.near_documents(rows.select(F.col("number").alias("doc_id"), "text"))
+    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("number"))
+    one = rows.join(kept, "number", "left_semi").select("row.*")
     return one.unionAll(docs.filter(F.col("doc_id").isNull()))
 
 
