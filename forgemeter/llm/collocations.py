@@ -32,12 +32,12 @@ LEAST = 100
 LONGEST = 5
 TOP = 2_000
 # Words of one language in a block, and of all languages held by a task at a time.
-BLOCK = 1 << 20
-HELD = 1 << 21
+BLOCK = 1 << 19
+HELD = 1 << 20
 # A block goes out in pieces of about so many words, cut between phrases.
 PIECE = 1 << 16
 # So many pieces are counted at a time: a block's worth of words.
-PIECES = 16
+PIECES = 8
 # Bytes of a text that are split at a time.
 CHUNK = 1 << 22
 # log2 of a tile's side; a tile is dense if it has at least one pair for so many of its cells.
@@ -45,7 +45,7 @@ SIDE_BITS = 9
 CELLS_A_PAIR = 16
 # A pair is one 63-bit number: 32 bits of a phrase's and 31 of a word's.
 WORD_BITS = 31
-MOST_PHRASES = 1 << 32
+NONE = (1 << 32) - 1
 
 BREAK = b"\xff"
 _SPLIT = bytes.maketrans(
@@ -197,8 +197,9 @@ def _pairs(words: np.ndarray, phrases: np.ndarray, k: int) -> tuple[np.ndarray,
     return at, phrases[at], words[at + k].astype(np.int64)
 
 
-def _kept(words: np.ndarray, phrases: np.ndarray, k: int) -> tuple[bytes, bytes] | None:
-    """Only the stretches that can hold a phrase of k + 1 words, with a break between them."""
+def _kept(words: np.ndarray, phrases: np.ndarray, k: int) -> tuple[bytes, bytes | None] | None:
+    """Only the stretches that can hold a phrase of k + 1 words, with a break between them. Numbers have
+    32 bits, and phrases of one word are the words."""
     at, _, _ = _pairs(words, phrases, k)
     if not len(at):
         return None
@@ -207,18 +208,29 @@ def _kept(words: np.ndarray, phrases: np.ndarray, k: int) -> tuple[bytes, bytes]
         keep[at + i] = True
     place = np.flatnonzero(keep)
     gaps = np.flatnonzero(np.diff(place) > 1) + 1
-    return (
-        np.insert(words[place], gaps, -1).astype("<i4").tobytes(),
-        np.insert(phrases[place], gaps, -1).astype("<i8").tobytes(),
-    )
+    longer = None
+    if k > 1:
+        longer = np.insert(phrases[place], gaps, -1).astype("<u4").tobytes()
+    return np.insert(words[place], gaps, -1).astype("<i4").tobytes(), longer
 
 
 _STRETCHES = "block long, lang string, words binary, phrases binary"
 
 
+def _numbers(words: bytes, phrases: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """Both with -1 for none."""
+    own = np.frombuffer(words, "<i4")
+    if phrases is None:
+        return own, own.astype(np.int64)
+    wide = np.frombuffer(phrases, "<u4").astype(np.int64)
+    return own, np.where(wide == NONE, -1, wide)
+
+
 def _joined(parts: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    words = [np.append(np.frombuffer(x, "<i4"), np.int32(-1)) for x in parts["words"]]
-    phrases = [np.append(np.frombuffer(x, "<i8"), np.int64(-1)) for x in parts["phrases"]]
+    words, phrases = [], []
+    for own, longer in map(_numbers, parts["words"], parts["phrases"]):
+        words += [own, np.full(1, -1, np.int32)]
+        phrases += [longer, np.full(1, -1, np.int64)]
     return np.concatenate(words), np.concatenate(phrases)
 
 
@@ -262,7 +274,7 @@ def number_phrases(stretches: DataFrame, dictionary: DataFrame, k: int) -> DataF
         order = np.argsort(known["pair"].to_numpy())
         pairs, ids = known["pair"].to_numpy()[order], known["id"].to_numpy()[order]
         for _, part in parts.iterrows() if len(pairs) else ():
-            words, phrases = np.frombuffer(part["words"], "<i4"), np.frombuffer(part["phrases"], "<i8")
+            words, phrases = _numbers(part["words"], part["phrases"])
             at, left, right = _pairs(words, phrases, k)
             pair = left << WORD_BITS | right
             spot = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
@@ -299,7 +311,7 @@ def frequent_phrases(
     last = words.select("lang", F.col("id").alias("right"), F.col("phrase").alias("word"))
     for k in range(1, longest):
         counts = count_pairs(stretches, k)
-        pairs = tables.stage(ranked(frequent(counts, "pair"), "pair", MOST_PHRASES), "phrases-pairs")
+        pairs = tables.stage(ranked(frequent(counts, "pair"), "pair", NONE), "phrases-pairs")
         front = level.select("lang", F.col("id").alias("left"), F.col("phrase").alias("front"))
         level = tables.stage(
             pairs.withColumn("left", F.shiftright("pair", WORD_BITS))
