@@ -304,7 +304,7 @@ def across(own: DataFrame, families: DataFrame, parts: DataFrame, percent: int)
 
 def links(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Representatives of equal sets (sign, rep, copies), and a set of links between them that joins
-    all that similar pairs join."""
+    all that similar pairs join. Deletes ``rows``, the staged set rows."""
     known = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     reps = tables.stage(
         known.groupBy("sign").agg(
@@ -316,6 +316,7 @@ def links(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[D
         survivors(repeated_tokens(known), percent).join(reps, "id").select("rep", "sign"),
         "jaccard-survivors",
     )
+    tables.release(rows)
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in tables.parts_of(batches, BATCH):
@@ -364,8 +365,10 @@ def near_documents(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT
 
     A null or blank text has an empty set and links with nothing; a null doc_id is never linked and
     its component is null; rows with equal text are copies; other columns are ignored."""
-    rows = set_rows(docs, width, percent)
-    reps, found = links(docs, rows, width, percent)
+    whole = set_rows(docs, width, percent)
+    # Without the tokens, which are needed no more once the survivors are known.
+    rows = tables.stage(whole.select("doc_id", "n", "sign"), "jaccard-rows")
+    reps, found = links(docs, whole, width, percent)
     parts = components(found)
     copied = (
         reps.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
