@@ -8,9 +8,11 @@ and a query of its own checks the approximate form against it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from forgemeter import schemas
 from forgemeter.functions import cells, codec, labels
@@ -578,3 +580,72 @@ def stream_repo_messages(spark: SparkSession, folder: str) -> DataFrame:
     config = _repo_run(spark, folder, publish=True, language_every=0)
     sent = outbox.read_outbox(spark, config.tables)
     return messages.decode_messages(sent, "RepoStatsUpdated").drop("contributor_count")
+
+
+def _run_in_parts(
+    spark: SparkSession,
+    events: DataFrame,
+    start: Callable[[DataFrame], StreamingQuery],
+    parts: int,
+) -> None:
+    """Land the events in so many parts and run the query after each: one micro-batch a part."""
+    landed = new_run_folder(spark, "parts")
+    for part in range(parts):
+        events.where(F.pmod("event_id", F.lit(parts)) == part).write.mode("append").parquet(landed)
+        start(spark.readStream.schema(events.schema).parquet(landed)).awaitTermination()
+
+
+@_query
+def stream_changes_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every committed change once: four batches, a replay of the last, rows that were never
+    committed, and a new checkpoint that counts from the start on the same tables."""
+    config = _config(spark, "changes")
+    events, table = _valid(spark, folder), changelog.ACTOR
+    _run_in_parts(spark, events, lambda s: jobs.start_actor_job(s, config), 4)
+    newest = changelog.last_batch(spark, config.tables, table)
+    last = changelog.read_batch(spark, config.tables, table, newest, blank_key=True)
+    changelog.write_batch(last, config.tables, table, newest)
+    changelog.prepare_batch(last, config.tables, table, newest + 1)
+    again = replace(config, checkpoints=f"{config.checkpoints}-again")
+    _run_in_parts(spark, events, lambda s: jobs.start_actor_job(s, again), 1)
+    changes = changelog.stream_changes(spark, config.tables, table)
+    jobs.land_clean_events(changes, f"{config.tables}/received", config).awaitTermination()
+    return spark.read.schema(changes.schema).parquet(f"{config.tables}/received")
+
+
+@_query
+def rebuilt_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Three tables after a run over all events, compaction, and a run with new checkpoints over half
+    of them: a key that the second run has shows its rows, any other those of the first."""
+    config = _config(spark, "rebuilt")
+    events, rankings = _valid(spark, folder), dimensions.language_rankings(spark)
+    served = (changelog.REPO, changelog.ACTOR, changelog.LANGUAGE)
+
+    def run(rows: DataFrame, settings: jobs.JobConfig, parts: int) -> None:
+        _run_in_parts(spark, rows, lambda s: jobs.start_repo_job(s, rankings, settings), parts)
+        _run_in_parts(spark, rows, lambda s: jobs.start_actor_job(s, settings), parts)
+
+    run(events, config, 2)
+    for table in served:
+        changelog.compact(spark, config.tables, table)
+        changelog.vacuum(spark, config.tables, table, keep_bases=1)
+    run(
+        events.where("event_id % 2 = 0"),
+        replace(config, checkpoints=f"{config.checkpoints}-again"),
+        1,
+    )
+    repos, actors, languages = (changelog.read_table(spark, config.tables, t) for t in served)
+    none = F.lit(None).cast("long")
+    return (
+        repos.select(
+            F.lit("repo_stats").alias("table_name"), F.col("repo_name").alias("key"),
+            "star_count", "fork_count", "push_count", "activity_count",
+        )
+        .unionAll(actors.select(F.lit("actor_stats"), "actor_login", none, none, none, "activity_count"))
+        .unionAll(
+            languages.select(
+                F.lit("language_stats"), "language", "total_stars", "total_forks", "total_pushes",
+                "total_activity",
+            )
+        )
+    )

@@ -414,4 +414,32 @@ SELECT window_start, window_end, push_count AS count FROM windows""",
     "stream_dedup": f"WITH {_CANON} SELECT * EXCLUDE (ts) FROM canon",
     "stream_incremental_windows": f"""WITH {_WINDOWS}
 SELECT *, CAST(0 AS BIGINT) AS round FROM push_speed""",
+    "stream_changes_feed": f"""WITH {_ACTORS},
+steps AS (
+  SELECT actor_login, event_id % 4 AS batch_id, COUNT(*) AS n FROM valid
+  WHERE actor_login IS NOT NULL GROUP BY 1, 2)
+SELECT actor_login, CAST(SUM(n) OVER (PARTITION BY actor_login ORDER BY batch_id) AS BIGINT)
+  AS activity_count, CAST(batch_id AS BIGINT) AS batch_id FROM steps
+UNION ALL SELECT actor_login, activity_count, CAST(4 AS BIGINT) FROM actors""",
+    "rebuilt_tables": f"""WITH {_REPOS},
+counted AS (
+  SELECT repo_name, half, COUNT(*) FILTER (event_type = 'WatchEvent') AS star_count,
+    COUNT(*) FILTER (event_type = 'ForkEvent') AS fork_count,
+    COUNT(*) FILTER (event_type = 'PushEvent') AS push_count, COUNT(*) AS activity_count,
+    MAX(language) FILTER (language <> '') AS event_language
+  FROM valid, (VALUES (false), (true)) AS h(half) WHERE NOT half OR event_id % 2 = 0
+  GROUP BY repo_name, half),
+merged AS (
+  SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY repo_name ORDER BY half DESC) = 1),
+people AS (
+  SELECT actor_login, half, COUNT(*) AS activity_count
+  FROM valid, (VALUES (false), (true)) AS h(half)
+  WHERE actor_login <> '' AND (NOT half OR event_id % 2 = 0) GROUP BY actor_login, half)
+SELECT 'repo_stats' AS table_name, repo_name AS key, star_count, fork_count, push_count, activity_count
+FROM merged WHERE repo_name <> ''
+UNION ALL SELECT 'actor_stats', actor_login, NULL, NULL, NULL, activity_count FROM (
+  SELECT * FROM people QUALIFY row_number() OVER (PARTITION BY actor_login ORDER BY half DESC) = 1)
+UNION ALL SELECT 'language_stats', event_language, CAST(SUM(star_count) AS BIGINT),
+  CAST(SUM(fork_count) AS BIGINT), CAST(SUM(push_count) AS BIGINT), CAST(SUM(activity_count) AS BIGINT)
+FROM merged WHERE event_language IS NOT NULL GROUP BY event_language""",
 }

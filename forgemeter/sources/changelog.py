@@ -1,17 +1,25 @@
 """Keyed result tables as an append-only changelog: the last committed write of a key wins.
 
-Layout of one table below its root::
+Layout of one table below its root, and of what all its tables share::
 
-    <root>/<table>/log/batch_id=N/part-*.parquet     what micro-batch N wrote
+    <root>/<table>/pending/N-*/part-*.parquet        batch N while it is written
+    <root>/<table>/log/batch_id=N/part-*.parquet     what batch N wrote, once committed
     <root>/<table>/base/upto=N/part-*.parquet        all keys as of batch N (compaction)
-
-A batch folder is written by the executors with overwrite, so replaying a batch after a
-failure replaces its own rows and nothing else. A folder counts only once its ``_SUCCESS``
-marker is there, so a half-written batch is never seen.
+    <root>/claims/taken/N                            numbers given out, each once
+    <root>/claims/of/<generation>.<batch>.N          the number of a query's micro-batch
+
+Executors write a batch below ``pending``; one rename then commits it. So neither readers nor a
+stream over the log ever see a half-written batch, and a folder without its ``_SUCCESS`` marker does not
+count either. A generation is one checkpoint of a query. Its micro-batches begin with 0 again, but
+here each gets the next free number of the root, and keeps it when it is replayed: a new checkpoint over
+old tables goes on after them. A batch committed already is not written again, so a replay adds nothing to the
+stream of changes. The file system must rename a folder at once, as HDFS does; an object store without
+that needs a layer which has it.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +68,11 @@ def committed_batches(spark: SparkSession, root: str, table: KeyedTable) -> list
     return storage.committed(spark, _log(root, table), "batch_id=")
 
 
+def known_batches(spark: SparkSession, root: str, table: KeyedTable) -> list[int]:
+    """Batches that are known to have been written: those in the log, and the last one of each base."""
+    return sorted({*committed_batches(spark, root, table), *_bases(spark, root, table)})
+
+
 def _bases(spark: SparkSession, root: str, table: KeyedTable) -> list[int]:
     return storage.committed(spark, _base(root, table), "upto=")
 
@@ -76,22 +89,82 @@ def next_batch(spark: SparkSession, root: str) -> int:
     return max((n for n in last if n is not None), default=-1) + 1
 
 
+# Numbers of so many batches back are remembered as taken; the tables remember the others.
+CLAIMS_KEPT = 100
+
+
+def claim(spark: SparkSession, root: str, generation: str, batch_id: int, first: int = 0) -> int:
+    """The number of a generation's micro-batch in the tables below a root, at least ``first``.
+
+    A replayed micro-batch gets the one it had; only a generation's last two can be replayed, so claims
+    before them go. A new one gets a number that no table and no other claim has, however many queries ask
+    at a time: whoever creates its file has it."""
+    claims, key = f"{root}/claims", f"{generation}.{batch_id}."
+    held = storage.names(spark, f"{claims}/of/{key}*")
+    if held:
+        return max(int(name.removeprefix(key)) for name in held)
+    taken = [int(name) for name in storage.names(spark, f"{claims}/taken/*")]
+    number = max([next_batch(spark, root), first, *[n + 1 for n in taken]])
+    while not storage.create(spark, f"{claims}/taken/{number}"):
+        number += 1
+    storage.create(spark, f"{claims}/of/{key}{number}")
+    for name in storage.names(spark, f"{claims}/of/{generation}.*"):
+        if int(name.rsplit(".", 2)[1]) < batch_id - 1:
+            storage.delete_folder(spark, f"{claims}/of/{name}")
+    for n in taken:
+        if n < number - CLAIMS_KEPT:
+            storage.delete_folder(spark, f"{claims}/taken/{n}")
+    return number
+
+
+def prepare_batch(rows: DataFrame, root: str, table: KeyedTable, batch_id: int) -> str:
+    """Write the rows of a batch where nobody reads them yet, sorted within each file so that key
+    ranges skip row groups. Returns the folder, for ``commit_batch``."""
+    pending = f"{root}/{table.name}/pending/{batch_id}-{uuid.uuid4().hex}"
+    rows.select(*table.stored.names).sortWithinPartitions(table.key).write.parquet(pending)
+    return pending
+
+
+def _same_rows(one: DataFrame, other: DataFrame) -> bool:
+    return one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
+def commit_batch(
+    spark: SparkSession, root: str, table: KeyedTable, batch_id: int, pending: str
+) -> None:
+    """Make a prepared batch part of the table. A batch that is there with the same rows stays as it
+    is; other rows under its id replace it."""
+    committed = f"{_log(root, table)}/batch_id={batch_id}"
+    if storage.exists(spark, f"{committed}/_SUCCESS"):
+        reader = spark.read.schema(table.stored)
+        if _same_rows(reader.parquet(pending), reader.parquet(committed)):
+            storage.delete_folder(spark, pending)
+            return
+    storage.delete_folder(spark, committed)
+    storage.move_folder(spark, pending, committed)
+
+
 def write_batch(rows: DataFrame, root: str, table: KeyedTable, batch_id: int) -> None:
-    """Write one batch; sorted within each file so that key ranges skip row groups.
+    """Prepare and commit one batch.
 
-    Writing a batch again replaces its rows, as a replay needs. A batch before the newest base is
-    no replay and readers would never see it, so it is refused: a new run over old tables
-    takes ids from ``next_batch`` on.
+    Writing a batch again is a replay. A batch before the newest base is none and readers would never
+    see it, so it is refused, and so is one with the base's own id and rows that the base does not have. A new
+    run over old tables takes ids from ``next_batch`` or ``claim``.
     """
-    base = max(_bases(rows.sparkSession, root, table), default=-1)
+    spark = rows.sparkSession
+    base = max(_bases(spark, root, table), default=-1)
     if batch_id < base:
         raise ValueError(f"{table.name}: batch {batch_id} lies before the base of batch {base}")
-    (
-        rows.select(*table.stored.names)
-        .sortWithinPartitions(table.key)
-        .write.mode("overwrite")
-        .parquet(f"{_log(root, table)}/batch_id={batch_id}")
-    )
+    pending = prepare_batch(rows, root, table, batch_id)
+    if batch_id == base:
+        again = spark.read.schema(table.stored).parquet(pending)
+        held = read_latest(spark, root, table, base).select(*table.stored.names)
+        replay = again.exceptAll(held).isEmpty()
+        storage.delete_folder(spark, pending)
+        if not replay:
+            raise ValueError(f"{table.name}: batch {batch_id} is in the base with other rows")
+        return
+    commit_batch(spark, root, table, batch_id, pending)
 
 
 def read_batch(
@@ -186,11 +259,7 @@ def read_since(spark: SparkSession, root: str, table: KeyedTable, since: int) ->
 
 
 def compact(spark: SparkSession, root: str, table: KeyedTable) -> int | None:
-    """Fold everything committed so far into a new base. Readers may go on meanwhile.
-
-    A replayed batch that is already in the base is ignored by readers, and rightly so:
-    it holds the same rows.
-    """
+    """Fold everything committed so far into a new base. Readers may go on meanwhile."""
     newest = last_batch(spark, root, table)
     if newest is None or newest in _bases(spark, root, table):
         return newest
@@ -218,6 +287,9 @@ def vacuum(spark: SparkSession, root: str, table: KeyedTable, keep_bases: int =
     for n in committed_batches(spark, root, table):
         if n <= oldest_kept:
             storage.delete_folder(spark, f"{_log(root, table)}/batch_id={n}")
+    for name in storage.names(spark, f"{root}/{table.name}/pending/*"):
+        if int(name.partition("-")[0]) < oldest_kept:  # left by a writer that failed
+            storage.delete_folder(spark, f"{root}/{table.name}/pending/{name}")
 
 
 def stream_changes(
@@ -227,7 +299,8 @@ def stream_changes(
     after: int = -1,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Rows of batches later than ``after`` as a stream, with their ``batch_id``."""
+    """Rows of batches later than ``after`` as a stream, with their ``batch_id``: of committed batches
+    only, and of each once."""
     reader = spark.readStream.schema(_with_batch(table.stored))
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -31,3 +31,40 @@ def ensure_folder(spark: SparkSession, path: str) -> str:
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, target = _locate(spark, path)
     fs.delete(target, True)
+
+
+def names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the files and folders that match a glob pattern."""
+    fs, target = _locate(spark, pattern)
+    return [s.getPath().getName() for s in fs.globStatus(target) or []]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _locate(spark, path)
+    return fs.exists(target)
+
+
+def create(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if there is one already, so of several callers one gets true."""
+    fs, target = _locate(spark, path)
+    fs.mkdirs(target.getParent())
+    return fs.createNewFile(target)
+
+
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; ``to`` must not exist. On HDFS and local disks nobody sees a part of it."""
+    fs, source = _locate(spark, path)
+    _, target = _locate(spark, to)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(source, target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, such as the metadata of a checkpoint."""
+    fs, target = _locate(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()

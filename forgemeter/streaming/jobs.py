@@ -1,12 +1,13 @@
 """The streaming statistics: three queries, each with its own checkpoint.
 
-Every sink is a ``foreachBatch`` that writes with the executors into a changelog folder named
-by the batch id. A replayed batch overwrites its own folder, and a failed write fails the
-query, so the checkpoint never passes rows that were not stored.
+Every sink is a ``foreachBatch`` that writes with the executors into a changelog folder of the
+batch's own number. A replayed batch has the same number and changes nothing that is stored, and a failed
+write fails the query, so the checkpoint never passes rows that were not stored.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -25,7 +26,7 @@ from forgemeter.operators.messages import list_message
 from forgemeter.operators.ranking import top_actors, top_repos
 from forgemeter.plans.statistics import window_table
 from forgemeter.session import ROCKSDB
-from forgemeter.sources import changelog
+from forgemeter.sources import changelog, storage
 from forgemeter.streaming import outbox
 from forgemeter.streaming.gate import publish_if_grown, read_published, rolling_top
 
@@ -40,8 +41,8 @@ class JobConfig:
 
     ``output_mode`` of the cumulative queries: ``update`` writes the keys that changed in a
     batch, ``complete`` writes every key every time and suits small key counts only.
-    ``first_batch`` is the id of the first batch of the checkpoints: with new checkpoints on tables that
-    have batches already, ``changelog.next_batch`` of them.
+    Micro-batches get their numbers in the tables from ``changelog.claim``, none below ``first_batch``: new
+    checkpoints on tables that have batches already go on after them.
     """
 
     tables: str
@@ -75,11 +76,18 @@ def start_query(
     mode: str,
     sink: Callable[[DataFrame, int], None],
 ) -> StreamingQuery:
+    checkpoint = f"{config.checkpoints}/{name}"
+
+    def numbered(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        generation = json.loads(storage.read_text(session, f"{checkpoint}/metadata"))["id"]
+        sink(batch, changelog.claim(session, config.tables, generation, batch_id, config.first_batch))
+
     writer = (
         result.writeStream.outputMode(mode)
-        .option("checkpointLocation", f"{config.checkpoints}/{name}")
+        .option("checkpointLocation", checkpoint)
         .trigger(**config.trigger)
-        .foreachBatch(lambda batch, batch_id: sink(batch, config.first_batch + batch_id))
+        .foreachBatch(numbered)
     )
     with _state_store(result.sparkSession, config.state_store):
         return writer.start()
@@ -120,7 +128,8 @@ def start_repo_job(
 
     Two aggregates cannot follow each other in one streaming query, so the language totals
     are computed per batch: over the stored repository table, which in update mode is the
-    only place that holds all keys. With ``language_every=0`` the job leaves them alone and
+    only place that holds all keys; with ``language_every`` above 1, once for so many batches, and
+    ``refresh_languages`` brings in the last ones. With ``language_every=0`` the job leaves them alone and
     ``refresh_languages`` keeps them current on a schedule of its own, as suits large tables.
     """
     stats = repo_stats(events)
@@ -136,7 +145,7 @@ def start_repo_job(
             )
         else:
             repos = changelog.read_latest(session, config.tables, changelog.REPO, batch_id)
-        if language_every and batch_id % language_every == 0:
+        if language_every and _batches_behind(session, config.tables, batch_id) >= language_every:
             changelog.write_batch(
                 language_stats(repos, rankings), config.tables, changelog.LANGUAGE, batch_id
             )
@@ -146,6 +155,13 @@ def start_repo_job(
     return start_query(stats, config, "repos", config.output_mode, sink)
 
 
+def _batches_behind(spark: SparkSession, root: str, batch_id: int) -> int:
+    """Repository batches up to this one that the stored language totals do not know yet."""
+    newest = changelog.known_batches(spark, root, changelog.LANGUAGE)
+    known = max((n for n in newest if n < batch_id), default=-1)
+    return sum(known < n <= batch_id for n in changelog.known_batches(spark, root, changelog.REPO))
+
+
 def refresh_languages(spark: SparkSession, root: str, rankings: DataFrame) -> int | None:
     """Rebuild the language totals from the newest repository table; returns its batch id."""
     newest = changelog.last_batch(spark, root, changelog.REPO)
@@ -185,7 +201,7 @@ def _publish(
         changed = changelog.read_batch(session, root, table, batch_id)
         top = rolling_top(
             changed, f"{root}/{kind}_top", batch_id, table.key, rank, whole_table,
-            committed=changelog.committed_batches(session, root, table),
+            committed=changelog.known_batches(session, root, table),
         )
     else:
         top = rank(whole_table(), scan_limit)

@@ -3,9 +3,11 @@
 import pytest
 
 import check
+from forgemeter.plans.catalogue import QUERIES
+from forgemeter.plans.oracles import ORACLES
 from tests.conftest import SMALL
 
-NAMES = list(check.contract.queries())
+NAMES = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +16,7 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(check.contract.oracle_sql()) == set(NAMES)
+    assert set(ORACLES) == set(NAMES)
 
 
 @pytest.mark.parametrize("name", NAMES)
