@@ -131,25 +131,54 @@ def language_stats(repos: DataFrame, rankings: DataFrame) -> DataFrame:
     gets the lowest tier and unknown traits.
     """
     listed = repos.where(F.col("event_language").isNotNull() & (F.col("event_language") != ""))
-    ranked = attach_rankings(listed, rankings)
-    return (
-        ranked.groupBy("event_language", "tier", "paradigm", "type")
-        .agg(
-            F.sum("star_count").alias("total_stars"),
-            F.sum("fork_count").alias("total_forks"),
-            F.sum("push_count").alias("total_pushes"),
-            F.sum("activity_count").alias("total_activity"),
-            F.count(F.lit(1)).alias("repo_count"),
-        )
-        .select(
-            F.col("event_language").alias("language"),
-            F.coalesce("tier", F.lit(schemas.DEFAULT_TIER)).alias("tier"),
-            F.coalesce("paradigm", F.lit(schemas.DEFAULT_PARADIGM)).alias("paradigm"),
-            F.coalesce("type", F.lit(schemas.DEFAULT_LANG_TYPE)).alias("lang_type"),
-            "total_stars",
-            "total_forks",
-            "total_pushes",
-            "total_activity",
-            "repo_count",
+    totals = listed.groupBy("event_language").agg(
+        *[F.sum(c).alias(total) for c, total in _LANGUAGE_TOTALS.items()],
+        F.count(F.lit(1)).alias("repo_count"),
+    )
+    return _ranked_totals(totals, rankings)
+
+
+_LANGUAGE_TOTALS = {
+    "star_count": "total_stars",
+    "fork_count": "total_forks",
+    "push_count": "total_pushes",
+    "activity_count": "total_activity",
+}
+
+
+def _ranked_totals(totals: DataFrame, rankings: DataFrame) -> DataFrame:
+    """Totals by ``event_language`` with the traits of the language."""
+    return attach_rankings(totals, rankings).select(
+        F.col("event_language").alias("language"),
+        F.coalesce("tier", F.lit(schemas.DEFAULT_TIER)).alias("tier"),
+        F.coalesce("paradigm", F.lit(schemas.DEFAULT_PARADIGM)).alias("paradigm"),
+        F.coalesce("type", F.lit(schemas.DEFAULT_LANG_TYPE)).alias("lang_type"),
+        *_LANGUAGE_TOTALS.values(),
+        "repo_count",
+    )
+
+
+def changed_language_stats(
+    totals: DataFrame, old: DataFrame, new: DataFrame, rankings: DataFrame
+) -> DataFrame:
+    """``language_stats`` after a change, from those before it and the changed repositories' rows before
+    and after: the old rows are taken out and the new ones added. A language without repositories goes."""
+    measures = [*_LANGUAGE_TOTALS.values(), "repo_count"]
+
+    def signed(repos: DataFrame, sign: int) -> DataFrame:
+        listed = repos.where(F.col("event_language").isNotNull() & (F.col("event_language") != ""))
+        return listed.select(
+            "event_language",
+            *[(F.col(c) * sign).cast("long").alias(total) for c, total in _LANGUAGE_TOTALS.items()],
+            F.lit(sign).cast("long").alias("repo_count"),
         )
+
+    before = totals.select(F.col("language").alias("event_language"), *measures)
+    merged = (
+        before.unionByName(signed(old, -1))
+        .unionByName(signed(new, 1))
+        .groupBy("event_language")
+        .agg(*[F.sum(m).alias(m) for m in measures])
+        .where("repo_count > 0")
     )
+    return _ranked_totals(merged, rankings)

@@ -613,6 +613,23 @@ def stream_changes_feed(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(changes.schema).parquet(f"{config.tables}/received")
 
 
+@_query
+def stream_language_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Language totals after four batches in which repositories move to other languages, kept by taking
+    old rows out and adding new ones, over a base that is folded every second batch."""
+    config = replace(_config(spark, "languages"), compact_every=2)
+    part = F.col("event_id") % 4
+    moved = (
+        F.when((part == 2) & F.col("repo_name").endswith("3"), F.lit("Swift"))
+        .when((part == 3) & F.col("repo_name").endswith("1"), F.lit("TypeScript"))
+        .otherwise(F.col("language"))
+    )
+    events = _valid(spark, folder).withColumn("language", moved)
+    rankings = dimensions.language_rankings(spark)
+    _run_in_parts(spark, events, lambda s: jobs.start_repo_job(s, rankings, config), 4)
+    return changelog.read_table(spark, config.tables, changelog.LANGUAGE)
+
+
 @_query
 def rebuilt_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Three tables after a run over all events, compaction, and a run with new checkpoints over half

@@ -421,6 +421,12 @@ steps AS (
 SELECT actor_login, CAST(SUM(n) OVER (PARTITION BY actor_login ORDER BY batch_id) AS BIGINT)
   AS activity_count, CAST(batch_id AS BIGINT) AS batch_id FROM steps
 UNION ALL SELECT actor_login, activity_count, CAST(4 AS BIGINT) FROM actors""",
+    "stream_language_changes": "WITH " + _LANGUAGES.replace(
+        "MAX(language) FILTER (language <> '') AS event_language",
+        """MAX(CASE WHEN event_id % 4 = 2 AND repo_name LIKE '%3' THEN 'Swift'
+      WHEN event_id % 4 = 3 AND repo_name LIKE '%1' THEN 'TypeScript'
+      WHEN language <> '' THEN language END) AS event_language""",
+    ) + " SELECT * FROM languages",
     "rebuilt_tables": f"""WITH {_REPOS},
 counted AS (
   SELECT repo_name, half, COUNT(*) FILTER (event_type = 'WatchEvent') AS star_count,

@@ -22,9 +22,9 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from forgemeter import schemas
 from forgemeter.functions.cells import window_key_literal
@@ -33,16 +33,18 @@ from forgemeter.sources import storage
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """``replace``: each batch holds the whole table. Otherwise a batch holds changed keys."""
+    """``replace``: each batch holds the whole table. Otherwise a batch holds changed keys.
+    ``hashed``: the base is split by a hash of the key, for reads of a few keys."""
 
     name: str
     key: str
     stored: StructType
     shown: StructType
     replace: bool = False
+    hashed: bool = False
 
 
-REPO = KeyedTable("repo_stats", "repo_name", schemas.REPO_LOG, schemas.REPO_STATS)
+REPO = KeyedTable("repo_stats", "repo_name", schemas.REPO_LOG, schemas.REPO_STATS, hashed=True)
 ACTOR = KeyedTable("actor_stats", "actor_login", schemas.ACTOR_STATS, schemas.ACTOR_STATS)
 LANGUAGE = KeyedTable(
     "language_stats", "language", schemas.LANGUAGE_STATS, schemas.LANGUAGE_STATS, replace=True
@@ -178,10 +180,51 @@ def read_batch(
     return rows.where(F.col(table.key) != "").select(*table.shown.names)
 
 
+# Keys of one part of a hashed base, and its parts at most.
+KEYS_A_PART = 500_000
+MOST_PARTS = 4_096
+
+
+def _part(key: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def _parts(spark: SparkSession, path: str) -> int:
+    """Into how many parts a base is split; 1 for one that is not."""
+    marks = storage.names(spark, f"{path}/_parts=*")
+    return max((int(name.removeprefix("_parts=")) for name in marks), default=1)
+
+
+def _read_base(
+    spark: SparkSession, root: str, table: KeyedTable, base: int, keys: DataFrame | None = None
+) -> DataFrame:
+    """The rows of a base; with ``keys`` only the parts of a hashed one that these can be in. What
+    reaches the driver is the numbers of the parts, at most MOST_PARTS."""
+    path = f"{_base(root, table)}/upto={base}"
+    parts = _parts(spark, path)
+    if parts == 1 or keys is None:
+        return spark.read.schema(table.stored).parquet(path).select(*table.stored.names)
+    wanted = sorted(r[0] for r in keys.select(_part(table.key, parts)).distinct().collect())
+    rows = spark.read.schema(StructType([*table.stored.fields, StructField("part", IntegerType())])).parquet(path)
+    return rows.where(F.col("part").isin(wanted)).select(*table.stored.names)
+
+
+def read_keys(
+    spark: SparkSession, root: str, table: KeyedTable, keys: DataFrame, upto: int | None = None
+) -> DataFrame:
+    """``read_latest`` of some keys only: the log since the base, and the base's parts they are in."""
+    return read_latest(spark, root, table, upto, keys).join(keys, table.key, "left_semi")
+
+
 def read_latest(
-    spark: SparkSession, root: str, table: KeyedTable, upto: int | None = None
+    spark: SparkSession,
+    root: str,
+    table: KeyedTable,
+    upto: int | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
-    """All stored columns of every key as of batch ``upto`` (newest when not given).
+    """All stored columns of every key as of batch ``upto`` (newest when not given). With ``keys``
+    rows of others may be missing.
 
     A batch whose predecessors were folded into a later base and deleted cannot be read any
     more; that is an error, never a part of the table."""
@@ -208,7 +251,7 @@ def read_latest(
     values = [n for n in table.stored.names if n != table.key]
     kept = changed = None
     if base is not None:
-        kept = spark.read.schema(table.stored).parquet(f"{_base(root, table)}/upto={base}")
+        kept = _read_base(spark, root, table, base, keys)
     if batches:
         folder = _log(root, table)
         changed = (
@@ -233,6 +276,14 @@ def _with_batch(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField("batch_id", LongType())])
 
 
+def readable_as_of(spark: SparkSession, root: str, table: KeyedTable, upto: int) -> bool:
+    """Whether the table can still be read as of this batch: a base not after it is kept, or none was made
+    that could have taken its log away."""
+    bases = _bases(spark, root, table)
+    logged = committed_batches(spark, root, table)
+    return not bases or min(bases) <= upto or any(n <= min(bases) for n in logged)
+
+
 def read_table(
     spark: SparkSession, root: str, table: KeyedTable, upto: int | None = None
 ) -> DataFrame:
@@ -263,16 +314,27 @@ def compact(spark: SparkSession, root: str, table: KeyedTable) -> int | None:
     newest = last_batch(spark, root, table)
     if newest is None or newest in _bases(spark, root, table):
         return newest
-    (
-        read_latest(spark, root, table, newest)
-        .repartitionByRange(table.key)
-        .sortWithinPartitions(table.key)
-        .write.mode("overwrite")
-        .parquet(f"{_base(root, table)}/upto={newest}")
-    )
+    rows, path = read_latest(spark, root, table, newest), f"{_base(root, table)}/upto={newest}"
+    parts = 1
+    if table.hashed:
+        parts = min(MOST_PARTS, -(-rows.count() // KEYS_A_PART))
+    if parts <= 1:
+        rows.repartitionByRange(table.key).sortWithinPartitions(table.key).write.mode("overwrite").parquet(path)
+        return newest
+    split = rows.withColumn("part", _part(table.key, parts)).repartition(parts, "part")
+    split.sortWithinPartitions("part", table.key).write.partitionBy("part").mode("overwrite").parquet(path)
+    storage.create(spark, f"{path}/_parts={parts}")
     return newest
 
 
+def compact_when_due(spark: SparkSession, root: str, table: KeyedTable, every: int) -> None:
+    """Fold the log into a new base once so many batches have come since the last one. Nothing is
+    deleted; ``vacuum`` does that, once the readers of changes have gone on."""
+    base = max(_bases(spark, root, table), default=-1)
+    if every and sum(n > base for n in committed_batches(spark, root, table)) >= every:
+        compact(spark, root, table)
+
+
 def vacuum(spark: SparkSession, root: str, table: KeyedTable, keep_bases: int = 2) -> None:
     """Delete what no reader needs: old bases, and batches folded into the oldest base kept.
 

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from forgemeter import schemas
 from forgemeter.operators.aggregates import (
     actor_stats,
+    changed_language_stats,
     language_stats,
     repo_stats,
     window_activity,
@@ -42,7 +43,8 @@ class JobConfig:
     ``output_mode`` of the cumulative queries: ``update`` writes the keys that changed in a
     batch, ``complete`` writes every key every time and suits small key counts only.
     Micro-batches get their numbers in the tables from ``changelog.claim``, none below ``first_batch``: new
-    checkpoints on tables that have batches already go on after them.
+    checkpoints on tables that have batches already go on after them. After ``compact_every`` batches of
+    a table its log is folded into a base (0: never), so a read is of one base and so many folders at most.
     """
 
     tables: str
@@ -52,6 +54,7 @@ class JobConfig:
     watermark: str = schemas.WATERMARK
     state_store: str = ROCKSDB
     first_batch: int = 0
+    compact_every: int = 200
 
 
 @contextmanager
@@ -110,6 +113,9 @@ def start_window_job(events: DataFrame, config: JobConfig) -> StreamingQuery:
                 changelog.write_batch(
                     window_table(batch, measure), config.tables, table, batch_id
                 )
+                changelog.compact_when_due(
+                    batch.sparkSession, config.tables, table, config.compact_every
+                )
         finally:
             batch.unpersist()
 
@@ -127,8 +133,9 @@ def start_repo_job(
     """Repository totals, the language totals that follow from them, and the top list.
 
     Two aggregates cannot follow each other in one streaming query, so the language totals
-    are computed per batch: over the stored repository table, which in update mode is the
-    only place that holds all keys; with ``language_every`` above 1, once for so many batches, and
+    are kept per batch: the rows that its repositories had before are taken out of the last totals and
+    their new rows added, so a trigger costs what its batch holds and not what the table does. The first
+    totals, and those in complete mode, are of all repositories; with ``language_every`` above 1, once for so many batches, and
     ``refresh_languages`` brings in the last ones. With ``language_every=0`` the job leaves them alone and
     ``refresh_languages`` keeps them current on a schedule of its own, as suits large tables.
     """
@@ -138,23 +145,49 @@ def start_repo_job(
         session = batch.sparkSession
         if not _store(batch, config.tables, changelog.REPO, batch_id):
             return
-        if config.output_mode == "complete":
-            # The batch as stored: it holds every key, so nothing has to be merged.
-            repos = changelog.read_batch(
-                session, config.tables, changelog.REPO, batch_id, blank_key=True
-            )
-        else:
-            repos = changelog.read_latest(session, config.tables, changelog.REPO, batch_id)
         if language_every and _batches_behind(session, config.tables, batch_id) >= language_every:
-            changelog.write_batch(
-                language_stats(repos, rankings), config.tables, changelog.LANGUAGE, batch_id
-            )
+            totals = _language_totals(session, config, rankings, batch_id)
+            changelog.write_batch(totals, config.tables, changelog.LANGUAGE, batch_id)
         if publish:
             _publish(batch, batch_id, config, changelog.REPO, top_repos, scan_limit)
+        changelog.compact_when_due(session, config.tables, changelog.REPO, config.compact_every)
+        changelog.compact_when_due(session, config.tables, changelog.LANGUAGE, config.compact_every)
 
     return start_query(stats, config, "repos", config.output_mode, sink)
 
 
+def _language_totals(
+    spark: SparkSession, config: JobConfig, rankings: DataFrame, batch_id: int
+) -> DataFrame:
+    root, repo = config.tables, changelog.REPO
+    if config.output_mode == "complete":
+        # The batch as stored: it holds every key, so nothing has to be merged.
+        return language_stats(changelog.read_batch(spark, root, repo, batch_id, blank_key=True), rankings)
+    known = max(
+        (n for n in changelog.known_batches(spark, root, changelog.LANGUAGE) if n < batch_id), default=None
+    )
+    batches = [n for n in changelog.committed_batches(spark, root, repo) if n <= batch_id]
+    changed = [n for n in batches if known is not None and n > known]
+    # A base later than the last totals hides which keys have changed since.
+    hidden = known is None or any(
+        known < n < batch_id and n not in changed for n in changelog.known_batches(spark, root, repo)
+    )
+    if hidden or not changelog.readable_as_of(spark, root, repo, known):
+        return language_stats(changelog.read_latest(spark, root, repo, batch_id), rankings)
+    keys = None
+    for n in changed:
+        more = changelog.read_batch(spark, root, repo, n, blank_key=True).select(repo.key)
+        keys = more if keys is None else keys.unionAll(more)
+    keys = keys.distinct()
+    if changed == [batch_id]:
+        new = changelog.read_batch(spark, root, repo, batch_id, blank_key=True)
+    else:
+        new = changelog.read_keys(spark, root, repo, keys, batch_id)
+    old = changelog.read_keys(spark, root, repo, keys, known)
+    totals = changelog.read_latest(spark, root, changelog.LANGUAGE, known)
+    return changed_language_stats(totals, old, new, rankings)
+
+
 def _batches_behind(spark: SparkSession, root: str, batch_id: int) -> int:
     """Repository batches up to this one that the stored language totals do not know yet."""
     newest = changelog.known_batches(spark, root, changelog.LANGUAGE)
@@ -224,6 +257,9 @@ def start_actor_job(
     def sink(batch: DataFrame, batch_id: int) -> None:
         if _store(batch, config.tables, changelog.ACTOR, batch_id) and publish:
             _publish(batch, batch_id, config, changelog.ACTOR, top_actors, scan_limit)
+        changelog.compact_when_due(
+            batch.sparkSession, config.tables, changelog.ACTOR, config.compact_every
+        )
 
     return start_query(actor_stats(events), config, "actors", config.output_mode, sink)
 
