@@ -5,13 +5,13 @@ Layout of one table below its root, and of what all its tables share::
     <root>/<table>/pending/N-*/part-*.parquet        batch N while it is written
     <root>/<table>/log/batch_id=N/part-*.parquet     what batch N wrote, once committed
     <root>/<table>/base/upto=N/part-*.parquet        all keys as of batch N (compaction)
-    <root>/claims/taken/N                            numbers given out, each once
-    <root>/claims/of/<generation>.<batch>.N          the number of a query's micro-batch
+    <root>/claims/<query>/taken/N                    numbers given out, each once
+    <root>/claims/<query>/of/<generation>.<batch>.N  the number of a query's micro-batch
 
 Executors write a batch below ``pending``; one rename then commits it. So neither readers nor a
 stream over the log ever see a half-written batch, and a folder without its ``_SUCCESS`` marker does not
 count either. A generation is one checkpoint of a query. Its micro-batches begin with 0 again, but
-here each gets the next free number of the root, and keeps it when it is replayed: a new checkpoint over
+here each gets the next number free in its query's tables, and keeps it when it is replayed: a new checkpoint over
 old tables goes on after them. A batch committed already is not written again, so a replay adds nothing to the
 stream of changes. The file system must rename a folder at once, as HDFS does; an object store without
 that needs a layer which has it.
@@ -20,6 +20,7 @@ that needs a layer which has it.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -95,18 +96,27 @@ def next_batch(spark: SparkSession, root: str) -> int:
 CLAIMS_KEPT = 100
 
 
-def claim(spark: SparkSession, root: str, generation: str, batch_id: int, first: int = 0) -> int:
-    """The number of a generation's micro-batch in the tables below a root, at least ``first``.
+def claim(
+    spark: SparkSession,
+    root: str,
+    generation: str,
+    batch_id: int,
+    first: int = 0,
+    query: str = "all",
+    tables: Sequence[KeyedTable] = tuple(RESULT_TABLES.values()),
+) -> int:
+    """The number of a generation's micro-batch in the tables that a query writes, at least ``first``.
 
     A replayed micro-batch gets the one it had; only a generation's last two can be replayed, so claims
-    before them go. A new one gets a number that no table and no other claim has, however many queries ask
-    at a time: whoever creates its file has it."""
-    claims, key = f"{root}/claims", f"{generation}.{batch_id}."
+    before them go. A new one gets a number that none of the tables and no other claim has, also if two
+    generations ask at a time: whoever creates its file has it."""
+    claims, key = f"{root}/claims/{query}", f"{generation}.{batch_id}."
     held = storage.names(spark, f"{claims}/of/{key}*")
     if held:
         return max(int(name.removeprefix(key)) for name in held)
     taken = [int(name) for name in storage.names(spark, f"{claims}/taken/*")]
-    number = max([next_batch(spark, root), first, *[n + 1 for n in taken]])
+    last = [last_batch(spark, root, table) for table in tables]
+    number = max([first, *[n + 1 for n in taken], *[n + 1 for n in last if n is not None]])
     while not storage.create(spark, f"{claims}/taken/{number}"):
         number += 1
     storage.create(spark, f"{claims}/of/{key}{number}")

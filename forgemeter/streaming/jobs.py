@@ -8,7 +8,7 @@ write fails the query, so the checkpoint never passes rows that were not stored.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -78,13 +78,18 @@ def start_query(
     name: str,
     mode: str,
     sink: Callable[[DataFrame, int], None],
+    tables: Sequence[changelog.KeyedTable] = (),
 ) -> StreamingQuery:
+    """Start a query whose micro-batches have numbers of their own in the ``tables`` that it writes."""
     checkpoint = f"{config.checkpoints}/{name}"
 
     def numbered(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         generation = json.loads(storage.read_text(session, f"{checkpoint}/metadata"))["id"]
-        sink(batch, changelog.claim(session, config.tables, generation, batch_id, config.first_batch))
+        number = changelog.claim(
+            session, config.tables, generation, batch_id, config.first_batch, name, tables
+        )
+        sink(batch, number)
 
     writer = (
         result.writeStream.outputMode(mode)
@@ -119,7 +124,8 @@ def start_window_job(events: DataFrame, config: JobConfig) -> StreamingQuery:
         finally:
             batch.unpersist()
 
-    return start_query(activity, config, "windows", "update", sink)
+    written = (changelog.NEW_REPOS, changelog.PUSH_SPEED)
+    return start_query(activity, config, "windows", "update", sink, written)
 
 
 def start_repo_job(
@@ -153,7 +159,8 @@ def start_repo_job(
         changelog.compact_when_due(session, config.tables, changelog.REPO, config.compact_every)
         changelog.compact_when_due(session, config.tables, changelog.LANGUAGE, config.compact_every)
 
-    return start_query(stats, config, "repos", config.output_mode, sink)
+    written = (changelog.REPO, changelog.LANGUAGE)
+    return start_query(stats, config, "repos", config.output_mode, sink, written)
 
 
 def _language_totals(
@@ -261,7 +268,9 @@ def start_actor_job(
             batch.sparkSession, config.tables, changelog.ACTOR, config.compact_every
         )
 
-    return start_query(actor_stats(events), config, "actors", config.output_mode, sink)
+    return start_query(
+        actor_stats(events), config, "actors", config.output_mode, sink, (changelog.ACTOR,)
+    )
 
 
 def start_all(

@@ -62,7 +62,7 @@ def test_claims_are_given_out_once_and_kept(spark, folder):
     assert changelog.claim(spark, folder, "c", 0, first=20) == 20
     changelog.write_batch(actors(spark, ann=1), folder, TABLE, 30)
     assert changelog.claim(spark, folder, "a", 4) == 31
-    assert len(os.listdir(f"{folder}/claims/of")) < 20
+    assert len(os.listdir(f"{folder}/claims/all/of")) < 20
 
 
 def test_a_new_checkpoint_goes_on_after_the_old_rows(spark, folder):
