@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -630,6 +631,38 @@ def stream_language_changes(spark: SparkSession, folder: str) -> DataFrame:
     return changelog.read_table(spark, config.tables, changelog.LANGUAGE)
 
 
+@_query
+def compacted_reads(spark: SparkSession, folder: str) -> DataFrame:
+    """Repository totals of a stream of twelve batches, read when threes of them are merged in levels,
+    when vacuum has left the merged ones alone, under a lease that vacuum waits for, and when all is
+    one base."""
+    config = replace(_config(spark, "tiers"), tier_fan=3)
+    landed, root, table = new_run_folder(spark, "landed"), config.tables, changelog.REPO
+    _valid(spark, folder).repartition(12).write.parquet(landed)
+    schema = _valid(spark, folder).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    rankings = dimensions.language_rankings(spark)
+    jobs.start_repo_job(stream, rankings, config, language_every=0).awaitTermination()
+
+    def read(state: str, upto: int | None = None) -> DataFrame:
+        shown = changelog.read_latest(spark, root, table, upto).drop("contributor_count")
+        stored = f"{root}/reads/{state}"
+        shown.select(F.lit(state).alias("state"), "*").write.parquet(stored)
+        return spark.read.parquet(stored)
+
+    found = [read("merged")]
+    for _ in range(2):
+        changelog.vacuum(spark, root, table)
+    found.append(read("vacuumed"))
+    with changelog.lease(spark, root, table) as batch:
+        changelog.compact(spark, root, table)
+        changelog.vacuum(spark, root, table, keep_bases=1)
+        found.append(read("leased", batch))
+    changelog.vacuum(spark, root, table, keep_bases=1)
+    found.append(read("folded"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @_query
 def rebuilt_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Three tables after a run over all events, compaction, and a run with new checkpoints over half

@@ -427,6 +427,9 @@ UNION ALL SELECT actor_login, activity_count, CAST(4 AS BIGINT) FROM actors""",
       WHEN event_id % 4 = 3 AND repo_name LIKE '%1' THEN 'TypeScript'
       WHEN language <> '' THEN language END) AS event_language""",
     ) + " SELECT * FROM languages",
+    "compacted_reads": f"""WITH {_REPOS}
+SELECT {_NO_CONTRIBUTORS} FROM repos,
+  (VALUES ('merged'), ('vacuumed'), ('leased'), ('folded')) AS states(state)""",
     "rebuilt_tables": f"""WITH {_REPOS},
 counted AS (
   SELECT repo_name, half, COUNT(*) FILTER (event_type = 'WatchEvent') AS star_count,

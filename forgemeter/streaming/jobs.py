@@ -44,7 +44,8 @@ class JobConfig:
     batch, ``complete`` writes every key every time and suits small key counts only.
     Micro-batches get their numbers in the tables from ``changelog.claim``, none below ``first_batch``: new
     checkpoints on tables that have batches already go on after them. After ``compact_every`` batches of
-    a table its log is folded into a base (0: never), so a read is of one base and so many folders at most.
+    a table its log is folded into a base (0: never); before that every ``tier_fan`` folders of a level become
+    one, so a read is of one base and a number of folders that grows with the logarithm of the batches.
     """
 
     tables: str
@@ -55,6 +56,7 @@ class JobConfig:
     state_store: str = ROCKSDB
     first_batch: int = 0
     compact_every: int = 200
+    tier_fan: int = changelog.FAN
 
 
 @contextmanager
@@ -118,9 +120,7 @@ def start_window_job(events: DataFrame, config: JobConfig) -> StreamingQuery:
                 changelog.write_batch(
                     window_table(batch, measure), config.tables, table, batch_id
                 )
-                changelog.compact_when_due(
-                    batch.sparkSession, config.tables, table, config.compact_every
-                )
+                _compact(batch.sparkSession, config, table)
         finally:
             batch.unpersist()
 
@@ -156,8 +156,8 @@ def start_repo_job(
             changelog.write_batch(totals, config.tables, changelog.LANGUAGE, batch_id)
         if publish:
             _publish(batch, batch_id, config, changelog.REPO, top_repos, scan_limit)
-        changelog.compact_when_due(session, config.tables, changelog.REPO, config.compact_every)
-        changelog.compact_when_due(session, config.tables, changelog.LANGUAGE, config.compact_every)
+        _compact(session, config, changelog.REPO)
+        _compact(session, config, changelog.LANGUAGE)
 
     written = (changelog.REPO, changelog.LANGUAGE)
     return start_query(stats, config, "repos", config.output_mode, sink, written)
@@ -175,10 +175,10 @@ def _language_totals(
     )
     batches = [n for n in changelog.committed_batches(spark, root, repo) if n <= batch_id]
     changed = [n for n in batches if known is not None and n > known]
-    # A base later than the last totals hides which keys have changed since.
+    # A base later than the last totals hides which keys have changed since, and so does a vacuumed log.
     hidden = known is None or any(
         known < n < batch_id and n not in changed for n in changelog.known_batches(spark, root, repo)
-    )
+    ) or not changelog.log_is_whole(spark, root, repo, known)
     if hidden or not changelog.readable_as_of(spark, root, repo, known):
         return language_stats(changelog.read_latest(spark, root, repo, batch_id), rankings)
     keys = None
@@ -211,6 +211,10 @@ def refresh_languages(spark: SparkSession, root: str, rankings: DataFrame) -> in
     return newest
 
 
+def _compact(spark: SparkSession, config: JobConfig, table: changelog.KeyedTable) -> None:
+    changelog.compact_when_due(spark, config.tables, table, config.compact_every, config.tier_fan)
+
+
 def _store(batch: DataFrame, root: str, table: changelog.KeyedTable, batch_id: int) -> bool:
     """Write the batch; false when it had no rows. The written files are asked, not the
     batch: every action on the batch merges the state anew."""
@@ -264,9 +268,7 @@ def start_actor_job(
     def sink(batch: DataFrame, batch_id: int) -> None:
         if _store(batch, config.tables, changelog.ACTOR, batch_id) and publish:
             _publish(batch, batch_id, config, changelog.ACTOR, top_actors, scan_limit)
-        changelog.compact_when_due(
-            batch.sparkSession, config.tables, changelog.ACTOR, config.compact_every
-        )
+        _compact(batch.sparkSession, config, changelog.ACTOR)
 
     return start_query(
         actor_stats(events), config, "actors", config.output_mode, sink, (changelog.ACTOR,)
