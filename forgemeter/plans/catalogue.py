@@ -17,7 +17,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from forgemeter import schemas
 from forgemeter.functions import cells, codec, labels
-from forgemeter.operators import aggregates, dedup, flatten, lookups, messages, ranking, validate
+from forgemeter.operators import (
+    aggregates,
+    dedup,
+    flatten,
+    lookups,
+    messages,
+    panes,
+    ranking,
+    validate,
+)
 from forgemeter.plans import dashboard, ingest, statistics
 from forgemeter.session import new_run_folder
 from forgemeter.sources import canonical, changelog, dimensions, landing, tables
@@ -31,6 +40,13 @@ REPO_SCAN, REPO_SHOWN = 40, 20
 ACTOR_SCAN, ACTOR_SHOWN = 100, 50
 SINCE = 1_705_276_800_000  # 2024-01-15T00:00:00Z
 TOLERANCE = 5 * schemas.DISTINCT_RSD
+# Ranges in epoch ms: all times, two weeks, one day in them, and half a day from five past an hour.
+RANGES = {
+    "all": (0, 4_102_444_800_000),
+    "fortnight": (1_704_672_000_000, 1_705_881_600_000),
+    "day": (1_705_276_800_000, 1_705_363_200_000),
+    "half_day": (1_705_280_700_000, 1_705_323_900_000),
+}
 
 
 def _query(fn: Query) -> Query:
@@ -250,9 +266,9 @@ def repo_stats(spark: SparkSession, folder: str) -> DataFrame:
     return aggregates.repo_stats(_valid(spark, folder), exact=True)
 
 
-def _within_tolerance(approx: str, exact: str) -> Column:
+def _within_tolerance(approx: str, exact: str, tolerance: float = TOLERANCE) -> Column:
     gap = F.abs(F.col(approx) - F.col(exact))
-    return gap <= F.greatest(F.lit(1.0), F.lit(TOLERANCE) * F.col(exact))
+    return gap <= F.greatest(F.lit(1.0), F.lit(tolerance) * F.col(exact))
 
 
 @_query
@@ -295,6 +311,14 @@ def window_repos_approx(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def window_activity_panes(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of an hour every five minutes as merges of twelve panes."""
+    return panes.window_activity_panes(
+        _valid(spark, folder), exact=True, size="1 hour", slide="5 minutes"
+    )
+
+
 @_query
 def new_repos_per_window(spark: SparkSession, folder: str) -> DataFrame:
     activity = aggregates.window_activity(_valid(spark, folder), exact=True)
@@ -631,6 +655,41 @@ def stream_language_changes(spark: SparkSession, folder: str) -> DataFrame:
     return changelog.read_table(spark, config.tables, changelog.LANGUAGE)
 
 
+@_query
+def contributors_by_range(spark: SparkSession, folder: str) -> DataFrame:
+    """Contributors and repositories of overlapping ranges from the sketches that a stream of four
+    batches stored, next to the exact counts: within five standard errors, or one."""
+    config = _config(spark, "ranges")
+    events = _valid(spark, folder)
+    _run_in_parts(
+        spark, events, lambda s: jobs.start_pane_job(s, replace(config, watermark="3650 days")), 4
+    )
+    ranges = spark.createDataFrame(
+        [(name, start, end) for name, (start, end) in RANGES.items()],
+        "range_id string, range_start long, range_end long",
+    )
+    stored = changelog.read_table(spark, config.tables, changelog.PANES)
+    found = panes.estimated(panes.range_states(stored, ranges)).select(
+        "range_id", "event_count", "push_count",
+        F.col("repo_count").alias("repo_approx"), F.col("contributor_count").alias("actor_approx"),
+    )
+    inside = events.withColumn("at", F.unix_millis("event_ts")).join(
+        F.broadcast(ranges), F.expr("at >= range_start and at < range_end")
+    )
+    exact = inside.groupBy("range_id").agg(
+        F.count_distinct("repo_name").alias("repo_count"),
+        F.count_distinct("actor_login").alias("contributor_count"),
+    )
+    slack = 5 * panes.SKETCH_RSD
+    return found.join(exact, "range_id").select(
+        "range_id", "event_count", "push_count", "repo_count", "contributor_count",
+        (
+            _within_tolerance("repo_approx", "repo_count", slack)
+            & _within_tolerance("actor_approx", "contributor_count", slack)
+        ).alias("approx_ok"),
+    )
+
+
 @_query
 def compacted_reads(spark: SparkSession, folder: str) -> DataFrame:
     """Repository totals of a stream of twelve batches, read when threes of them are merged in levels,

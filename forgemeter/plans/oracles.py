@@ -427,6 +427,20 @@ UNION ALL SELECT actor_login, activity_count, CAST(4 AS BIGINT) FROM actors""",
       WHEN event_id % 4 = 3 AND repo_name LIKE '%1' THEN 'TypeScript'
       WHEN language <> '' THEN language END) AS event_language""",
     ) + " SELECT * FROM languages",
+    "window_activity_panes": f"""WITH {_VALID}
+SELECT (event_us // 300000000 - back) * 300000 AS window_start,
+  (event_us // 300000000 - back) * 300000 + 3600000 AS window_end,
+  COUNT(DISTINCT repo_name) AS repo_count,
+  COUNT(*) FILTER (event_type = 'PushEvent') AS push_count
+FROM valid, range(12) AS steps(back) GROUP BY 1, 2""",
+    "contributors_by_range": f"""WITH {_VALID},
+ranges(range_id, first_ms, end_ms) AS (VALUES ('all', 0, 4102444800000),
+  ('fortnight', 1704672000000, 1705881600000), ('day', 1705276800000, 1705363200000),
+  ('half_day', 1705280700000, 1705323900000))
+SELECT range_id, COUNT(*) AS event_count, COUNT(*) FILTER (event_type = 'PushEvent') AS push_count,
+  COUNT(DISTINCT repo_name) AS repo_count, COUNT(DISTINCT actor_login) AS contributor_count,
+  true AS approx_ok
+FROM valid JOIN ranges ON event_us >= first_ms * 1000 AND event_us < end_ms * 1000 GROUP BY range_id""",
     "compacted_reads": f"""WITH {_REPOS}
 SELECT {_NO_CONTRIBUTORS} FROM repos,
   (VALUES ('merged'), ('vacuumed'), ('leased'), ('folded')) AS states(state)""",

@@ -158,3 +158,14 @@ LANGUAGE_STATS = _struct(
 )
 
 WINDOW_COUNT = _struct(row_key=_S, count=_L, window_start=_L, window_end=_L)
+
+# Panes as stored: what merges over any range of them.
+PANE_STATES = _struct(
+    row_key=_S,
+    event_count=_L,
+    push_count=_L,
+    repo_sketch=T.BinaryType(),
+    actor_sketch=T.BinaryType(),
+    pane_start=_L,
+    pane_end=_L,
+)

@@ -62,6 +62,7 @@ NEW_REPOS = KeyedTable(
 PUSH_SPEED = KeyedTable(
     "push_speed_per_window", "row_key", schemas.WINDOW_COUNT, schemas.WINDOW_COUNT
 )
+PANES = KeyedTable("pane_states", "row_key", schemas.PANE_STATES, schemas.PANE_STATES)
 RESULT_TABLES = {t.name: t for t in (NEW_REPOS, PUSH_SPEED, REPO, ACTOR, LANGUAGE)}
 
 

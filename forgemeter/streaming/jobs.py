@@ -13,9 +13,11 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from forgemeter import schemas
+from forgemeter.functions.cells import window_key
 from forgemeter.operators.aggregates import (
     actor_stats,
     changed_language_stats,
@@ -24,6 +26,7 @@ from forgemeter.operators.aggregates import (
     window_activity,
 )
 from forgemeter.operators.messages import list_message
+from forgemeter.operators.panes import pane_states
 from forgemeter.operators.ranking import top_actors, top_repos
 from forgemeter.plans.statistics import window_table
 from forgemeter.session import ROCKSDB
@@ -128,6 +131,21 @@ def start_window_job(events: DataFrame, config: JobConfig) -> StreamingQuery:
     return start_query(activity, config, "windows", "update", sink, written)
 
 
+def start_pane_job(
+    events: DataFrame, config: JobConfig, pane: str = schemas.WINDOW_SLIDE
+) -> StreamingQuery:
+    """Changed panes of each batch to the table of pane states, which readers merge over any range
+    (``panes.range_states``). An event updates one pane, whatever windows are read later."""
+    states = pane_states(events.withWatermark("event_ts", config.watermark), pane)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        keyed = batch.withColumn("row_key", window_key(F.col("pane_start")))
+        changelog.write_batch(keyed, config.tables, changelog.PANES, batch_id)
+        _compact(batch.sparkSession, config, changelog.PANES)
+
+    return start_query(states, config, "panes", "update", sink, (changelog.PANES,))
+
+
 def start_repo_job(
     events: DataFrame,
     rankings: DataFrame,
