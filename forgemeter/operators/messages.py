@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forgemeter.operators.scan import with_earlier
+
 # The message kinds, the name of their list or item, and field names.
 WINDOW_FIELDS = {"window_start": "windowStart", "window_end": "windowEnd", "count": "count"}
 PUSH_FIELDS = {"window_start": "windowStart", "window_end": "windowEnd", "count": "pushCount"}
@@ -49,7 +51,7 @@ ITEM_KINDS = {
 TEXT_FIELDS = {"repo_name", "language", "tier", "paradigm", "lang_type", "actor_login"}
 
 # A message is one JSON text, so its list must be bounded. Lists that come from a top-k are
-# far below this; a longer one is an error and is never cut.
+# far below this; longer ones go out in parts (``list_messages``) and are never cut.
 MESSAGE_ROWS = 10_000
 
 
@@ -60,7 +62,7 @@ def _item(fields: dict[str, str]) -> Column:
 def list_message(
     rows: DataFrame, kind: str, order: list[str], descending: bool = False
 ) -> DataFrame:
-    """One message with all rows, ordered by the given columns."""
+    """One message with all rows, ordered by the given columns; for lists that are bounded already."""
     name, fields = LIST_KINDS[kind]
     direction = F.desc if descending else F.asc
     bounded = rows.orderBy(*[direction(c) for c in order]).limit(MESSAGE_ROWS + 1)
@@ -78,6 +80,49 @@ def list_message(
     return message.select("type", F.to_json(F.struct("type", name)).alias("body"))
 
 
+def list_messages(
+    rows: DataFrame,
+    kind: str,
+    order: list[str],
+    staging: str,
+    descending: bool = False,
+    part_rows: int = MESSAGE_ROWS,
+) -> DataFrame:
+    """``list_message`` of a list of any length: numbered parts of at most ``part_rows`` rows.
+
+    A row's place is a running count over ranges of the order (ties fall by the other fields), so no task sees
+    more than a range or a part. One part looks as ``list_message`` does; of several each has ``part``, from
+    1, and ``parts``. The first replaces what a reader shows, the others add to it. No rows give
+    one message with an empty list.
+    """
+    name, fields = LIST_KINDS[kind]
+    direction = F.desc if descending else F.asc
+    total_order = [direction(c) for c in [*order, *[c for c in fields if c not in order]]]
+    picked = rows.select(*fields).withColumn("one", F.lit(1).cast("long"))
+    placed = with_earlier(picked, total_order, "one", "sum", staging).withColumn(
+        "place", F.coalesce("earlier", F.lit(0).cast("long"))
+    )
+    number = F.expr(f"place div {part_rows}")
+    entry = F.struct("place", _item(fields).alias("v"))
+    filled = placed.groupBy(number.alias("at")).agg(F.sort_array(F.collect_list(entry)).alias("items"))
+    last = F.greatest(F.expr(f"(count(one) - 1) div {part_rows}"), F.lit(0).cast("long"))
+    parts = placed.agg(last.alias("last")).select(
+        F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("at"), (F.col("last") + 1).alias("parts")
+    )
+    several = F.col("parts") > 1
+    return parts.join(filled, "at", "left").select(
+        F.lit(kind).alias("type"),
+        F.to_json(
+            F.struct(
+                F.lit(kind).alias("type"),
+                F.when(several, F.col("at") + 1).alias("part"),
+                F.when(several, F.col("parts")).alias("parts"),
+                F.coalesce(F.transform("items", lambda e: e["v"]), F.array()).alias(name),
+            )
+        ).alias("body"),
+    )
+
+
 def item_messages(rows: DataFrame, kind: str) -> DataFrame:
     """One message per row."""
     name, fields = ITEM_KINDS[kind]

@@ -463,6 +463,37 @@ def gate_history(spark: SparkSession, folder: str) -> DataFrame:
     return dashboard.gate_history(_valid(spark, folder), "1 day")
 
 
+@_query
+def gate_history_fine(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for a refresh every five seconds: nearly every event has an interval of its own."""
+    return dashboard.gate_history(_valid(spark, folder), "5 seconds")
+
+
+@_query
+def long_language_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """A list of languages, two for each event, sent in parts: what each part holds."""
+    events = _canonical(spark, folder).withColumn("repo_name", F.col("event_id").cast("string"))
+    names = F.explode(F.array(*[F.concat(F.lit(p), F.col("repo_name")) for p in ("lang", "Lang")]))
+    named = events.withColumn("language", names).withColumn("repo_name", F.col("language"))
+    totals = aggregates.language_stats(
+        aggregates.repo_activity(named), dimensions.language_rankings(spark)
+    )
+    sent = messages.list_messages(
+        totals, "LanguageStatsSnapshot", ["language"], new_run_folder(spark, "long")
+    )
+    shape = "part long, parts long, languages array<struct<language string, totalActivity long>>"
+    return sent.select(F.from_json("body", shape).alias("m")).select(
+        "m.part",
+        "m.parts",
+        F.size("m.languages").cast("long").alias("row_count"),
+        F.element_at("m.languages.language", 1).alias("first_language"),
+        F.element_at("m.languages.language", -1).alias("last_language"),
+        F.aggregate(
+            "m.languages.totalActivity", F.lit(0).cast("long"), lambda total, n: total + n
+        ).alias("total_activity"),
+    )
+
+
 @_query
 def server_messages(spark: SparkSession, folder: str) -> DataFrame:
     """The five snapshots as tagged JSON, read from the stored tables."""
@@ -607,6 +638,39 @@ def stream_repo_messages(spark: SparkSession, folder: str) -> DataFrame:
     return messages.decode_messages(sent, "RepoStatsUpdated").drop("contributor_count")
 
 
+@_query
+def stream_all_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """All five feeds over one set of tables, received as one stream: per row its kind, key and count
+    (that of repositories in a window is approximate, so it is left out)."""
+    config = _window_run(spark, folder)
+    events, rankings = _valid_stream(spark, folder), dimensions.language_rankings(spark)
+    jobs.start_repo_job(events, rankings, config, publish=True).awaitTermination()
+    jobs.start_actor_job(events, config, publish=True).awaitTermination()
+    for _ in range(2):  # the second round has nothing new to send
+        for table, kind in ((changelog.NEW_REPOS, "NewWindow"), (changelog.PUSH_SPEED, "PushSpeedNewWindow")):
+            feed.start_feed(spark, config.tables, table, kind, config).awaitTermination()
+        feed.start_language_feed(spark, config.tables, config).awaitTermination()
+    path = f"{config.tables}/received"
+    jobs.land_clean_events(
+        outbox.stream_outbox(spark, config.tables), path, config
+    ).awaitTermination()
+    received = spark.read.schema(outbox.SCHEMA).parquet(path)
+    kinds = {
+        "NewWindow": ("window_start", F.lit(None).cast("long")),
+        "PushSpeedNewWindow": ("window_start", F.col("count")),
+        "RepoStatsUpdated": ("repo_name", F.col("activity_count")),
+        "ActorStatsUpdated": ("actor_login", F.col("activity_count")),
+        "LanguageStatsSnapshot": ("language", F.col("total_activity")),
+    }
+    found = [
+        messages.decode_messages(received, kind).select(
+            F.lit(kind).alias("type"), F.col(key).cast("string").alias("key"), count.alias("count")
+        )
+        for kind, (key, count) in kinds.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def _run_in_parts(
     spark: SparkSession,
     events: DataFrame,

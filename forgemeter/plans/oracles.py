@@ -393,6 +393,27 @@ marks AS (
 SELECT refreshed_at, high_water,
   high_water > COALESCE(lag(high_water) OVER (ORDER BY refreshed_at), 0) AS sent
 FROM marks""",
+    "gate_history_fine": f"""WITH {_VALID},
+steps AS (
+  SELECT repo_name, (event_us // 5000000 + 1) * 5000 AS refreshed_at, COUNT(*) AS n
+  FROM valid GROUP BY 1, 2),
+totals AS (
+  SELECT refreshed_at, SUM(n) OVER (PARTITION BY repo_name ORDER BY refreshed_at) AS total FROM steps),
+peaks AS (SELECT refreshed_at, CAST(MAX(total) AS BIGINT) AS peak FROM totals GROUP BY refreshed_at),
+marks AS (
+  SELECT *, COALESCE(MAX(peak) OVER (
+    ORDER BY refreshed_at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM peaks)
+SELECT refreshed_at, greatest(peak, before) AS high_water, peak > before AS sent FROM marks""",
+    "long_language_messages": f"""WITH {_CANON},
+names AS (
+  SELECT prefix || CAST(event_id AS VARCHAR) AS language
+  FROM canon, (VALUES ('lang'), ('Lang')) AS p(prefix)),
+placed AS (
+  SELECT language, row_number() OVER (ORDER BY language) - 1 AS place, COUNT(*) OVER () AS n FROM names)
+SELECT CASE WHEN n > 10000 THEN place // 10000 + 1 END AS part,
+  CASE WHEN n > 10000 THEN (n - 1) // 10000 + 1 END AS parts, COUNT(*) AS row_count,
+  MIN(language) AS first_language, MAX(language) AS last_language, COUNT(*) AS total_activity
+FROM placed GROUP BY n, place // 10000""",
     "server_messages": _SERVER_MESSAGES,
     "window_messages": f"WITH {_WINDOWS} "
     + _window_message(0, "NewWindow", "repo_count", "count")
@@ -410,6 +431,15 @@ SELECT window_start, window_end, push_count AS count FROM windows""",
     + _window_message(1, "PushSpeedNewWindow", "push_count", "pushCount")
     + ") AS sent",
     "stream_repo_messages": f"SELECT {_NO_CONTRIBUTORS} FROM ({_TOP_REPOS}) AS top",
+    "stream_all_messages": f"""SELECT 'NewWindow' AS type, CAST(window_start AS VARCHAR) AS key,
+  CAST(NULL AS BIGINT) AS count FROM (WITH {_WINDOWS} SELECT * FROM new_repos) AS a
+UNION ALL SELECT 'PushSpeedNewWindow', CAST(window_start AS VARCHAR), count
+FROM (WITH {_WINDOWS} SELECT * FROM push_speed) AS b
+UNION ALL SELECT 'RepoStatsUpdated', repo_name, activity_count FROM ({_TOP_REPOS}) AS c
+UNION ALL SELECT 'ActorStatsUpdated', actor_login, activity_count FROM (
+  WITH {_ACTORS} SELECT * FROM people ORDER BY activity_count DESC, actor_login DESC LIMIT 50) AS d
+UNION ALL SELECT 'LanguageStatsSnapshot', language, total_activity
+FROM (WITH {_LANGUAGES} SELECT * FROM languages) AS e""",
     "stream_actor_stats": f"WITH {_ACTORS} SELECT * FROM people",
     "stream_dedup": f"WITH {_CANON} SELECT * EXCLUDE (ts) FROM canon",
     "stream_incremental_windows": f"""WITH {_WINDOWS}

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from forgemeter import schemas
-from forgemeter.operators.messages import item_messages
+from forgemeter.operators.messages import item_messages, list_messages
 from forgemeter.operators.ranking import high_water
+from forgemeter.session import new_run_folder
 from forgemeter.sources import changelog, storage
 from forgemeter.streaming import outbox
 from forgemeter.streaming.jobs import JobConfig, start_query
@@ -81,6 +82,36 @@ def start_feed(
     return start_query(changes, config, f"{table.name}_feed", "append", sink)
 
 
+LANGUAGE_FEED = "language_feed"
+
+
+def send_languages(spark: SparkSession, root: str) -> int | None:
+    """Post the newest language totals as one list, in parts if it is long, under the number of their batch.
+    Totals that are posted already are not posted again. Returns the batch, or None."""
+    newest = changelog.last_batch(spark, root, changelog.LANGUAGE)
+    sent = storage.committed(spark, f"{root}/outbox/source={LANGUAGE_FEED}", "batch_id=")
+    if newest is None or newest in sent:
+        return None
+    totals = changelog.read_table(spark, root, changelog.LANGUAGE, newest)
+    staging = new_run_folder(spark, "messages")
+    try:
+        parts = list_messages(totals, "LanguageStatsSnapshot", ["language"], staging)
+        outbox.post(parts, root, LANGUAGE_FEED, newest)
+    finally:
+        storage.delete_folder(spark, staging)
+    return newest
+
+
+def start_language_feed(spark: SparkSession, root: str, config: JobConfig) -> StreamingQuery:
+    """``send_languages`` at each trigger: the ticks only say that it is time to look."""
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        send_languages(batch.sparkSession, root)
+
+    return start_query(ticks, config, LANGUAGE_FEED, "append", sink)
+
+
 def read_feed(spark: SparkSession, folder: str, table: changelog.KeyedTable) -> DataFrame:
     """All windows sent, with the round that sent them."""
     rounds = rounds_sent(spark, folder)
