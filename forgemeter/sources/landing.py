@@ -29,19 +29,25 @@ def stream_pages(
 def explode_pages(pages: DataFrame, body: str = "body") -> DataFrame:
     """Each raw event of each page array as one row.
 
-    A body that is not an array gives none. The array is split into the texts of its elements
-    first, so an element that is no object, or cannot be read, is left out alone. Both parses are
-    generators, done once. Where pages know when and as what they landed, ``arrival`` orders the events
+    A body that is not an array gives none. An array of objects is parsed once; only one that does not
+    parse so is split into the texts of its elements, where an element that is no object, or cannot be
+    read, is left out alone. All of it is one generator, and no filter looks at the body: Catalyst would copy what
+    makes the body into it. Where pages know when and as what they landed, ``arrival`` orders the events
     as they came."""
     known = {"landed_at", "page"} <= set(pages.columns)
     at = ["landed_at", "page"] if known else []
-    elements = F.from_json(F.col(body), "array<string>")
     is_array = F.ltrim(F.col(body), F.lit(" \t\r\n\ufeff")).startswith("[")
-    texts = pages.where(is_array).select(*at, F.posexplode(elements).alias("place", "element"))
-    is_object = F.ltrim(F.col("element"), F.lit(" \t\r\n")).startswith("{")
+    objects = F.filter(
+        F.from_json(F.col(body), "array<string>"),
+        lambda text: F.ltrim(text, F.lit(" \t\r\n")).startswith("{"),
+    )
+    apart = F.transform(objects, lambda text: F.from_json(text, schemas.RAW_EVENT))
+    events = F.when(is_array, F.coalesce(F.from_json(F.col(body), schemas.RAW_PAGE), apart))
+    found = pages.select(*at, F.posexplode(events).alias("place", "event")).where(
+        F.col("event").isNotNull()
+    )
     arrival = [F.struct(*at, "place").alias("arrival")] if known else []
-    event = F.inline(F.array(F.from_json("element", schemas.RAW_EVENT)))
-    return texts.where(is_object).select(*arrival, event)
+    return found.select(*arrival, "event.*")
 
 
 def write_records(records: DataFrame, path: str, mode: str = "append") -> None:
