@@ -29,8 +29,8 @@ from forgemeter.operators import (
 )
 from forgemeter.plans import dashboard, ingest, statistics
 from forgemeter.session import new_run_folder
-from forgemeter.sources import canonical, changelog, dimensions, landing, tables
-from forgemeter.streaming import feed, gate, jobs, outbox
+from forgemeter.sources import canonical, changelog, dimensions, landing, seen, tables
+from forgemeter.streaming import feed, gate, jobs, metrics, outbox
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -719,6 +719,54 @@ def stream_language_changes(spark: SparkSession, folder: str) -> DataFrame:
     return changelog.read_table(spark, config.tables, changelog.LANGUAGE)
 
 
+def _long_numbers(flat: DataFrame) -> DataFrame:
+    return flat.withColumns({c: F.col(c).cast("long") for c in ("trend_weight", "push_size")})
+
+
+@_query
+def ingest_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages landed in two runs that share a third of their events, each page twice in its run, and the
+    second run again with a new checkpoint. Per id its event and the run that stored it."""
+    config = _config(spark, "pages")
+    pages, root = _pages(spark, folder), f"{config.tables}/flat"
+    number = F.get_json_object("body", "$[0].id").cast("long")
+    landed = [new_run_folder(spark, "landed") for _ in range(2)]
+    for left_out, path in enumerate(landed):
+        part = pages.where(number % 3 != left_out)
+        part.unionAll(part).write.parquet(path)
+    for run, path in enumerate([*landed, landed[1]]):
+        source = spark.readStream.schema(pages.schema).parquet(path)
+        settings = replace(config, checkpoints=f"{config.checkpoints}-{run}")
+        jobs.start_page_job(source, root, settings, buckets=8).awaitTermination()
+    schema = flatten.flatten_events(landing.explode_pages(pages)).schema
+    return _long_numbers(seen.read_runs(spark, root, schema).drop("ingest_time"))
+
+
+@_query
+def stream_late_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in order of time in three batches, then a tenth of them again under new ids: those older than
+    the watermark are dropped and counted. Per day the events stored, and in one row the late ones."""
+    config = replace(_config(spark, "late"), watermark="1 day")
+    events = _canonical(spark, folder).select("event_id", "event_ts")
+    landed, path = new_run_folder(spark, "landed"), f"{config.tables}/accepted"
+    again = events.where("event_id % 10 = 0").withColumn("event_id", -1 - F.col("event_id"))
+    early, middle = (F.col("event_ts") < F.lit(f"2024-01-{d} 00:00:00").cast("timestamp") for d in (11, 21))
+    late = 0
+    for part in (events.where(early), events.where(~early & middle), events.where(~middle), again):
+        part.write.mode("append").parquet(landed)
+        once = dedup.dedup_stream(
+            spark.readStream.schema(events.schema).parquet(landed), "event_ts", config.watermark
+        )
+        query = jobs.land_clean_events(once, path, config, "accepted")
+        query.awaitTermination()
+        late += metrics.late_rows(query)
+    stored = spark.read.schema(events.schema).parquet(path)
+    day = F.date_format("event_ts", "yyyy-MM-dd")
+    counts = stored.groupBy(day.alias("day")).agg(F.count("*").alias("event_count"))
+    dropped = spark.range(1).select(F.lit("late").alias("day"), F.lit(late).cast("long"))
+    return counts.unionAll(dropped)
+
+
 @_query
 def contributors_by_range(spark: SparkSession, folder: str) -> DataFrame:
     """Contributors and repositories of overlapping ranges from the sketches that a stream of four

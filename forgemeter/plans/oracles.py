@@ -463,6 +463,18 @@ SELECT (event_us // 300000000 - back) * 300000 AS window_start,
   COUNT(DISTINCT repo_name) AS repo_count,
   COUNT(*) FILTER (event_type = 'PushEvent') AS push_count
 FROM valid, range(12) AS steps(back) GROUP BY 1, 2""",
+    "ingest_twice": f"""WITH {_FLAT}
+SELECT flat.*, CAST(CASE WHEN CAST(ltrim(event_id, 'c') AS BIGINT) % 3 = 0 THEN 1 ELSE 0 END AS BIGINT)
+  AS run
+FROM flat""",
+    "stream_late_events": """WITH mark AS (
+  SELECT epoch_us(max(ts)) // 1000 * 1000 - 86400000000 AS late_us FROM events),
+sent AS (
+  SELECT ts, false AS again FROM events
+  UNION ALL SELECT ts, true FROM events WHERE event_id % 10 = 0),
+judged AS (SELECT ts, again AND epoch_us(ts) <= late_us AS is_late FROM sent, mark)
+SELECT strftime(ts, '%Y-%m-%d') AS day, COUNT(*) AS event_count FROM judged WHERE NOT is_late GROUP BY 1
+UNION ALL SELECT 'late', COUNT(*) FILTER (is_late) FROM judged""",
     "contributors_by_range": f"""WITH {_VALID},
 ranges(range_id, first_ms, end_ms) AS (VALUES ('all', 0, 4102444800000),
   ('fortnight', 1704672000000, 1705881600000), ('day', 1705276800000, 1705363200000),

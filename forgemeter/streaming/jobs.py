@@ -25,12 +25,14 @@ from forgemeter.operators.aggregates import (
     repo_stats,
     window_activity,
 )
+from forgemeter.operators.flatten import flatten_events
 from forgemeter.operators.messages import list_message
 from forgemeter.operators.panes import pane_states
 from forgemeter.operators.ranking import top_actors, top_repos
 from forgemeter.plans.statistics import window_table
 from forgemeter.session import ROCKSDB
-from forgemeter.sources import changelog, storage
+from forgemeter.sources import changelog, seen, storage
+from forgemeter.sources.landing import explode_pages
 from forgemeter.streaming import outbox
 from forgemeter.streaming.gate import publish_if_grown, read_published, rolling_top
 
@@ -308,13 +310,28 @@ def start_all(
     ]
 
 
-def land_clean_events(events: DataFrame, path: str, config: JobConfig) -> StreamingQuery:
-    """Clean events of a stream to Parquet files, exactly once."""
+def start_page_job(
+    pages: DataFrame, root: str, config: JobConfig, buckets: int = seen.BUCKETS
+) -> StreamingQuery:
+    """Landed pages to flat events below ``root``, each id once over all batches and checkpoints, with no
+    state to keep: the ids seen are those stored."""
+    flat = flatten_events(explode_pages(pages))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        seen.store_run(batch, root, batch_id, buckets=buckets)
+
+    return start_query(flat, config, "pages", "append", sink)
+
+
+def land_clean_events(
+    events: DataFrame, path: str, config: JobConfig, name: str = "landing"
+) -> StreamingQuery:
+    """Clean events of a stream to Parquet files, exactly once; ``name`` is that of its checkpoint."""
     return (
         events.writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
-        .option("checkpointLocation", f"{config.checkpoints}/landing")
+        .option("checkpointLocation", f"{config.checkpoints}/{name}")
         .trigger(**config.trigger)
         .start()
     )
