@@ -6,14 +6,15 @@ logistic regression is fitted to them with one more term: in every labelled sent
 a group, the name is swapped for the others of its kind, and the squared change of the score's
 logit is penalised. What a model could learn from the mere mention of a group is held down.
 
-The fit uses at most ``sample`` labelled documents, chosen by a hash of their id, so the driver
-holds a bounded number of short rows. Scoring reads every whole text.
+The fit uses at most ``sample`` labelled documents, chosen by a hash of their id, one text of each, so the
+driver holds a bounded number of short rows. Swaps that change the same features are one row with a
+count, so their number is bounded by the terms and not by the texts. Scoring reads every whole text.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -61,21 +62,44 @@ def swaps(groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> dict[str, lis
     return {term: [o for o in group if o != term] for group in groups for term in group}
 
 
+def read_groups(table: DataFrame) -> tuple[tuple[str, ...], ...]:
+    """Groups of terms from a table of ``group_id`` and ``term``, a short list that the driver holds; rows with
+    a null are passed over, terms are lower-cased and repeated ones count once."""
+    terms = (
+        table.dropna(subset=["group_id", "term"])
+        .groupBy("group_id")
+        .agg(F.sort_array(F.collect_set(F.lower("term"))).alias("terms"))
+        .orderBy("group_id")
+    )
+    return tuple(tuple(r.terms) for r in terms.collect())
+
+
 @dataclass
 class Model:
-    """Weights of the chosen features; what is not chosen weighs nothing."""
+    """Weights of the chosen features; what is not chosen weighs nothing. ``swap_pairs`` is the number of
+    swapped sentences that the fit has seen: where it is 0, the penalty had nothing to act on."""
 
     bias: float = 0.0
     length: float = 0.0
     mean: float = 0.0
     weights: dict[str, float] = field(default_factory=dict)
+    swap_pairs: int = 0
+
+    def scores(self, texts: Sequence[str | None]) -> np.ndarray:
+        """The scores of a batch; the weights a text has are added up in the order of their names."""
+        at, weights, sizes = [], [], np.zeros(len(texts))
+        for i, text in enumerate(texts):
+            words = set(_TOKEN.findall((text or "").lower()))
+            hits = sorted(features(words) & self.weights.keys())
+            at += [i] * len(hits)
+            weights += [self.weights[f] for f in hits]
+            sizes[i] = len(text or "")
+        total = self.bias + self.length * (np.log1p(sizes) - self.mean)
+        total += np.bincount(np.array(at, int), np.array(weights, float), len(texts))
+        return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
     def score(self, text: str | None) -> float:
-        words = set(_TOKEN.findall((text or "").lower()))
-        hits = sorted(features(words) & self.weights.keys())
-        total = self.bias + self.length * (np.log1p(len(text or "")) - self.mean)
-        total += sum(self.weights[f] for f in hits)
-        return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
+        return float(self.scores([text])[0])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -85,7 +109,8 @@ def held_out(doc_id: Column) -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """At most ``sample`` labelled documents that are not held out. Of several labels the highest
-    counts; null labels, null ids and labels without a document are passed over."""
+    counts, of several texts the first in order; null labels, null ids and labels without a document are
+    passed over."""
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .filter(~held_out(F.col("doc_id")))
@@ -96,7 +121,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     )
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     # At most ``sample`` rows of two numbers.
-    return texts.join(F.broadcast(known), "doc_id")
+    found = texts.join(F.broadcast(known), "doc_id")
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def chosen_features(rows: DataFrame, keep: int, least: int, min_z: float) -> list[str]:
@@ -127,42 +153,45 @@ def chosen_features(rows: DataFrame, keep: int, least: int, min_z: float) -> lis
     return sorted(r.feature for r in top.collect())
 
 
-def _encoded(rows: DataFrame, names: list[str], swap: dict[str, list[str]]) -> pd.DataFrame:
-    """Per document its label, length and features by number, and per swap what it changes."""
+def _encoded(rows: DataFrame, names: list[str]) -> pd.DataFrame:
+    """Per document its label, length and features by number."""
     number = {f: i for i, f in enumerate(names)}
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def of(tokens: set[str]) -> list[int]:
-            return sorted(number[f] for f in features(tokens) & number.keys())
+        for batch in batches:
+            words = [set(_TOKEN.findall(t.lower())) for t in batch["text"]]
+            has = [sorted(number[f] for f in features(w) & number.keys()) for w in words]
+            yield batch[["doc_id", "toxic"]].assign(length=batch["text"].map(len), has=has)
+
+    schema = "doc_id long, toxic int, length long, has array<int>"
+    found = rows.select("doc_id", "text", "toxic").mapInPandas(encode, schema).toPandas()
+    return found.sort_values("doc_id", ignore_index=True)
+
+
+def _swapped(rows: DataFrame, names: list[str], swap: dict[str, list[str]]) -> pd.DataFrame:
+    """The features that swaps bring and take, with how many swapped sentences do so."""
+    number = {f: i for i, f in enumerate(names)}
+
+    def exchange(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def of(tokens: set[str]) -> set[int]:
+            return {number[f] for f in features(tokens) & number.keys()}
 
         for batch in batches:
             out = []
-            for doc_id, text, toxic in batch.itertuples(index=False, name=None):
-                lower = text.lower()
-                words = set(_TOKEN.findall(lower))
-                gained, lost = [], []
-                if words & swap.keys():
-                    for sentence in _SENTENCE.split(lower):
-                        named = set(_TOKEN.findall(sentence))
-                        for term in sorted(named & swap.keys()):
-                            for other in swap[term]:
-                                before = set(of(named))
-                                after = set(of((named - {term}) | {other}))
-                                if before != after:
-                                    gained.append(sorted(after - before))
-                                    lost.append(sorted(before - after))
-                out.append((doc_id, toxic, len(text), of(words), gained, lost))
-            yield pd.DataFrame(
-                out, columns=["doc_id", "toxic", "length", "has", "gained", "lost"]
-            ).astype({"toxic": "int32"})
-
-    schema = (
-        "doc_id long, toxic int, length long, has array<int>, gained array<array<int>>, "
-        "lost array<array<int>>"
-    )
-    encoded = rows.select("doc_id", "text", "toxic").mapInPandas(encode, schema).toPandas()
-    encoded["key"] = encoded["has"].map(tuple)
-    return encoded.sort_values(["doc_id", "length", "toxic", "key"], ignore_index=True)
+            for text in batch["text"]:
+                for sentence in _SENTENCE.split(text.lower()):
+                    named = set(_TOKEN.findall(sentence))
+                    for term in sorted(named & swap.keys()):
+                        before = of(named)
+                        for other in swap[term]:
+                            after = of((named - {term}) | {other})
+                            if before != after:
+                                out.append((sorted(after - before), sorted(before - after)))
+            yield pd.DataFrame(out, columns=["gained", "lost"])
+
+    found = rows.select("text").mapInPandas(exchange, "gained array<int>, lost array<int>")
+    counts = found.groupBy("gained", "lost").agg(F.count("*").alias("times"))
+    return counts.orderBy("gained", "lost").toPandas()
 
 
 def fit(
@@ -182,7 +211,7 @@ def fit(
         toxic, total = rows.agg(F.sum("toxic"), F.count("*")).first()
         share = ((toxic or 0) + 0.5) / (total + 1)
         return Model(bias=float(np.log(share / (1 - share))))
-    data = _encoded(rows, names, swaps(groups))
+    data, swapped = _encoded(rows, names), _swapped(rows, names, swaps(groups))
     logs = np.log1p(data["length"].to_numpy(float))
     mean = float(logs.mean())
     width = len(names) + 2
@@ -192,11 +221,11 @@ def fit(
         return at, np.concatenate([np.asarray(x, int) for x in lists] or [[]]).astype(int) + 2
 
     doc_at, doc_feature = matrix(list(data["has"]))
-    pairs = [(g, l) for gs, ls in zip(data["gained"], data["lost"]) for g, l in zip(gs, ls)]
-    gain_at, gain_feature = matrix([g for g, _ in pairs])
-    loss_at, loss_feature = matrix([l for _, l in pairs])
+    gain_at, gain_feature = matrix(list(swapped["gained"]))
+    loss_at, loss_feature = matrix(list(swapped["lost"]))
+    times = swapped["times"].to_numpy(float)
     y = data["toxic"].to_numpy(float)
-    n, m = len(y), max(len(pairs), 1)
+    n, m, pairs = len(y), len(times), int(times.sum())
 
     def apply(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         logit = w[0] + w[1] * (logs - mean) + np.bincount(doc_at, w[doc_feature], n)
@@ -212,7 +241,7 @@ def fit(
 
     ridge = np.full(width, RIDGE)
     ridge[0] = 1e-6
-    tie = swap_penalty * n / m * bool(pairs)
+    tie = swap_penalty * n / max(pairs, 1) * times
     w = np.zeros(width)
     for _ in range(12):  # Newton steps, each solved by conjugate gradients
         logit, change = apply(w)
@@ -234,7 +263,8 @@ def fit(
         w += step
         if np.abs(step).max() < 1e-6:
             break
-    return Model(float(w[0]), float(w[1]), mean, {f: float(x) for f, x in zip(names, w[2:])})
+    weights = {f: float(x) for f, x in zip(names, w[2:])}
+    return Model(float(w[0]), float(w[1]), mean, weights, pairs)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -242,7 +272,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        return texts.map(model.score).astype(float)
+        return pd.Series(model.scores(texts.tolist()))
 
     return docs.withColumn("score", scored(F.coalesce(F.col("text").cast("string"), F.lit(""))))
 

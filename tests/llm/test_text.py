@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 import struct
 import zlib
 from collections import Counter
@@ -230,6 +231,28 @@ def test_toxicity_is_held_out_and_counterfactual(spark, biased):
     assert sum(plain.weights.get(f, 0) for f in named) > 1
     assert abs(sum(model.weights.get(f, 0) for f in named)) < 0.1
     assert model.score("w1 idiot scum muslims") > toxicity.THRESHOLD
+    assert model.swap_pairs > 100  # one a swapped sentence, however few rows they are told in
+    table = [(1, "Muslims"), (1, "christians"), (1, "muslims"), (None, "x"), (2, None)]
+    groups = toxicity.read_groups(spark.createDataFrame(table, "group_id long, term string"))
+    assert groups == (("christians", "muslims"),)
+    other = toxicity.fit(docs, labels, min_z=3.0, groups=groups)
+    assert 0 < other.swap_pairs < model.swap_pairs
+
+
+def test_scores_equal_sums_one_by_one(spark, biased, odd_documents):
+    """Each text by a plain loop over the weights, and repeated documents fit as one."""
+    docs, labels = biased
+    model = toxicity.fit(docs, labels, min_z=3.0)
+    assert toxicity.fit(docs.unionAll(docs), labels, min_z=3.0) == model
+    texts = odd_documents.select("doc_id", "text").unionAll(docs.select("doc_id", "text"))
+    for r in toxicity.score(texts, model).collect():
+        text = r.text or ""
+        found = set(re.findall(r"[^\W\d_]+", text.lower()))
+        logit = model.bias + model.length * (math.log(1 + len(text)) - model.mean)
+        for name, weight in model.weights.items():
+            if name in found or any("^" + w[:5] == name and len(w) > 5 for w in found):
+                logit += weight
+        assert abs(r.score - 1 / (1 + math.exp(-max(-30, min(30, logit))))) < 1e-9
 
 
 def test_toxicity_of_odd_documents(spark, biased, odd_documents, no_documents):
