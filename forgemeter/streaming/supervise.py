@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 log = logging.getLogger(__name__)
 RETRY_SECONDS = 5.0
+LOOK_SECONDS = 60  # how long a failure just before the wait may go unseen
 
 
 def await_any(spark: SparkSession) -> None:
@@ -46,3 +47,33 @@ def keep_running(
             restarts += 1
             log.warning("query failed, restart %d in %ss: %s", restarts, delay_seconds, failure)
             sleep(delay_seconds)
+
+
+def keep_all_running(
+    spark: SparkSession,
+    start: Callable[[], Sequence[StreamingQuery]],
+    max_restarts: int | None = None,
+    delay_seconds: float = RETRY_SECONDS,
+    sleep: Callable[[float], None] = time.sleep,
+) -> int:
+    """Run queries that belong together until all end. When one fails the others are stopped too, and all
+    start anew from their checkpoints; returns the restarts."""
+    restarts = 0
+    while True:
+        queries = []
+        try:
+            queries = list(start())
+            while any(query.isActive for query in queries):
+                await_all([query for query in queries if not query.isActive])  # raises if one failed
+                spark.streams.resetTerminated()
+                spark.streams.awaitAnyTermination(LOOK_SECONDS)
+            await_all(queries)
+            return restarts
+        except StreamingQueryException as failure:
+            for query in queries:
+                query.stop()
+            if max_restarts is not None and restarts >= max_restarts:
+                raise
+            restarts += 1
+            log.warning("a query failed, restart %d in %ss: %s", restarts, delay_seconds, failure)
+            sleep(delay_seconds)
