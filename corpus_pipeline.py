@@ -32,15 +32,29 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: that with the least doc_id. Rows of one doc_id are
-    documents of their own, told apart by their place in the order of doc_id and text hash; rows
-    without a doc_id are compared with nothing and stay."""
-    text = F.col("text").cast("string")
-    keyed = _with_row(docs.filter(F.col("doc_id").isNotNull())).select(
-        "row", "doc_id", "text", F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g")
+    documents of their own, the first of them that with the least text hash; rows without a doc_id are
+    compared with nothing and stay.
+
+    Rows get any number of their own, stored with them, and only numbers and hashes are ordered: no text
+    is sorted, and each is stored once."""
+    rows = tables.stage(
+        docs.filter(F.col("doc_id").isNotNull()).select(
+            F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")
+        ),
+        "pipeline-rows",
     )
-    rows = tables.numbered(keyed, ["doc_id", "h", "g"], "pipeline-rows")
-    found = jaccard.near_documents(rows.select(F.col("number").alias("doc_id"), "text"))
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("number"))
+    text = F.col("row.text").cast("string")
+    found = jaccard.near_documents(rows.select(F.col("number").alias("doc_id"), text.alias("text")))
+    keys = rows.select(
+        F.col("row.doc_id").alias("own"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"), "number"
+    )
+    least = (
+        found.select(F.col("doc_id").alias("number"), "component_id")
+        .join(keys, "number")
+        .groupBy("component_id")
+        .agg(F.min(F.struct("own", "h", "g", "number")).alias("least"))
+    )
+    kept = tables.stage(least.select("least.number"), "pipeline-kept")
     one = rows.join(kept, "number", "left_semi").select("row.*")
     return one.unionAll(docs.filter(F.col("doc_id").isNull()))
 

@@ -251,7 +251,7 @@ def _compare_sorted(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[p
 
 
 def across(own: DataFrame, families: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Links between documents of one family and different components.
+    """Links between documents of one family and different components, stored.
 
     A component of LARGE or more documents has blocks of its own, which are not compared with each
     other; the documents of smaller ones share blocks."""
@@ -297,9 +297,13 @@ def across(own: DataFrame, families: DataFrame, parts: DataFrame, percent: int)
         .select("left", "right", "block", "rep", "n", "component", "rare", "other", "tokens")
     )
     spread = tables.shuffle_partitions(own.sparkSession)
-    return rows.repartition(spread, "left", "right").sortWithinPartitions("left", "right").mapInPandas(
+    compared = rows.repartition(spread, "left", "right").sortWithinPartitions("left", "right").mapInPandas(
         lambda batches: _compare_sorted(batches, percent), "a long, b long"
     )
+    more = tables.stage(compared, "jaccard-links")
+    tables.release(placed)
+    tables.release(groups)
+    return more
 
 
 def links(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -340,6 +344,7 @@ def links(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[D
     )
     own = tables.stage(ordered_sets(repeated_tokens(whole), percent), "jaccard-ordered")
     tables.release(whole)
+    tables.release(left)
     posts = own.select("rep", "n", "central", F.explode("rare").alias("token"))
     lead = F.max(F.struct("central", (-F.col("rep")).alias("first"), "n")).alias("lead")
     star = (
@@ -357,7 +362,9 @@ def links(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[D
         verified(star.filter("fits").select("a", "b"), own, percent), "jaccard-links"
     )
     more = across(own, components(star.select("a", "b")), components(near), percent)
-    return reps, near.unionAll(tables.stage(more, "jaccard-links"))
+    tables.release(star)
+    tables.release(own)
+    return reps, near.unionAll(more)
 
 
 def near_documents(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -176,7 +176,8 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
     A null text has no words and fails the base rules; labels that are null, or of no document, say
     nothing; without trusted documents every ratio is 0 and the base rules decide alone. Repeated
     rows are judged each. Columns of the names this adds are replaced."""
-    ratios = log_ratios(bucket_counts(docs, labels))
+    # Stored, since the count deals out the texts: its shuffle files go as soon as it is done.
+    ratios = log_ratios(tables.stage(bucket_counts(docs, labels), "quality-counts"))
     rows = with_statistics(docs).withColumn("llr", ratio_score(ratios))
     kept = ~F.col("base_failed") & (F.col("llr") >= threshold)
     found = F.struct(*[kept.alias("kept") if c == "kept" else F.col(c) for c in ADDED])
