@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from forgemeter.llm import idfiles, tokens
+from forgemeter.llm import idfiles, packing, tokens
 
 LETTERS = list("abZ é ß ǆ -.'(<|)~ 19 \n\t_@% ") + ["\x0b", "ab", "--"]
 
@@ -33,3 +33,10 @@ def test_a_unit_of_a_group_is_looked_up_once():
     want = [own._encode([t])[0].tobytes() if t else b"" for t in texts[:4]] * 50
     assert own.encode(texts) == want
     assert len(asked) == len(set(asked)) > 0
+
+
+def test_units_of_a_vocabulary_without_case_are_looked_up_in_lower_case():
+    own = tokens.UnitEncoder(tokens.tokenizer_path(packing.TOKENIZER))
+    texts = ["The THE the, É é", "Ⱥ. Ⱦ, the"] * 20
+    assert own.encode(texts) == [own._encode([t])[0].tobytes() for t in texts]
+    assert " the" in own.known and " THE" not in own.known
