@@ -16,9 +16,11 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -132,46 +134,59 @@ class Lattice:
             best.append(here[0][0])
         return out, best
 
-    def search(self, unit: str, count: int) -> Unit:
+    def _paths(self, unit: str) -> Iterator[tuple[float, bytes, list]]:
+        """Segmentations in order: score, ids, and the heap of what is still open."""
         arcs, best = self.arcs(unit)
         # Entries: -(exact total), order, place, arc into it, score behind it, (ids, rest behind).
         # An arc is opened with the next best arc into the same place, so nothing else waits.
-        open_paths = [(-best[-1], 0, len(unit), 0, 0.0, None)]
-        found, order = [], 0
-        push, pop = heapq.heappush, heapq.heappop
-        while open_paths and len(found) < count:
-            total, _, at, arc, behind, path = pop(open_paths)
-            if not at:
-                ids: list[int] = []
-                while path:
-                    ids += path[0]
-                    path = path[1]
-                found.append((-total, np.array(ids, dtype="<u4").tobytes()))
-                continue
-            here = arcs[at]
-            if arc + 1 < len(here):
+        entry = (-best[-1], 0, len(unit), 0, 0.0, None)
+        open_paths: list[tuple] = []
+        order = 0
+        push, push_pop = heapq.heappush, heapq.heappushpop
+        while True:
+            total, _, at, arc, behind, path = entry
+            if at:
+                here = arcs[at]
+                if arc + 1 < len(here):
+                    order += 1
+                    push(open_paths, (-(here[arc + 1][0] + behind), order, at, arc + 1, behind, path))
+                _, start, ids, score = here[arc]
                 order += 1
-                push(open_paths, (-(here[arc + 1][0] + behind), order, at, arc + 1, behind, path))
-            _, start, ids, score = here[arc]
-            order += 1
-            push(open_paths, (total, order, start, 0, behind + score, (ids, path)))
+                entry = push_pop(open_paths, (total, order, start, 0, behind + score, (ids, path)))
+                continue
+            ids: list[int] = []
+            while path:
+                ids += path[0]
+                path = path[1]
+            yield -total, struct.pack(f"<{len(ids)}I", *ids), open_paths
+            if not open_paths:
+                return
+            entry = heapq.heappop(open_paths)
+
+    def search(self, unit: str, count: int) -> Unit:
+        found = [(score, ids) for score, ids, _ in islice(self._paths(unit), count)]
         top = found[0][0]
         return Unit(top, tuple(x for _, x in found), tuple(top - s for s, _ in found))
 
-    def learn(self, units: list[str]) -> None:
+    def first_choice(self, unit: str) -> tuple[float, bytes, float]:
+        """Score and ids of the best segmentation, and what the next loses to it: what is open first has
+        the exact total of the path it leads to, so that path need not be followed."""
+        score, ids, open_paths = next(self._paths(unit))
+        return score, ids, score + open_paths[0][0] if open_paths else np.inf
+
+    def learn(self, units: Collection[str]) -> None:
         new = sorted(set(units).difference(self.known))
         if not new:
             return
         if len(self.known) + len(new) > self.keep_units:
             self._forget()
             new = sorted(set(units))
-        fresh = [self.search(u, 2) for u in new]
+        scores, first, losses = zip(*map(self.first_choice, new))
         self.known.update(zip(new, range(len(self.texts), len(self.texts) + len(new))))
         self.texts += new
-        self.first += [u.ids[0] for u in fresh]
-        losses = [u.losses[1] if len(u.losses) > 1 else np.inf for u in fresh]
+        self.first += first
         self.second = np.concatenate([self.second, losses])
-        self.scores = np.concatenate([self.scores, [u.score for u in fresh]])
+        self.scores = np.concatenate([self.scores, scores])
 
     def unit_at(self, number: int) -> Unit:
         """A met unit with all its choices; few are ever asked for."""
@@ -209,7 +224,7 @@ class Lattice:
         """Per text its best score, its segmentations (loss and ids), and where each deviates."""
         for _, group in tokens.groups(texts, group_chars):
             split = [self.split(t or "") for t in group]
-            self.learn([u for units in split for u in units])
+            self.learn(set().union(*split))
             for units in split:
                 if not units:
                     yield 0.0, [(0.0, b"")], [{}]
