@@ -1,21 +1,27 @@
 """Collocations: phrases of two to five words that a language has far more often than chance.
 
-Words become numbers, dealt out by frequency within a language, and so do the phrases of each
-length. A phrase of k + 1 words is a pair: the number of its first k words and that of its last. Pairs
-of numbers lie in tiles of SIDE by SIDE; a tile that many pairs of a block fall into is counted by
-direct address (``bincount`` over its cells), and the pairs of all other tiles as sorted coordinates.
-Frequent pairs are numbered anew by frequency, and the next length starts from them: it counts only
-places at which both phrases of k words, at this word and at the next, are frequent.
+Words become numbers, dealt out by frequency within a language. A phrase of k + 1 words is a pair: the
+number of its first k words and that of its last. Pairs of numbers lie in tiles of SIDE by SIDE; a tile
+that many pairs fall into is counted by direct address (``bincount`` over its cells), and the pairs of all
+other tiles as sorted coordinates. Frequent phrases are numbered anew by frequency, and the next length
+starts from them.
 
 The texts are read once, into blocks of at most BLOCK words of one language: local word codes, and the
-block's own list of words. Words and phrases get their global numbers by a join of what a block has
-with what is frequent, and go back to the block as its dictionary; so a dictionary is as large as its block, and
-the tables of frequent phrases, which grow with the corpus, are never sent whole (Spark broadcasts one that it
-knows to be small). Counts are summed per block before they are shuffled.
+block's own list of words. Words get their global numbers by a join of what a block has with what is
+frequent, and go back to the block as its dictionary; so a dictionary is as large as its block, and the
+table of frequent words, which grows with the corpus, is never sent whole (Spark broadcasts one that it
+knows to be small).
+
+Phrases are counted where they meet: the different pairs of a part of a block, and the different runs of
+LONGEST words from each place on, go with their counts to groups by a hash of their first words (two of a
+pair, BY of a run). A group has all places of its phrases, so it counts every length from BY on by itself.
+Each place is dealt once as a pair and once as a run, whatever is frequent, so what is moved never exceeds
+two rows a place, and no length sends anything back to the blocks.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import islice
@@ -45,7 +51,9 @@ SIDE_BITS = 9
 CELLS_A_PAIR = 16
 # A pair is one 63-bit number: 32 bits of a phrase's and 31 of a word's.
 WORD_BITS = 31
-NONE = (1 << 32) - 1
+# Longer phrases go to groups by their first words, and a language has a group for so many of its words.
+BY = 3
+GROUP = 1 << 19
 
 BREAK = b"\xff"
 _SPLIT = bytes.maketrans(
@@ -166,8 +174,11 @@ def ranked(counts: DataFrame, tie: str, limit: int) -> DataFrame:
     )
 
 
-def tile_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How often each pair occurs: dense tiles by direct address, the others as sorted coordinates."""
+def tile_counts(
+    left: np.ndarray, right: np.ndarray, times: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """How often each pair occurs: dense tiles by direct address, the others as sorted coordinates. A pair
+    counts once, or as often as ``times`` has it."""
     side = 1 << SIDE_BITS
     _, tile, sizes = np.unique(
         (left >> SIDE_BITS) << 32 | (right >> SIDE_BITS), return_inverse=True, return_counts=True
@@ -181,71 +192,39 @@ def tile_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
         for t in np.flatnonzero(dense):
             at = order[stops[t] - sizes[t] : stops[t]]
             row, column = left[at] & (side - 1), right[at] & (side - 1)
-            cells = np.bincount(row << SIDE_BITS | column, minlength=side * side)
+            weights = None if times is None else times[at]
+            cells = np.bincount(row << SIDE_BITS | column, weights, side * side)
             there = np.flatnonzero(cells)
             high, low = left[at[0]] & ~np.int64(side - 1), right[at[0]] & ~np.int64(side - 1)
             keys.append((high + (there >> SIDE_BITS)) << WORD_BITS | (low + (there & (side - 1))))
             counts.append(cells[there])
-    found, n = np.unique(left[apart] << WORD_BITS | right[apart], return_counts=True)
-    return np.concatenate([*keys, found]), np.concatenate([*counts, n])
-
-
-def _pairs(words: np.ndarray, phrases: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places at which a phrase of k words and the one a word on are frequent, and the pair there."""
-    at = np.flatnonzero((phrases[:-1] >= 0) & (phrases[1:] >= 0))
-    at = at[at + k < len(words)]
-    return at, phrases[at], words[at + k].astype(np.int64)
-
-
-def _kept(words: np.ndarray, phrases: np.ndarray, k: int) -> tuple[bytes, bytes | None] | None:
-    """Only the stretches that can hold a phrase of k + 1 words, with a break between them. Numbers have
-    32 bits, and phrases of one word are the words."""
-    at, _, _ = _pairs(words, phrases, k)
+    pairs = left[apart] << WORD_BITS | right[apart]
+    if times is None:
+        found, n = np.unique(pairs, return_counts=True)
+    else:
+        found, spot = np.unique(pairs, return_inverse=True)
+        n = np.bincount(spot, times[apart], len(found))
+    # Weighted sums are floats, exact below 2^53.
+    return np.concatenate([*keys, found]), np.concatenate([*counts, n]).astype(np.int64)
+
+
+def _kept(words: np.ndarray) -> bytes | None:
+    """Only the stretches of two frequent words or more, with a break between them. Numbers have 32 bits."""
+    known = words >= 0
+    at = np.flatnonzero(known[:-1] & known[1:])
     if not len(at):
         return None
     keep = np.zeros(len(words), bool)
-    for i in range(k + 1):
-        keep[at + i] = True
+    keep[at] = keep[at + 1] = True
     place = np.flatnonzero(keep)
     gaps = np.flatnonzero(np.diff(place) > 1) + 1
-    longer = None
-    if k > 1:
-        longer = np.insert(phrases[place], gaps, -1).astype("<u4").tobytes()
-    return np.insert(words[place], gaps, -1).astype("<i4").tobytes(), longer
-
-
-_STRETCHES = "block long, lang string, words binary, phrases binary"
-
-
-def _numbers(words: bytes, phrases: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """Both with -1 for none."""
-    own = np.frombuffer(words, "<i4")
-    if phrases is None:
-        return own, own.astype(np.int64)
-    wide = np.frombuffer(phrases, "<u4").astype(np.int64)
-    return own, np.where(wide == NONE, -1, wide)
+    return np.insert(words[place], gaps, -1).astype("<i4").tobytes()
 
 
-def _joined(parts: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    words, phrases = [], []
-    for own, longer in map(_numbers, parts["words"], parts["phrases"]):
-        words += [own, np.full(1, -1, np.int32)]
-        phrases += [longer, np.full(1, -1, np.int64)]
-    return np.concatenate(words), np.concatenate(phrases)
-
-
-def count_pairs(stretches: DataFrame, k: int) -> DataFrame:
-    """(block, lang, pair, n): the phrases of k + 1 words of each block."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in tables.parts_of(batches, PIECES):
-            for (block, lang), parts in batch.groupby(["block", "lang"], sort=False):
-                _, left, right = _pairs(*_joined(parts), k)
-                if len(left):
-                    pair, n = tile_counts(left, right)
-                    yield pd.DataFrame({"block": block, "lang": lang, "pair": pair, "n": n})
-
-    return stretches.mapInPandas(count, "block long, lang string, pair long, n long")
+def _joined(parts: pd.Series) -> np.ndarray:
+    """The parts' words, with a break after each."""
+    end = np.full(1, -1, np.int32)
+    return np.concatenate([x for part in parts for x in (np.frombuffer(part, "<i4"), end)])
 
 
 def number_words(pieces: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -257,80 +236,161 @@ def number_words(pieces: DataFrame, dictionary: DataFrame) -> DataFrame:
         numbers = np.full(max((int(c.max()) for c in codes), default=0) + 1, -1, np.int32)
         numbers[known["code"].to_numpy()] = known["id"].to_numpy()
         for block, lang, local in zip(parts["block"], parts["lang"], codes):
-            words = numbers[local]
-            kept = _kept(words, words.astype(np.int64), 1)
+            kept = _kept(numbers[local])
             if kept:
-                rows.append((block, lang, *kept))
-        return pd.DataFrame(rows, columns=["block", "lang", "words", "phrases"])
+                rows.append((block, lang, kept))
+        return pd.DataFrame(rows, columns=["block", "lang", "words"])
 
-    return pieces.groupBy("block").cogroup(dictionary.groupBy("of")).applyInPandas(encode, _STRETCHES)
+    schema = "block long, lang string, words binary"
+    return pieces.groupBy("block").cogroup(dictionary.groupBy("of")).applyInPandas(encode, schema)
 
 
-def number_phrases(stretches: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:
-    """The stretches of each block with the numbers of its frequent phrases of k + 1 words."""
+def _runs(words: np.ndarray, longest: int) -> np.ndarray:
+    """A column for each place with BY words before the next break: ``longest`` words, -1 after the break."""
+    padded = np.concatenate([words, np.full(longest, -1, np.int32)])
+    known = padded >= 0
+    at = np.flatnonzero(np.logical_and.reduce([known[i : len(words) + i] for i in range(BY)]))
+    runs = np.empty((longest, len(at)), np.int32)
+    for i in range(longest):
+        runs[i] = padded[at + i]
+        if i >= BY:
+            runs[i, runs[i - 1] < 0] = -1
+    return runs
 
-    def encode(parts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        order = np.argsort(known["pair"].to_numpy())
-        pairs, ids = known["pair"].to_numpy()[order], known["id"].to_numpy()[order]
-        for _, part in parts.iterrows() if len(pairs) else ():
-            words, phrases = _numbers(part["words"], part["phrases"])
-            at, left, right = _pairs(words, phrases, k)
-            pair = left << WORD_BITS | right
-            spot = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
-            longer = np.full(len(words), -1, np.int64)
-            longer[at] = np.where(pairs[spot] == pair, ids[spot], -1)
-            kept = _kept(words, longer, k + 1)
-            if kept:
-                rows.append((part["block"], part["lang"], *kept))
-        return pd.DataFrame(rows, columns=["block", "lang", "words", "phrases"])
 
-    return stretches.groupBy("block").cogroup(dictionary.groupBy("of")).applyInPandas(encode, _STRETCHES)
+def _different(runs: np.ndarray) -> np.ndarray:
+    """The different columns in order, and below them how often each is there."""
+    runs = runs[:, np.lexsort(runs[::-1])]
+    fresh = np.flatnonzero(np.append(runs.size > 0, (runs[:, 1:] != runs[:, :-1]).any(axis=0)))
+    return np.vstack([runs[:, fresh], np.diff(np.append(fresh, runs.shape[1]))])
+
+
+def _different_pairs(words: np.ndarray) -> np.ndarray:
+    """The different pairs in order, and below them how often each is there."""
+    wide = words.astype(np.int64)
+    at = np.flatnonzero((wide[:-1] >= 0) & (wide[1:] >= 0))
+    pair, n = tile_counts(wide[at], wide[at + 1])
+    order = np.argsort(pair)
+    return np.stack([pair >> WORD_BITS, pair & ((1 << WORD_BITS) - 1), n])[:, order]
+
+
+def _packed(columns: np.ndarray) -> bytes:
+    """32-bit numbers, first all their low bytes, then the next: high ones are mostly zero, which packs well."""
+    planes = np.ascontiguousarray(columns, "<i4").view(np.uint8).reshape(len(columns), -1, 4)
+    return zlib.compress(planes.transpose(0, 2, 1).tobytes(), 1)
+
+
+def _unpacked(parts: pd.Series, rows: int) -> np.ndarray:
+    planes = [np.frombuffer(zlib.decompress(x), np.uint8).reshape(rows, 4, -1) for x in parts]
+    return np.ascontiguousarray(np.concatenate(planes, axis=2).transpose(0, 2, 1)).view("<i4")[:, :, 0]
+
+
+def deal(stretches: DataFrame, longest: int) -> DataFrame:
+    """(lang, width, bucket, runs): the different pairs, and the different runs of up to ``longest`` words, of
+    a part of a block with their counts, by a hash of their first words. ``stretches`` has the number of
+    ``buckets`` of its language."""
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in tables.parts_of(batches, PIECES):
+            for (lang, buckets), parts in batch.groupby(["lang", "buckets"], sort=False):
+                words = _joined(parts["words"])
+                for width in sorted({2, longest}) if longest > 1 else ():
+                    columns = _different_pairs(words) if width == 2 else _different(_runs(words, width))
+                    if not columns.size:
+                        continue
+                    by = min(width, BY)
+                    hashed = tables.window_hashes(columns[:by].T.astype(np.uint64).ravel(), by)[::by]
+                    bucket = (hashed % np.uint64(buckets)).astype(np.int64)
+                    order = np.argsort(bucket, kind="stable")
+                    columns, bucket = columns[:, order], bucket[order]
+                    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                    packed = [_packed(x) for x in np.split(columns, starts[1:], axis=1)]
+                    yield pd.DataFrame({"lang": lang, "width": width, "bucket": bucket[starts], "runs": packed})
+
+    columns = stretches.select("lang", "buckets", "words")
+    return columns.mapInPandas(build, "lang string, width int, bucket long, runs binary")
+
+
+def count_dealt(dealt: DataFrame, least: int) -> DataFrame:
+    """(lang, ids, a): the phrases of two words and more that occur ``least`` times, as their words' numbers."""
+
+    def count(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        lang, width, _ = key
+        columns = _unpacked(parts["runs"], width + 1)
+        runs, times = columns[:-1].astype(np.int64), columns[-1]
+        known, phrase = 1, runs[0]
+        if width >= BY:
+            # Phrases shorter than BY are not whole here, so they are numbered and not judged.
+            known = BY - 1
+            for k in range(1, known):
+                _, phrase = np.unique(phrase << WORD_BITS | runs[k], return_inverse=True)
+        ids, a = [], []
+        for k in range(known, width):
+            at = np.flatnonzero((phrase >= 0) & (runs[k] >= 0))
+            pair, n = tile_counts(phrase[at], runs[k, at], times[at])
+            pair, n = pair[n >= least], n[n >= least]
+            if not len(pair):
+                break
+            order = np.argsort(-n, kind="stable")
+            number = np.empty(len(pair), np.int64)
+            number[order] = np.arange(len(pair))
+            by = np.argsort(pair)
+            own = phrase[at] << WORD_BITS | runs[k, at]
+            spot = by[np.minimum(np.searchsorted(pair, own, sorter=by), len(pair) - 1)]
+            longer = np.full(len(phrase), -1, np.int64)
+            longer[at] = np.where(pair[spot] == own, number[spot], -1)
+            phrase = longer
+            example = np.empty(len(pair), np.int64)
+            there = np.flatnonzero(phrase >= 0)
+            example[phrase[there]] = there
+            ids += list(runs[: k + 1, example].T)
+            a += n[order].tolist()
+        rows = {"lang": lang, "ids": pd.Series(ids, dtype=object), "a": pd.Series(a, dtype=np.int64)}
+        return pd.DataFrame(rows)
+
+    groups = dealt.groupBy("lang", "width", "bucket")
+    return groups.applyInPandas(count, "lang string, ids array<long>, a long")
 
 
 def frequent_phrases(
-    docs: DataFrame, least: int = LEAST, longest: int = LONGEST, most: int = BLOCK, piece: int = PIECE
-) -> tuple[DataFrame, DataFrame]:
+    docs: DataFrame, least: int = LEAST, longest: int = LONGEST, most: int = BLOCK, piece: int = PIECE,
+    group: int = GROUP,
+) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, a) of all phrases of up to ``longest`` words that occur ``least`` times, words
     included, and (lang, n), the words of each language."""
     blocks = text_blocks(docs, most, piece)
     own = blocks.filter(F.col("word").isNotNull()).select("block", "lang", "word", "code", "n")
-    totals = own.groupBy("lang").agg(F.sum("n").alias("n"))
-
-    def frequent(counts: DataFrame, column: str) -> DataFrame:
-        return counts.groupBy("lang", column).agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
-
-    words = tables.stage(ranked(frequent(own, "word"), "word", 1 << WORD_BITS), "phrases-words")
-    words = words.withColumnRenamed("word", "phrase")
-    dictionary = own.join(words.withColumnRenamed("phrase", "word"), ["lang", "word"]).select(
-        F.col("block").alias("of"), "code", "id"
+    totals = tables.stage(own.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
+
+    # One shuffle of what the blocks have: a word's places, at most one a block, stay with it.
+    places = F.collect_list(F.struct(F.col("block").alias("of"), "code")).alias("places")
+    counted = tables.stage(
+        own.repartition("lang", "word")
+        .groupBy("lang", "word")
+        .agg(F.sum("n").alias("a"), places)
+        .filter(F.col("a") >= least),
+        "phrases-counted",
     )
+    words = tables.stage(ranked(counted.select("lang", "word", "a"), "word", 1 << WORD_BITS), "phrases-words")
+    known = counted.select("lang", "word", "places").join(words.select("lang", "word", "id"), ["lang", "word"])
+    dictionary = known.select("id", F.inline("places"))
     pieces = blocks.filter(F.col("codes").isNotNull()).select("block", "lang", "codes")
     stretches = tables.stage(number_words(pieces, dictionary), "phrases-stretches")
-    level, found = words, [words.select("lang", F.lit(1).alias("k"), "phrase", "a")]
-    last = words.select("lang", F.col("id").alias("right"), F.col("phrase").alias("word"))
-    for k in range(1, longest):
-        counts = count_pairs(stretches, k)
-        pairs = tables.stage(ranked(frequent(counts, "pair"), "pair", NONE), "phrases-pairs")
-        front = level.select("lang", F.col("id").alias("left"), F.col("phrase").alias("front"))
-        level = tables.stage(
-            pairs.withColumn("left", F.shiftright("pair", WORD_BITS))
-            .withColumn("right", F.col("pair").bitwiseAND((1 << WORD_BITS) - 1))
-            .join(front, ["lang", "left"])
-            .join(last, ["lang", "right"])
-            .select("lang", "id", "a", F.concat_ws(" ", "front", "word").alias("phrase")),
-            "phrases-level",
-        )
-        found.append(level.select("lang", F.lit(k + 1).alias("k"), "phrase", "a"))
-        if k + 1 < longest:
-            dictionary = counts.join(pairs.select("lang", "pair", "id"), ["lang", "pair"]).select(
-                F.col("block").alias("of"), "pair", "id"
-            )
-            stretches = tables.stage(number_phrases(stretches, dictionary, k), "phrases-stretches")
-    whole = found[0]
-    for more in found[1:]:
-        whole = whole.unionAll(more)
-    return whole, totals
+    tables.release(blocks)
+    tables.release(counted)
+    buckets = totals.select("lang", F.ceil(F.col("n") / group).alias("buckets"))
+    dealt = deal(stretches.join(buckets, "lang"), longest)
+    numbers = tables.stage(count_dealt(dealt, least), "phrases-numbers")
+    tables.release(stretches)
+    phrases = (
+        numbers.select("lang", "ids", "a", F.posexplode("ids").alias("at", "id"))
+        .join(words.select("lang", "id", "word"), ["lang", "id"])
+        .groupBy("lang", "ids", "a")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("parts"))
+        .select("lang", F.size("ids").alias("k"), F.concat_ws(" ", "parts.word").alias("phrase"), "a")
+    )
+    found = tables.stage(phrases, "phrases-found")
+    return words.select("lang", F.lit(1).alias("k"), F.col("word").alias("phrase"), "a").unionAll(found), totals
 
 
 def _ratio(a: Column, n: Column, left: Column, right: Column) -> Column:
@@ -342,13 +402,13 @@ def _ratio(a: Column, n: Column, left: Column, right: Column) -> Column:
 
 def collocations(
     docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, most: int = BLOCK,
-    piece: int = PIECE,
+    piece: int = PIECE, group: int = GROUP,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's best phrases, from (lang, text).
 
     A candidate's score is that of its worst cut; one that a longer candidate always contains is dropped.
     Null texts are empty, and tables without a frequent phrase give no rows."""
-    found, totals = frequent_phrases(docs, least, longest, most, piece)
+    found, totals = frequent_phrases(docs, least, longest, most, piece, group)
     candidates = found.filter("k > 1").join(totals, "lang")
     words = F.split("phrase", " ")
     cuts = candidates.select(

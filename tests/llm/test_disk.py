@@ -4,7 +4,7 @@ import os
 import random
 
 import corpus_pipeline
-from forgemeter.llm import jaccard, quality, tables
+from forgemeter.llm import collocations, jaccard, quality, tables
 
 
 def recorded(monkeypatch):
@@ -58,3 +58,15 @@ def test_counts_of_the_quality_model_are_stored(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     quality.judge(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
     assert [purpose for purpose, _ in steps] == ["quality-counts"]
+
+
+def test_phrases_are_dealt_once_and_blocks_deleted(spark, monkeypatch):
+    """However many phrases are frequent, no length is numbered, joined to the blocks and stored anew."""
+    steps = recorded(monkeypatch)
+    rows = [("en", "a b c d e f g " * 30)] * 4
+    found = collocations.collocations(spark.createDataFrame(rows, "lang string, text string"), least=100, most=50)
+    stored = [purpose for purpose, _ in steps]
+    left = {purpose for purpose, path in steps if os.path.exists(path)}
+    assert stored.count("phrases-stretches") == 1 and stored.count("phrases-ranked") == 1
+    assert not left & {"phrases-blocks", "phrases-stretches"}
+    assert {r.phrase for r in found.collect()} >= {"a b c d e", "g a b c d"}

@@ -66,6 +66,23 @@ def test_collocations_equal_brute_force(mixed, most, piece):
     assert got == brute_phrases(rows, 4, 60) and len(got) > 60
 
 
+@pytest.mark.parametrize("group", [7, 200])
+def test_collocations_of_many_groups_equal_brute_force(mixed, group):
+    rows, frame = mixed
+    got = {tuple(r) for r in phrases.collocations(frame, least=4, top=60, most=300, piece=40, group=group).collect()}
+    assert got == brute_phrases(rows, 4, 60)
+
+
+def test_runs_come_back_as_they_were_dealt():
+    words = np.array([5, 1 << 30, 0, 7, 9, 2, -1, 3, 4, -1, 1, 1, 1, -1], np.int32)
+    runs = phrases._runs(words, 5)
+    assert runs.T.tolist() == [
+        [5, 1 << 30, 0, 7, 9], [1 << 30, 0, 7, 9, 2], [0, 7, 9, 2, -1], [7, 9, 2, -1, -1], [1, 1, 1, -1, -1]
+    ]
+    halves = [phrases._packed(runs[:, :2]), phrases._packed(runs[:, 2:])]
+    assert (phrases._unpacked(halves, 5) == runs).all()
+
+
 def test_collocations_of_no_documents(mixed):
     assert phrases.collocations(mixed[1].filter("false")).isEmpty()
 
@@ -80,6 +97,18 @@ def test_tiles_count_as_a_counter_does(monkeypatch, cells):
     assert dict(zip(pair.tolist(), n.tolist())) == Counter(((a << 31) | b for a, b in zip(left.tolist(), right.tolist())))
 
 
+@pytest.mark.parametrize("cells", [1, 10**9])
+def test_tiles_count_with_weights(monkeypatch, cells):
+    monkeypatch.setattr(phrases, "CELLS_A_PAIR", cells)
+    rng = np.random.default_rng(3)
+    left, right, times = rng.integers(0, 900, 5_000), rng.integers(0, 900, 5_000), rng.integers(1, 9, 5_000)
+    pair, n = phrases.tile_counts(left, right, times)
+    want = Counter()
+    for a, b, t in zip(left.tolist(), right.tolist(), times.tolist()):
+        want[(a << 31) | b] += t
+    assert dict(zip(pair.tolist(), n.tolist())) == want and n.dtype == np.int64
+
+
 def test_words_of_a_long_text_are_those_of_its_parts(monkeypatch):
     text = "Ab, c\td.E\nf  g" * 50
     whole = [w for part in phrases.word_lists(text) for w in part]
