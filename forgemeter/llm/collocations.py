@@ -17,17 +17,20 @@ LONGEST words from each place on, go with their counts to groups by a hash of th
 pair, BY of a run). A group has all places of its phrases, so it counts every length from BY on by itself.
 Each place is dealt once as a pair and once as a run, whatever is frequent, so what is moved never exceeds
 two rows a place, and no length sends anything back to the blocks.
+
+Numbers are stored and moved packed: a block's codes and its frequent words' numbers, the dictionary that a
+block is sent, and what is dealt.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,6 +47,8 @@ HELD = 1 << 20
 PIECE = 1 << 16
 # So many pieces are counted at a time: a block's worth of words.
 PIECES = 8
+# So many places of frequent words are packed by block at a time.
+PLACES = 1 << 20
 # Bytes of a text that are split at a time.
 CHUNK = 1 << 22
 # log2 of a tile's side; a tile is dense if it has at least one pair for so many of its cells.
@@ -95,6 +100,41 @@ class _Block:
         self.size += 1
 
 
+CODEC = pa.Codec("zstd", compression_level=1)
+
+
+def _packed(columns: np.ndarray, steps: bool = True) -> bytes:
+    """32-bit numbers, first all their low bytes, then the next: high ones are mostly zero, which packs well.
+    With ``steps`` the first row, which mostly rises, is kept as its steps."""
+    columns = np.array(columns, "<i4", order="C")
+    if steps:
+        columns[0, 1:] = np.diff(columns[0])
+    planes = columns.view(np.uint8).reshape(len(columns), -1, 4).transpose(0, 2, 1)
+    return columns.shape[1].to_bytes(4, "little") + CODEC.compress(planes.tobytes(), asbytes=True)
+
+
+def _unpacked(parts: pd.Series, rows: int, steps: bool = True) -> np.ndarray:
+    """The columns of all parts, one part after the other."""
+    sizes = [int.from_bytes(x[:4], "little") for x in parts]
+    raw = [CODEC.decompress(x[4:], 4 * rows * size, asbytes=True) for x, size in zip(parts, sizes)]
+    planes = [np.frombuffer(x, np.uint8).reshape(rows, 4, size) for x, size in zip(raw, sizes)]
+    columns = np.ascontiguousarray(np.concatenate(planes, axis=2).transpose(0, 2, 1)).view("<i4")[:, :, 0]
+    if steps:
+        stop = 0
+        for size in sizes:
+            start, stop = stop, stop + size
+            np.cumsum(columns[0, start:stop], dtype=np.int32, out=columns[0, start:stop])
+    return columns
+
+
+def _packed_words(words: np.ndarray) -> bytes:
+    return _packed(words[None, :], steps=False)
+
+
+def _unpacked_words(part: bytes) -> np.ndarray:
+    return _unpacked([part], 1, steps=False)[0]
+
+
 def _cut(breaks: np.ndarray, size: int, piece: int) -> Iterator[tuple[int, int]]:
     """Ranges of about ``piece`` elements that end at a break; a longer stretch without one stays whole."""
     start = 0
@@ -113,7 +153,7 @@ def _cut(breaks: np.ndarray, size: int, piece: int) -> Iterator[tuple[int, int]]
 
 
 def text_blocks(docs: DataFrame, most: int = BLOCK, piece: int = PIECE) -> DataFrame:
-    """Rows of two kinds: (block, lang, codes) pieces, with code 0 between phrases, and (block, lang,
+    """Rows of two kinds: (block, lang, codes) packed pieces, with code 0 between phrases, and (block, lang,
     word, code, n) for each different word of a block. A null language is ``und``, a null text empty."""
 
     def flush(lang: str, block: _Block, number: int) -> Iterator[pd.DataFrame]:
@@ -127,9 +167,9 @@ def text_blocks(docs: DataFrame, most: int = BLOCK, piece: int = PIECE) -> DataF
                 {"block": number, "lang": lang, "word": part, "code": codes, "n": counts[codes], "codes": None}
             )
         for start, stop in _cut(np.flatnonzero(whole == 0), len(whole), piece):
-            raw = whole[start:stop].astype("<i4").tobytes()
+            packed = _packed_words(whole[start:stop])
             yield pd.DataFrame(
-                {"block": [number], "lang": lang, "word": None, "code": 0, "n": 0, "codes": [raw]}
+                {"block": [number], "lang": lang, "word": None, "code": 0, "n": 0, "codes": [packed]}
             )
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -209,7 +249,7 @@ def tile_counts(
 
 
 def _kept(words: np.ndarray) -> bytes | None:
-    """Only the stretches of two frequent words or more, with a break between them. Numbers have 32 bits."""
+    """Only the stretches of two frequent words or more, packed, with a break between them."""
     known = words >= 0
     at = np.flatnonzero(known[:-1] & known[1:])
     if not len(at):
@@ -218,23 +258,46 @@ def _kept(words: np.ndarray) -> bytes | None:
     keep[at] = keep[at + 1] = True
     place = np.flatnonzero(keep)
     gaps = np.flatnonzero(np.diff(place) > 1) + 1
-    return np.insert(words[place], gaps, -1).astype("<i4").tobytes()
+    return _packed_words(np.insert(words[place], gaps, -1))
 
 
 def _joined(parts: pd.Series) -> np.ndarray:
     """The parts' words, with a break after each."""
     end = np.full(1, -1, np.int32)
-    return np.concatenate([x for part in parts for x in (np.frombuffer(part, "<i4"), end)])
+    return np.concatenate([x for part in parts for x in (_unpacked_words(part), end)])
+
+
+def by_block(places: DataFrame) -> DataFrame:
+    """(of, known): the (of, code, id) rows of a block together, packed before they are moved to it."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                held.append(batch)
+                size += len(batch)
+            if held and (batch is None or size >= PLACES):
+                of, code, number = (np.concatenate([x[c].to_numpy() for x in held]) for c in ("of", "code", "id"))
+                order = np.lexsort((code, of))
+                of, columns = of[order], np.stack([code, number])[:, order]
+                starts = np.flatnonzero(np.append(len(of) > 0, of[1:] != of[:-1]))
+                packed = [_packed(x) for x in np.split(columns, starts[1:], axis=1)] if len(of) else []
+                yield pd.DataFrame({"of": of[starts], "known": packed})
+                held, size = [], 0
+
+    return places.select("of", "code", "id").mapInPandas(pack, "of long, known binary")
 
 
 def number_words(pieces: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """The pieces of each block with its frequent words' numbers."""
+    """The pieces of each block with its frequent words' numbers, from its codes and numbers in ``by_block``."""
 
     def encode(parts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        codes = [np.frombuffer(x, "<i4") for x in parts["codes"]]
+        codes = [_unpacked_words(x) for x in parts["codes"]]
         numbers = np.full(max((int(c.max()) for c in codes), default=0) + 1, -1, np.int32)
-        numbers[known["code"].to_numpy()] = known["id"].to_numpy()
+        if len(known):
+            listed = _unpacked(known["known"], 2)
+            numbers[listed[0]] = listed[1]
         for block, lang, local in zip(parts["block"], parts["lang"], codes):
             kept = _kept(numbers[local])
             if kept:
@@ -274,17 +337,6 @@ def _different_pairs(words: np.ndarray) -> np.ndarray:
     return np.stack([pair >> WORD_BITS, pair & ((1 << WORD_BITS) - 1), n])[:, order]
 
 
-def _packed(columns: np.ndarray) -> bytes:
-    """32-bit numbers, first all their low bytes, then the next: high ones are mostly zero, which packs well."""
-    planes = np.ascontiguousarray(columns, "<i4").view(np.uint8).reshape(len(columns), -1, 4)
-    return zlib.compress(planes.transpose(0, 2, 1).tobytes(), 1)
-
-
-def _unpacked(parts: pd.Series, rows: int) -> np.ndarray:
-    planes = [np.frombuffer(zlib.decompress(x), np.uint8).reshape(rows, 4, -1) for x in parts]
-    return np.ascontiguousarray(np.concatenate(planes, axis=2).transpose(0, 2, 1)).view("<i4")[:, :, 0]
-
-
 def deal(stretches: DataFrame, longest: int) -> DataFrame:
     """(lang, width, bucket, runs): the different pairs, and the different runs of up to ``longest`` words, of
     a part of a block with their counts, by a hash of their first words. ``stretches`` has the number of
@@ -372,8 +424,9 @@ def frequent_phrases(
         "phrases-counted",
     )
     words = tables.stage(ranked(counted.select("lang", "word", "a"), "word", 1 << WORD_BITS), "phrases-words")
-    known = counted.select("lang", "word", "places").join(words.select("lang", "word", "id"), ["lang", "word"])
-    dictionary = known.select("id", F.inline("places"))
+    apart = (F.col("places.of").alias("of"), F.col("places.code").cast("array<int>").alias("code"))
+    known = counted.select("lang", "word", *apart).join(words.select("lang", "word", "id"), ["lang", "word"])
+    dictionary = by_block(known.select("id", F.inline(F.arrays_zip("of", "code"))))
     pieces = blocks.filter(F.col("codes").isNotNull()).select("block", "lang", "codes")
     stretches = tables.stage(number_words(pieces, dictionary), "phrases-stretches")
     tables.release(blocks)

@@ -70,3 +70,17 @@ def test_phrases_are_dealt_once_and_blocks_deleted(spark, monkeypatch):
     assert stored.count("phrases-stretches") == 1 and stored.count("phrases-ranked") == 1
     assert not left & {"phrases-blocks", "phrases-stretches"}
     assert {r.phrase for r in found.collect()} >= {"a b c d e", "g a b c d"}
+
+
+def test_blocks_and_stretches_are_stored_packed(spark, monkeypatch):
+    """A word took four bytes in a block and in a stretch."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(300)]
+    rows = [("en", " ".join(rng.choice(words) for _ in range(2_000)) + ".") for _ in range(20)]
+    steps = recorded(monkeypatch)
+    monkeypatch.setattr(tables, "release", lambda step: None)
+    collocations.collocations(spark.createDataFrame(rows, "lang string, text string")).collect()
+    for purpose, column in (("phrases-blocks", "codes"), ("phrases-stretches", "words")):
+        (path,) = [path for found, path in steps if found == purpose]
+        parts = [r[0] for r in spark.read.parquet(path).select(column).collect() if r[0]]
+        assert 0 < sum(map(len, parts)) < 2 * 40_000

@@ -83,6 +83,28 @@ def test_runs_come_back_as_they_were_dealt():
     assert (phrases._unpacked(halves, 5) == runs).all()
 
 
+@pytest.mark.parametrize("steps", [True, False])
+def test_any_32_bit_numbers_come_back_as_they_were_packed(steps):
+    rng = np.random.default_rng(4)
+    columns = rng.integers(-(1 << 31), 1 << 31, (3, 400)).astype(np.int32)
+    columns[0, :4] = (1 << 31) - 1, -(1 << 31), -1, 0
+    parts = [phrases._packed(x, steps) for x in (columns[:, :0], columns[:, :1], columns[:, 1:][:, ::-1], columns)]
+    got = phrases._unpacked(parts, 3, steps)
+    assert (got == np.concatenate([columns[:, :1], columns[:, 1:][:, ::-1], columns], axis=1)).all()
+
+
+@pytest.mark.parametrize("places", [50, 1 << 20])
+def test_a_block_is_sent_its_dictionary_packed(spark, monkeypatch, places):
+    monkeypatch.setattr(phrases, "PLACES", places)
+    rng = random.Random(6)
+    rows = [(i, rng.choice([3, 1 << 40]), rng.randrange(1 << 31)) for i in range(500)]
+    frame = spark.createDataFrame(rows, "id long, of long, code int").repartition(2)
+    sent = phrases.by_block(frame).collect()
+    back = [(i, r.of, code) for r in sent for code, i in phrases._unpacked([r.known], 2).T.tolist()]
+    assert sorted(back) == sorted(rows) and (places == 50 or len(sent) == 4)
+    assert phrases.by_block(frame.filter("false")).isEmpty()
+
+
 def test_collocations_of_no_documents(mixed):
     assert phrases.collocations(mixed[1].filter("false")).isEmpty()
 
