@@ -45,8 +45,10 @@ BLOCK = 1 << 19
 HELD = 1 << 20
 # A block goes out in pieces of about so many words, cut between phrases.
 PIECE = 1 << 16
-# So many pieces are counted at a time: a block's worth of words.
-PIECES = 8
+# So many words of a language are dealt at a time, from all its blocks in a task, since short rows pack badly. A
+# task holds this many times as many, packed.
+PART = 1 << 20
+PARTS = 16
 # So many places of frequent words are packed by block at a time.
 PLACES = 1 << 20
 # Bytes of a text that are split at a time.
@@ -115,18 +117,23 @@ def _packed(columns: np.ndarray, steps: bool = True) -> bytes:
 
 def _unpacked(parts: pd.Series, rows: int, steps: bool = True) -> np.ndarray:
     """The columns of all parts, one part after the other."""
-    sizes = [int.from_bytes(x[:4], "little") for x in parts]
-    raw = [CODEC.decompress(x[4:], 4 * rows * size, asbytes=True) for x, size in zip(parts, sizes)]
-    planes = [np.frombuffer(x, np.uint8).reshape(rows, 4, size) for x, size in zip(raw, sizes)]
-    columns = np.ascontiguousarray(np.concatenate(planes, axis=2).transpose(0, 2, 1)).view("<i4")[:, :, 0]
-    if steps:
-        stop = 0
-        for size in sizes:
-            start, stop = stop, stop + size
+    sizes = [_size(x) for x in parts]
+    columns = np.empty((rows, sum(sizes)), np.int32)
+    stop = 0
+    for part, size in zip(parts, sizes):
+        start, stop = stop, stop + size
+        raw = CODEC.decompress(part[4:], 4 * rows * size, asbytes=True)
+        planes = np.frombuffer(raw, np.uint8).reshape(rows, 4, size).transpose(0, 2, 1)
+        columns[:, start:stop] = np.ascontiguousarray(planes).view("<i4")[:, :, 0]
+        if steps:
             np.cumsum(columns[0, start:stop], dtype=np.int32, out=columns[0, start:stop])
     return columns
 
 
+def _size(part: bytes) -> int:
+    return int.from_bytes(part[:4], "little")
+
+
 def _packed_words(words: np.ndarray) -> bytes:
     return _packed(words[None, :], steps=False)
 
@@ -261,7 +268,7 @@ def _kept(words: np.ndarray) -> bytes | None:
     return _packed_words(np.insert(words[place], gaps, -1))
 
 
-def _joined(parts: pd.Series) -> np.ndarray:
+def _joined(parts: list[bytes]) -> np.ndarray:
     """The parts' words, with a break after each."""
     end = np.full(1, -1, np.int32)
     return np.concatenate([x for part in parts for x in (_unpacked_words(part), end)])
@@ -339,25 +346,41 @@ def _different_pairs(words: np.ndarray) -> np.ndarray:
 
 def deal(stretches: DataFrame, longest: int) -> DataFrame:
     """(lang, width, bucket, runs): the different pairs, and the different runs of up to ``longest`` words, of
-    a part of a block with their counts, by a hash of their first words. ``stretches`` has the number of
+    a language's next blocks with their counts, by a hash of their first words. ``stretches`` has the number of
     ``buckets`` of its language."""
 
+    def dealt(lang: str, buckets: int, parts: list[bytes]) -> Iterator[pd.DataFrame]:
+        words = _joined(parts)
+        for width in sorted({2, longest}) if longest > 1 else ():
+            columns = _different_pairs(words) if width == 2 else _different(_runs(words, width))
+            if not columns.size:
+                continue
+            by = min(width, BY)
+            hashed = tables.window_hashes(columns[:by].T.astype(np.uint64).ravel(), by)[::by]
+            bucket = (hashed % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            columns, bucket = columns[:, order], bucket[order]
+            starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            packed = [_packed(x) for x in np.split(columns, starts[1:], axis=1)]
+            yield pd.DataFrame({"lang": lang, "width": width, "bucket": bucket[starts], "runs": packed})
+
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in tables.parts_of(batches, PIECES):
-            for (lang, buckets), parts in batch.groupby(["lang", "buckets"], sort=False):
-                words = _joined(parts["words"])
-                for width in sorted({2, longest}) if longest > 1 else ():
-                    columns = _different_pairs(words) if width == 2 else _different(_runs(words, width))
-                    if not columns.size:
-                        continue
-                    by = min(width, BY)
-                    hashed = tables.window_hashes(columns[:by].T.astype(np.uint64).ravel(), by)[::by]
-                    bucket = (hashed % np.uint64(buckets)).astype(np.int64)
-                    order = np.argsort(bucket, kind="stable")
-                    columns, bucket = columns[:, order], bucket[order]
-                    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-                    packed = [_packed(x) for x in np.split(columns, starts[1:], axis=1)]
-                    yield pd.DataFrame({"lang": lang, "width": width, "bucket": bucket[starts], "runs": packed})
+        held: dict[tuple[str, int], list[bytes]] = {}
+        sizes: dict[tuple[str, int], int] = defaultdict(int)
+        for batch in batches:
+            for lang, buckets, part in zip(batch["lang"], batch["buckets"], batch["words"]):
+                own, size = (lang, buckets), _size(part)
+                if own in held and sizes[own] + size > PART:
+                    sizes.pop(own)
+                    yield from dealt(*own, held.pop(own))
+                held.setdefault(own, []).append(part)
+                sizes[own] += size
+                if sum(sizes.values()) > PARTS * PART:
+                    own = max(sizes, key=sizes.__getitem__)
+                    sizes.pop(own)
+                    yield from dealt(*own, held.pop(own))
+        for own, parts in held.items():
+            yield from dealt(*own, parts)
 
     columns = stretches.select("lang", "buckets", "words")
     return columns.mapInPandas(build, "lang string, width int, bucket long, runs binary")

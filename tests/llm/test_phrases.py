@@ -83,6 +83,29 @@ def test_runs_come_back_as_they_were_dealt():
     assert (phrases._unpacked(halves, 5) == runs).all()
 
 
+def test_blocks_of_a_language_are_dealt_together(spark, monkeypatch):
+    """Between those of another language, however small: a row for each language, width and group."""
+    rng = np.random.default_rng(8)
+    texts = rng.integers(-1, 6, (40, 50)).astype(np.int32)
+    rows = [("de" if i % 3 else "en", 1, phrases._packed_words(text)) for i, text in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "lang string, buckets long, words binary").coalesce(1)
+    want = Counter()
+    for i, text in enumerate(texts):
+        for piece in " ".join(map(str, text)).split("-1"):
+            ids = piece.split()
+            want.update(
+                ("de" if i % 3 else "en", *map(int, ids[j : j + k])) for k in range(2, 6) for j in range(len(ids) - k + 1)
+            )
+    counts = {}
+    for part, parts in ((1 << 20, 16), (120, 16), (500, 1)):
+        monkeypatch.setattr(phrases, "PART", part)
+        monkeypatch.setattr(phrases, "PARTS", parts)
+        dealt = phrases.deal(frame, 5)
+        counts[part] = dealt.count()
+        assert {(r.lang, *r.ids): r.a for r in phrases.count_dealt(dealt, 1).collect()} == want
+    assert counts[1 << 20] == 4 and counts[120] > 8 and counts[500] > 4
+
+
 @pytest.mark.parametrize("steps", [True, False])
 def test_any_32_bit_numbers_come_back_as_they_were_packed(steps):
     rng = np.random.default_rng(4)
